@@ -21,13 +21,13 @@ def format_numeric(x: Column, decimals: int = 0) -> Column:
 
 
 def format_char(s: Column, width: int) -> Column:
-    """Cut or pad with blanks to exactly ``width`` characters."""
-    return F.rpad(s, width, " ")
+    """Cut or pad with blanks to exactly ``width`` characters; missing shows as a dot."""
+    return F.coalesce(F.rpad(s, width, " "), F.lit(MISSING))
 
 
 def fixed_char_display(s: Column, length: int = 200) -> Column:
     """Fixed-length character value as shown: cut to length, no trailing blanks."""
-    return F.rtrim(format_char(s, length))
+    return F.rtrim(F.rpad(F.coalesce(s, F.lit("")), length, " "))
 
 
 def format_date(d: Column) -> Column:
@@ -49,11 +49,13 @@ def informat_numeric(s: Column) -> Column:
 
 
 def informat_char(s: Column, width: int) -> Column:
-    return F.substring(s, 1, width)
+    text = F.nullif(F.nullif(F.trim(s), F.lit("")), F.lit(MISSING))
+    return F.substring(text, 1, width)
 
 
 def informat_date(s: Column) -> Column:
     """``15JAN2024`` to a date, anything else to null."""
+    s = F.trim(s)
     proper = F.concat(F.substring(s, 1, 2), F.initcap(F.substring(s, 3, 3)), F.substring(s, 6, 100))
     return F.to_date(F.try_to_timestamp(proper, F.lit("ddMMMyyyy")))
 
