@@ -28,7 +28,7 @@ def lower_contains(text: Column, needle: str) -> Column:
 
 def split_trim_list(text: Column, sep: str = ";") -> Column:
     """``'d1; d2'`` to an array; blank or null text gives an empty array."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), sep), F.trim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), sep), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

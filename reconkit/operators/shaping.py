@@ -130,15 +130,16 @@ def date_lookup(df: DataFrame, column: str, day: str) -> DataFrame:
     return df.filter((F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 DAY")))
 
 
-def narrow_types(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def narrow_types(df: DataFrame, dictionary: bool = True) -> tuple[DataFrame, DataFrame]:
     """Smallest integer and float types that hold the whole table, in one pass.
 
     Returns the narrowed frame and a report (column_name, data_type, narrow_type,
     dictionary_candidate).  Types are decided once per table, not per file.
+    ``dictionary=False`` leaves out the distinct counts of text columns.
     """
     ints = [f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)]
     floats = [f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)]
-    texts = text_columns(df)
+    texts = text_columns(df) if dictionary else []
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in ints:
         aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
@@ -161,12 +162,12 @@ def narrow_types(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         narrow[c] = "float" if err is not None and err <= FLOAT_TOLERANCE else "double"
     rows = []
     for f in df.schema:
-        dictionary = False
+        candidate = False
         if f.name in texts and facts["n"]:
             d = facts[f"d_{f.name}"]
-            dictionary = d < DICTIONARY_MAX_VALUES and d / facts["n"] < DICTIONARY_MAX_RATIO
+            candidate = d < DICTIONARY_MAX_VALUES and d / facts["n"] < DICTIONARY_MAX_RATIO
         old = f.dataType.simpleString()
-        rows.append((f.name, old, narrow.get(f.name, old), dictionary))
+        rows.append((f.name, old, narrow.get(f.name, old), candidate))
     report = df.sparkSession.createDataFrame(
         rows, "column_name string, data_type string, narrow_type string, dictionary_candidate boolean"
     )

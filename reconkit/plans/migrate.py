@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from reconkit.functions.types import cast_by_source_type
-from reconkit.operators.shaping import partition_columns, pick_date_column, rename_by_mapping
+from reconkit.operators.shaping import narrow_types, partition_columns, pick_date_column, rename_by_mapping
 from reconkit.sources.write import (
     register_table,
     size_estimate,
@@ -30,11 +30,14 @@ class TableJob:
     source_types: Mapping[str, str]
     mapping: Mapping[str, str]
     date_column: str | None = None  # target name; found from the schema if absent
+    narrow: bool = True  # one extra pass to choose the smallest types
 
 
 def migrate_table(job: TableJob, root: str, at: datetime, mode: str = "overwrite") -> str:
-    """cast, rename, derive partitions, stamp, write.  Returns the path."""
+    """cast, rename, narrow, derive partitions, stamp, write.  Returns the path."""
     df = rename_by_mapping(cast_by_source_type(job.source, job.source_types), job.mapping)
+    if job.narrow:
+        df, _ = narrow_types(df, dictionary=False)
     date_column = job.date_column or pick_date_column(df)
     df = stamp_lineage(partition_columns(df, date_column, at.strftime("%Y-%m-%d")), at)
     parts = ["year", "month"] if date_column else ["migration_date"]
