@@ -97,4 +97,4 @@ lines AS (
 
 def load() -> None:
     """Import all query modules."""
-    from reconkit.queries import aggregates, joins, ordering, recon, shaping  # noqa: F401
+    from reconkit.queries import aggregates, data_io, joins, ordering, recon, scalars, shaping  # noqa: F401

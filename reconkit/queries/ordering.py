@@ -240,13 +240,12 @@ def transpose_long(t: Tables):
 
 @query(
     "transpose_wide",
-    """SELECT o_custkey, coalesce(round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'F'), 4), 0.0) AS "COLF",
-       coalesce(round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 4), 0.0) AS "COLO",
-       coalesce(round(avg(o_totalprice) FILTER (WHERE o_orderstatus = 'P'), 4), 0.0) AS "COLP" FROM orders GROUP BY 1""",
+    """SELECT l_suppkey, coalesce(avg(l_quantity) FILTER (WHERE l_returnflag = 'A'), 0.0) AS "COLA",
+       coalesce(avg(l_quantity) FILTER (WHERE l_returnflag = 'N'), 0.0) AS "COLN",
+       coalesce(avg(l_quantity) FILTER (WHERE l_returnflag = 'R'), 0.0) AS "COLR" FROM lineitem GROUP BY 1""",
 )
 def transpose_wide(t: Tables):
-    out = X.transpose_wide(t.orders, ["o_custkey"], "o_orderstatus", "o_totalprice", ["F", "O", "P"])
-    return out.withColumns({c: rnd(c, 4) for c in ("COLF", "COLO", "COLP")})
+    return X.transpose_wide(t.lineitem, ["l_suppkey"], "l_returnflag", "l_quantity", ["A", "N", "R"])
 
 
 @query(

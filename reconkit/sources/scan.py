@@ -123,10 +123,15 @@ def read_table_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).csv(path)
 
 
-def read_column_mapping(spark: SparkSession, path: str, direction: str = "source2target") -> DataFrame:
-    """(map_name, source_name, target_name) from ``{map: {direction: {source: target}}}``."""
+def read_column_mapping(
+    spark: SparkSession, path: str, direction: str = "source2target", whole_file: bool = True
+) -> DataFrame:
+    """(map_name, source_name, target_name) from ``{map: {direction: {source: target}}}``.
+
+    One document per file, or per line when ``whole_file`` is off.
+    """
     nested = "map<string, map<string, map<string, string>>>"
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=whole_file)
     return (
         text.select(F.explode(F.from_json("value", nested)).alias("map_name", "m"))
         .select("map_name", F.explode(F.col("m")[direction]).alias("source_name", "target_name"))

@@ -14,6 +14,8 @@ MANIFEST = (
     "table_name string, path string, row_count bigint, size_mb double, upload_timestamp timestamp, "
     "upload_date string, session_start timestamp, session_end timestamp"
 )
+# Microseconds, so that a cutoff read back still covers its own upload.
+MANIFEST_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 REPORT_COLUMNS = [
     "product", "source_table", "target_table", "hydrated_only", "source_service", "status",
     "row_unmatch", "row_details", "col_details", "time_unmatch", "time_variable", "time_details",
@@ -85,11 +87,12 @@ def size_estimate(spark: SparkSession, path: str) -> DataFrame:
 
 def write_manifest(spark: SparkSession, rows: Sequence[tuple], path: str) -> None:
     """One row per written table, in ``MANIFEST`` order."""
-    spark.createDataFrame(list(rows), MANIFEST).coalesce(1).write.mode("overwrite").json(path)
+    manifest = spark.createDataFrame(list(rows), MANIFEST).coalesce(1)
+    manifest.write.mode("overwrite").option("timestampFormat", MANIFEST_TIME).json(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(path)
+    return spark.read.schema(MANIFEST).option("timestampFormat", MANIFEST_TIME).json(path)
 
 
 def manifest_cutoff(manifest: DataFrame, table_name: str | None = None) -> datetime | None:
