@@ -13,7 +13,6 @@ Two building blocks:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -22,11 +21,18 @@ from reconkit.session import checkpointed, parallelism
 
 
 def _bucket_of(x: Column, bounds: Column, size: int) -> Column:
-    """Number of boundaries below ``x``, searching coarse steps first."""
-    step = max(1, math.isqrt(size))
-    every = F.filter(bounds, lambda _, i: i % step == step - 1)
-    coarse = F.size(F.filter(every, lambda b: b < x)) * step
-    return coarse + F.size(F.filter(F.slice(bounds, coarse + 1, step), lambda b: b < x))
+    """Number of the ``size - 1`` boundaries below ``x``, by halving.
+
+    ``size`` is a power of two.  The result is never null, so the joins on it
+    push no filter below the aggregation that produced ``x``.
+    """
+    steps = F.array(*[F.lit(size >> i) for i in range(1, size.bit_length())])
+    found = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda low, step: F.when(F.get(bounds, low + step - 1) < x, low + step).otherwise(low),
+    )
+    return F.coalesce(found, F.lit(0))
 
 
 def cumulative(
@@ -41,11 +47,11 @@ def cumulative(
 
     For each column ``c`` of ``sums``: ``before_c`` (sum over smaller values) and
     ``total_c`` (sum over the group).  For each of ``maxima``: ``upto_c``, the
-    largest value seen so far, this row included.  ``order`` and ``groups`` must
-    not be null; ``order`` must be numeric.
+    largest value seen so far, this row included.  ``order`` must be numeric and
+    not null; a null in ``groups`` is a group of its own.
     """
     groups = list(groups)
-    n = buckets or parallelism(values.sparkSession)
+    n = 1 << ((buckets or parallelism(values.sparkSession)) - 1).bit_length()
     cuts = [i / n for i in range(1, n)]
     bounds = values.agg(
         F.percentile_approx(F.col(order).cast("double"), cuts, 20 * n).alias("b")
@@ -80,7 +86,7 @@ def cumulative(
     )
     on = F.col("_bucket") == F.col("o_bucket")
     for g in groups:
-        on = on & (F.col(g) == F.col(f"o_{g}"))
+        on = on & F.col(g).eqNullSafe(F.col(f"o_{g}"))
     return ranged.join(offsets, on).select(
         *values.columns,
         *[(F.col(f"in_{c}") + F.col(f"off_{c}")).alias(f"before_{c}") for c in sums],

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reconkit.functions import pvalues
 from reconkit.operators.cumulative import cumulative
 from reconkit.operators.quantiles import long_values
+from reconkit.session import local_rows
 
 RANK_STATS = "variable string, n1 bigint, n2 bigint, ks_d double, ks_p double, u double, mw_p double"
 
@@ -83,7 +84,7 @@ TTEST = "test string, variable string, group1 string, group2 string, n1 bigint,
 def _result(df: DataFrame, test, variable, groups, ns, means, t, dof, alpha) -> DataFrame:
     p = pvalues.t_two_sided(t, dof) if math.isfinite(t) else 0.0
     row = (test, variable, *groups, *ns, *means, float(t), float(dof), p, p < alpha)
-    return df.sparkSession.createDataFrame([row], TTEST)
+    return local_rows(df.sparkSession, [row], TTEST)
 
 
 def _ratio(diff: float, error: float) -> float:

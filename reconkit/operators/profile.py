@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from reconkit.functions.dates import DAY_SECONDS, date_text
 from reconkit.operators.joins import outer_with_provenance
-from reconkit.operators.quantiles import exact_quantiles
+from reconkit.operators.quantiles import quantiles_of_counts
 from reconkit.operators.shaping import without_lineage
 
 # Fixed value: tolerance between two statistics.
@@ -14,7 +16,7 @@ STAT_TOLERANCE = 0.001
 COMPARED = ("row_count", "null_count", "unique_count", "min_value", "max_value", "mean_value")
 
 
-def _column_stats(field: T.StructField, distinct) -> dict:
+def _column_stats(field: T.StructField) -> dict:
     """Aggregates of one column under common names; statistics of other kinds are null."""
     c, t = F.col(field.name), field.dataType
     none = F.lit(None)
@@ -26,7 +28,6 @@ def _column_stats(field: T.StructField, distinct) -> dict:
     return {
         "row_count": F.count(F.lit(1)),
         "null_count": F.count_if(c.isNull()),
-        "unique_count": distinct(c),
         "min_value": F.min(x) if number else none.cast("double"),
         "max_value": F.max(x) if number else none.cast("double"),
         "mean_value": F.avg(x) if number else none.cast("double"),
@@ -41,16 +42,52 @@ def _column_stats(field: T.StructField, distinct) -> dict:
     }
 
 
+def _value_counts(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    """(variable, value, n) over the non-null values of columns of one kind."""
+    cells = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
+    long = cells.unpivot([], columns, "variable", "value").filter("value IS NOT NULL")
+    return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _distinct_and_median(df: DataFrame, fields: list[T.StructField], median: bool) -> DataFrame:
+    """(column_name, unique_count, median_value) from the distinct values of each column.
+
+    Columns are grouped by kind so that every value is compared in a type that
+    holds it exactly.
+    """
+    kinds = {"bigint": [], "double": [], "string": []}
+    for f in fields:
+        t = f.dataType
+        kind = "bigint" if isinstance(t, T.IntegralType) else "double" if isinstance(t, (T.DoubleType, T.FloatType)) else "string"
+        kinds[kind].append(f.name)
+    counts = {kind: _value_counts(df, names, kind) for kind, names in kinds.items() if names}
+    unique = reduce(
+        DataFrame.unionByName,
+        [c.groupBy("variable").agg(F.count(F.lit(1)).alias("unique_count")) for c in counts.values()],
+    )
+    numbers = [counts[k].withColumn("value", F.col("value").cast("double")) for k in ("bigint", "double") if k in counts]
+    decimals = [f.name for f in fields if isinstance(f.dataType, T.DecimalType)]
+    if decimals:
+        numbers.append(_value_counts(df, decimals, "double"))
+    if median and numbers:
+        mid = quantiles_of_counts(reduce(DataFrame.unionByName, numbers), {"median_value": 0.5})
+        unique = unique.join(F.broadcast(mid), "variable", "left")  # one row per column
+    return unique.withColumnRenamed("variable", "column_name")
+
+
 def column_profile(df: DataFrame, approx_distinct: bool = False, median: bool = True) -> DataFrame:
-    """One row per column; all columns are profiled in a single scan.
+    """One row per column.
 
-    ``approx_distinct`` replaces exact distinct counts, which shuffle every
-    distinct value, by sketches.  The median takes a second pass.
+    Plain statistics of all columns take one scan.  Exact distinct counts and
+    medians share a second one that counts distinct values per column;
+    ``approx_distinct`` with ``median=False`` does without it.
     """
     df = without_lineage(df)
-    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     fields = [f for f in df.schema if isinstance(f.dataType, T.AtomicType)]
-    stats = {f.name: _column_stats(f, distinct) for f in fields}
+    stats = {f.name: _column_stats(f) for f in fields}
+    if approx_distinct:
+        for name, s in stats.items():
+            s["unique_count"] = F.approx_count_distinct(name)
     wide = df.agg(*[e.alias(f"{s}__{i}") for i, f in enumerate(fields) for s, e in stats[f.name].items()])
     rows = [
         F.struct(
@@ -61,13 +98,13 @@ def column_profile(df: DataFrame, approx_distinct: bool = False, median: bool =
         for i, f in enumerate(fields)
     ]
     out = wide.select(F.inline(F.array(*rows)))
+    if median or not approx_distinct:
+        exact = _distinct_and_median(df, fields, median)
+        exact = exact.drop("unique_count") if approx_distinct else exact
+        out = out.join(F.broadcast(exact), "column_name", "left")  # one row per column
+    out = out.withColumn("unique_count", F.coalesce("unique_count", F.lit(0)))
     share = lambda c: F.try_divide(F.col(c) * 100.0, F.col("row_count"))
-    out = out.withColumns({"null_percentage": share("null_count"), "unique_percentage": share("unique_count")})
-    numbers = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
-    if median and numbers:
-        mid = exact_quantiles(df, numbers, {"median_value": 0.5}).withColumnRenamed("variable", "column_name")
-        out = out.join(F.broadcast(mid), "column_name", "left")  # one row per column
-    return out
+    return out.withColumns({"null_percentage": share("null_count"), "unique_percentage": share("unique_count")})
 
 
 def profile_compare(source: DataFrame, target: DataFrame) -> DataFrame:

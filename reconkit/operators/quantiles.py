@@ -29,11 +29,17 @@ def exact_quantiles(
     distinct values are ranked in range buckets and only the two neighbours of
     each requested rank are kept.
     """
+    long = long_values(df, columns, by)
+    if by:
+        long = long.dropna(subset=list(by))
+    counts = long.groupBy(*by, "variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_of_counts(counts, probs, by)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Quantiles from (by..., variable, value, n)."""
     keys = [*by, "variable"]
-    long = long_values(df, columns, by).dropna(subset=list(by)) if by else long_values(df, columns)
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     ranked = cumulative(counts, "value", ["n"], groups=keys)
-
     picks = []
     for name, p in probs.items():
         at = (F.col("total_n") - 1) * F.lit(float(p))

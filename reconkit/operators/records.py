@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reconkit.operators.cumulative import cumulative
 from reconkit.operators.ordering import first_n_per_group
-from reconkit.session import checkpointed
+from reconkit.session import checkpointed, local_rows
 
 # Comparison tolerance and the number of sample rows per column.
 TOLERANCE = 1e-6
@@ -113,8 +113,10 @@ def value_differences(
         ],
     ).first()
     spark = source.sparkSession
-    direct = spark.createDataFrame(
-        [(c, facts["pairs"], facts[f"d_{c}"]) for c in columns], "column_name string, compared bigint, different bigint"
+    direct = local_rows(
+        spark,
+        [(c, facts["pairs"], facts[f"d_{c}"]) for c in columns],
+        "column_name string, compared bigint, different bigint",
     )
     if not facts["repeated"]:
         return direct
@@ -171,16 +173,14 @@ def _pairs_within(long: DataFrame, keys: Sequence[str], tolerance: float) -> Dat
     For every source value v, target rows up to v + tolerance minus target rows
     below v - tolerance, read from running totals of the target counts.
     """
-    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    named = long.withColumn("_key", key)
     none = F.lit(0).cast("bigint")
 
     def event(at: Column, c: Column = none, hi: Column = none, lo: Column = none) -> Column:
         return F.struct(at.alias("v"), c.alias("c"), hi.alias("hi"), lo.alias("lo"))
 
-    counted = named.groupBy("_key", "column_name", "v").agg(F.sum("_s").alias("s"), F.sum("_t").alias("t"))
+    counted = long.groupBy(*keys, "column_name", "v").agg(F.sum("_s").alias("s"), F.sum("_t").alias("t"))
     events = counted.select(
-        "_key",
+        *keys,
         "column_name",
         F.inline(
             F.array(
@@ -190,10 +190,10 @@ def _pairs_within(long: DataFrame, keys: Sequence[str], tolerance: float) -> Dat
             )
         ),
     )
-    points = events.groupBy("_key", "column_name", "v").agg(
+    points = events.groupBy(*keys, "column_name", "v").agg(
         F.sum("c").alias("c"), F.sum("hi").alias("hi"), F.sum("lo").alias("lo")
     )
-    ranked = cumulative(points, "v", ["c"], groups=["_key", "column_name"])
+    ranked = cumulative(points, "v", ["c"], groups=[*keys, "column_name"])
     upto = F.col("hi") * (F.col("before_c") + F.col("c"))
     return ranked.groupBy("column_name").agg(F.sum(upto - F.col("lo") * F.col("before_c")).alias("same"))
 

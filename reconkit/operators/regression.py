@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from reconkit.functions import pvalues
 from reconkit.operators.hypothesis import auc, classification_report, confusion_matrix
+from reconkit.session import local_rows
 
 
 @dataclass
@@ -60,10 +61,10 @@ def proc_reg(df: DataFrame, model: str, confidence: float = 0.95) -> LinearFit:
     spark = df.sparkSession
     out = fitted.transform(design).withColumn("residual", F.col("_y") - F.col("fitted")).drop("_x", "_y")
     return LinearFit(
-        spark.createDataFrame(
-            rows, "term string, estimate double, std_error double, t double, p double, ci_low double, ci_high double"
+        local_rows(
+            spark, rows, "term string, estimate double, std_error double, t double, p double, ci_low double, ci_high double"
         ),
-        spark.createDataFrame([fit], "n bigint, r2 double, adj_r2 double, f double, f_p double, aic double, bic double"),
+        local_rows(spark, [fit], "n bigint, r2 double, adj_r2 double, f double, f_p double, aic double, bic double"),
         out if target in df.columns else out.drop(target),
     )
 
@@ -97,7 +98,7 @@ def proc_logistic(df: DataFrame, target: str, features: Sequence[str], c: float
     actual = scored.withColumn("_y", F.col("_y").cast("int"))
     rows = [("Intercept", float(model.intercept))] + [(f, float(b)) for f, b in zip(features, model.coefficients)]
     return LogisticFit(
-        df.sparkSession.createDataFrame(rows, "term string, estimate double"),
+        local_rows(df.sparkSession, rows, "term string, estimate double"),
         scored.drop("_y"),
         auc(actual, "_y", "probability"),
         confusion_matrix(actual, "_y", "prediction").withColumnRenamed("_y", "actual"),

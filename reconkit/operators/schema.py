@@ -14,6 +14,7 @@ from reconkit.functions.text import joined_list, remove_from_list
 from reconkit.functions.types import source_type_text, type_compatible
 from reconkit.operators.joins import merge, unmapped
 from reconkit.operators.matching import greedy_column_match
+from reconkit.session import local_rows
 
 # Status texts of a table pair.
 NO_MAPPING = "Column Mapping Not Provided"
@@ -46,8 +47,8 @@ def schema_as_table(
          (mapping or {}).get(f.name))
         for i, f in enumerate(df.schema, 1)
     ]
-    out = df.sparkSession.createDataFrame(
-        rows, "tbl string, position int, column_name string, data_type string, target_name string"
+    out = local_rows(
+        df.sparkSession, rows, "tbl string, position int, column_name string, data_type string, target_name string"
     )
     if mapping is None:
         out = out.drop("target_name")

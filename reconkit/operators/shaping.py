@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reconkit.functions.dates import month_text, year_text
+from reconkit.session import local_rows
 
 # Narrowing limits.
 FLOAT_TOLERANCE = 5e-4
@@ -168,7 +169,7 @@ def narrow_types(df: DataFrame, dictionary: bool = True) -> tuple[DataFrame, Dat
             candidate = d < DICTIONARY_MAX_VALUES and d / facts["n"] < DICTIONARY_MAX_RATIO
         old = f.dataType.simpleString()
         rows.append((f.name, old, narrow.get(f.name, old), candidate))
-    report = df.sparkSession.createDataFrame(
-        rows, "column_name string, data_type string, narrow_type string, dictionary_candidate boolean"
+    report = local_rows(
+        df.sparkSession, rows, "column_name string, data_type string, narrow_type string, dictionary_candidate boolean"
     )
     return df.withColumns({c: F.col(c).cast(t) for c, t in narrow.items()}), report

@@ -88,9 +88,11 @@ def interpolate_linear(
     rows = range_buckets(placed.withColumn("_known", known), ["_pos"], partition_by)
     rows = carry(rows, partition_by, {"_l": F.max("_known")}, {"_before": F.max("_l")})
     rows = carry(rows, partition_by, {"_f": F.min("_known")}, {"_after": F.min("_f")}, backwards=True)
-    w = bucket_window(["_pos"], partition_by)
-    left = F.coalesce(F.last("_known", True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.col("_before"))
-    right = F.coalesce(F.first("_known", True).over(w.rowsBetween(0, W.unboundedFollowing)), F.col("_after"))
+    # Both frames grow from the bucket's edge; a frame that shrinks costs quadratic time.
+    forward = W.partitionBy("_bucket", *partition_by).orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
+    backward = W.partitionBy("_bucket", *partition_by).orderBy(F.col("_pos").desc()).rowsBetween(W.unboundedPreceding, 0)
+    left = F.coalesce(F.last("_known", True).over(forward), F.col("_before"))
+    right = F.coalesce(F.last("_known", True).over(backward), F.col("_after"))
     rows = rows.withColumns({"_left": left, "_right": right})
     slope = (F.col("_right.v") - F.col("_left.v")) / (F.col("_right.p") - F.col("_left.p"))
     between = F.col("_left.v") + slope * (F.col("_pos") - F.col("_left.p"))

@@ -17,6 +17,7 @@ from reconkit.operators.schema import (
     schema_as_table,
 )
 from reconkit.operators.temporal import date_histogram, temporal_differences, temporal_summary
+from reconkit.session import local_rows
 from reconkit.sources.write import REPORT_COLUMNS
 
 SCHEMA = "tbl string, position int, column_name string, data_type string, target_name string"
@@ -43,7 +44,7 @@ class TablePair:
 
 
 def _stack(spark: SparkSession, frames: Sequence[DataFrame], schema: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames, spark.createDataFrame([], schema))
+    return reduce(DataFrame.unionByName, frames, local_rows(spark, [], schema))
 
 
 def _histograms(spark, pairs, side) -> DataFrame:
@@ -73,7 +74,8 @@ def _availability(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
         )
         for p in pairs
     ]
-    return spark.createDataFrame(
+    return local_rows(
+        spark,
         rows,
         "tbl string, product string, source_table string, target_table string, hydrated_only string, time_variable string, "
         "has_source boolean, has_mapping boolean, has_source_date boolean, source_columns int, "

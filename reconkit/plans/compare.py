@@ -23,6 +23,7 @@ from reconkit.operators.records import (
 )
 from reconkit.operators.schema import dtype_diff, schema_as_table, schema_diff
 from reconkit.operators.shaping import normalize_columns, numeric_columns
+from reconkit.session import local_rows
 
 # Significance level and validation tolerances.
 ALPHA = 0.05
@@ -76,7 +77,7 @@ class Comparison:
 def _summary_row(spark: SparkSession, values: dict, started: float) -> DataFrame:
     fields = [f.split(" ")[0] for f in SUMMARY.split(", ")]
     values = {**values, "execution_time": time.time() - started}
-    return spark.createDataFrame([tuple(values.get(f) for f in fields)], SUMMARY)
+    return local_rows(spark, [tuple(values.get(f) for f in fields)], SUMMARY)
 
 
 def _sampled(source: DataFrame, target: DataFrame, keys: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:

@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", name: str = "reconkit") -> SparkSession:
@@ -47,6 +51,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table of driver values; its size is known, so joins with it broadcast."""
+    types = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(types)
+    columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema=types)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Number of range buckets for order-dependent work, from the shuffle setting."""
     return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4096))
