@@ -39,15 +39,16 @@ def time_from_seconds(s: Column) -> Column:
 
 
 def year_text(d: Column) -> Column:
-    return F.date_format(d, "yyyy")
+    return F.lpad(F.year(d).cast("string"), 4, "0")
 
 
 def month_text(d: Column) -> Column:
-    return F.date_format(d, "MM")
+    return F.lpad(F.month(d).cast("string"), 2, "0")
 
 
 def date_text(d: Column) -> Column:
-    return F.date_format(d, "yyyy-MM-dd")
+    """``yyyy-MM-dd``, whatever the session time zone."""
+    return F.to_date(d).cast("string")
 
 
 def years_between(later: Column, earlier: Column) -> Column:

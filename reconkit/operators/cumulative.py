@@ -3,9 +3,9 @@
 Two building blocks:
 
 * ``cumulative`` works on a *value table* (one row per distinct value, with
-  counts).  Rows are cut into value ranges at approximate percentiles, running
-  totals are taken inside each range, and the totals of all earlier ranges are
-  added back.  Values are distinct, so no range can be dominated by one value.
+  counts).  Large groups are cut into value ranges at approximate percentiles,
+  running totals are taken inside each range, and the totals of all earlier
+  ranges are added back.  Values are distinct, so none can dominate a range.
 * ``range_buckets`` works on the rows themselves, for positional operators.
   Rows are range-partitioned on (group, order) and stored, so that a group
   holding a third of the table is spread over as many buckets as it needs.
@@ -14,6 +14,7 @@ Two building blocks:
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -35,6 +36,10 @@ def _bucket_of(x: Column, bounds: Column, size: int) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
+def _same(names: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in names])
+
+
 def cumulative(
     values: DataFrame,
     order: str,
@@ -45,22 +50,39 @@ def cumulative(
 ) -> DataFrame:
     """Add running totals along ``order`` to a table of distinct ``order`` values.
 
-    For each column ``c`` of ``sums``: ``before_c`` (sum over smaller values) and
+    For each count column ``c`` of ``sums``: ``before_c`` (sum over smaller values) and
     ``total_c`` (sum over the group).  For each of ``maxima``: ``upto_c``, the
     largest value seen so far, this row included.  ``order`` must be numeric and
     not null; a null in ``groups`` is a group of its own.
     """
     groups = list(groups)
     n = 1 << ((buckets or parallelism(values.sparkSession)) - 1).bit_length()
+    x = F.col(order).cast("double")
+    # Reading the counts in every branch below keeps their plans equal, so Spark
+    # computes the table and its shuffle once and reuses it.
+    present = [F.col(c) >= 0 for c in sums] + [F.col(c).isNotNull() for c in maxima]
+    values = values.filter(reduce(lambda a, b: a | b, present))
+
+    # A group is cut into ranges only if it holds more than 1/n of the rows: at
+    # most n groups, so this side and the n ranges of each are safe to broadcast.
+    large = values
+    marked = values.withColumn("_large", F.lit(True))
+    if groups:
+        rows = values.agg(F.count(F.lit(1)).alias("n")).scalar()
+        sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+        top = sizes.filter(F.col("_size") * n > rows).select(
+            *[F.col(g).alias(f"g_{g}") for g in groups], F.lit(True).alias("_large")
+        )
+        on = _same(groups, "g_")
+        large = values.join(F.broadcast(top), on, "left_semi")
+        marked = values.join(F.broadcast(top), on, "left").select(*values.columns, "_large")
     cuts = [i / n for i in range(1, n)]
-    bounds = values.agg(
-        F.percentile_approx(F.col(order).cast("double"), cuts, 20 * n).alias("b")
-    ).scalar()
-    ranged = values.withColumn("_bounds", bounds).withColumn(
-        "_bucket", _bucket_of(F.col(order).cast("double"), F.col("_bounds"), n)
+    bounds = large.agg(F.percentile_approx(x, cuts, 20 * n)).scalar()
+    ranged = marked.withColumn("_bounds", bounds).withColumn(
+        "_bucket", F.when(F.col("_large"), _bucket_of(x, F.col("_bounds"), n)).otherwise(F.lit(0))
     ).drop("_bounds")
 
-    per_bucket = ranged.groupBy(*groups, "_bucket").agg(
+    per_bucket = ranged.filter("_large").groupBy(*groups, "_bucket").agg(
         *[F.sum(c).alias(f"s_{c}") for c in sums], *[F.max(c).alias(f"m_{c}") for c in maxima]
     )
     # At most n rows per group, so this window never sees more than n rows at once.
@@ -68,29 +90,26 @@ def cumulative(
     whole = W.partitionBy(*groups)
     offsets = per_bucket.select(
         *[F.col(g).alias(f"o_{g}") for g in groups],
-        F.col("_bucket").alias("o_bucket"),
-        *[F.coalesce(F.sum(f"s_{c}").over(earlier), F.lit(0)).alias(f"off_{c}") for c in sums],
-        *[F.sum(f"s_{c}").over(whole).alias(f"total_{c}") for c in sums],
+        F.col("_bucket").alias("o__bucket"),
+        *[F.sum(f"s_{c}").over(earlier).alias(f"off_{c}") for c in sums],
+        *[F.sum(f"s_{c}").over(whole).alias(f"all_{c}") for c in sums],
         *[F.max(f"m_{c}").over(earlier).alias(f"off_{c}") for c in maxima],
     )
-    if not groups:
-        offsets = F.broadcast(offsets)  # n rows
 
-    local = W.partitionBy(*groups, "_bucket").orderBy(order)
-    before = local.rowsBetween(W.unboundedPreceding, -1)
-    upto = local.rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*groups, "_bucket")
+    before = inside.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    upto = inside.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     ranged = ranged.select(
         "*",
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"in_{c}") for c in sums],
+        *[F.sum(c).over(before).alias(f"in_{c}") for c in sums],
+        *[F.sum(c).over(inside).alias(f"bucket_{c}") for c in sums],
         *[F.max(c).over(upto).alias(f"in_{c}") for c in maxima],
     )
-    on = F.col("_bucket") == F.col("o_bucket")
-    for g in groups:
-        on = on & F.col(g).eqNullSafe(F.col(f"o_{g}"))
-    return ranged.join(offsets, on).select(
+    zero = F.lit(0)
+    return ranged.join(F.broadcast(offsets), _same([*groups, "_bucket"], "o_"), "left").select(
         *values.columns,
-        *[(F.col(f"in_{c}") + F.col(f"off_{c}")).alias(f"before_{c}") for c in sums],
-        *[F.col(f"total_{c}") for c in sums],
+        *[(F.coalesce(f"in_{c}", zero) + F.coalesce(f"off_{c}", zero)).alias(f"before_{c}") for c in sums],
+        *[F.coalesce(f"all_{c}", f"bucket_{c}").alias(f"total_{c}") for c in sums],
         *[F.greatest(f"in_{c}", f"off_{c}").alias(f"upto_{c}") for c in maxima],
     )
 

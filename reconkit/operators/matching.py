@@ -68,7 +68,7 @@ def greedy_column_match(source: DataFrame, target: DataFrame, by: Sequence[str])
     first_b = b.groupBy(*by, "b").agg(F.min("b_pos").alias("b_pos"))
     candidates = pairs.join(first_a, [*by, "a"]).join(first_b, [*by, "b"])
 
-    def choose(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def choose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         equal = pdf[pdf.a == pdf.b]
         chosen = list(zip(equal.a_pos, equal.a, equal.b))
         done, taken = set(equal.a), set(equal.b)

@@ -73,7 +73,7 @@ def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
 
 def row_range(df: DataFrame, order: Sequence[str], start: int, end: int) -> DataFrame:
     """Rows start..end (1-based, inclusive) in the given order."""
-    return with_position(df, order, name="_row").filter(F.col("_row").between(start, end)).drop("_row")
+    return df.orderBy(*sort_keys(order)).offset(start - 1).limit(end - start + 1)
 
 
 def listing(

@@ -23,11 +23,23 @@ SAMPLE_ROWS = 100
 HOT_KEYS = 1000
 
 
+def _comparable(a: T.DataType, b: T.DataType) -> bool:
+    dates = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    families = (T.NumericType, dates, T.StringType)
+    return a == b or any(isinstance(a, f) and isinstance(b, f) for f in families)
+
+
 def both_sides(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of both tables with counters ``_s`` and ``_t``; types are widened by name."""
+    """Rows of both tables with counters ``_s`` and ``_t``.
+
+    Types of one family are widened; others (say a number against text) are
+    compared as text.
+    """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    a = source.select(*columns, one.alias("_s"), none.alias("_t"))
-    b = target.select(*columns, none.alias("_s"), one.alias("_t"))
+    same = {c: _comparable(source.schema[c].dataType, target.schema[c].dataType) for c in columns}
+    cells = [F.col(c) if same[c] else F.col(c).cast("string").alias(c) for c in columns]
+    a = source.select(*cells, one.alias("_s"), none.alias("_t"))
+    b = target.select(*cells, none.alias("_s"), one.alias("_t"))
     return a.unionByName(b)
 
 

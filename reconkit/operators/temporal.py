@@ -13,7 +13,8 @@ from reconkit.operators.joins import merge
 
 def date_histogram(df: DataFrame, date_column: str, by: Sequence[str] = ()) -> DataFrame:
     """(by..., date text, n_rows)."""
-    return df.groupBy(*by, date_text(F.col(date_column)).alias("date")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = df.groupBy(*by, F.to_date(date_column).alias("date")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumn("date", date_text(F.col("date")))
 
 
 def temporal_differences(source: DataFrame, target: DataFrame, by: Sequence[str] = ()) -> DataFrame:

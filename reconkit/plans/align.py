@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from reconkit.functions.dates import date_text
 from reconkit.functions.text import split_trim_list
 from reconkit.operators.cumulative import cumulative
 from reconkit.operators.records import both_sides
@@ -31,8 +30,8 @@ def excluded_dates(report: DataFrame, tbl: str) -> DataFrame:
 
 def exclude_dates(df: DataFrame, date_column: str, dates: DataFrame) -> DataFrame:
     """Drop rows of the listed business dates; rows without a date stay."""
-    day = date_text(F.col(date_column))
-    return df.join(dates.select(F.col("date").alias("_day")), day == F.col("_day"), "left_anti")
+    excluded = dates.select(F.col("date").try_cast("date").alias("_day"))
+    return df.join(excluded, F.to_date(date_column) == F.col("_day"), "left_anti")
 
 
 def load_aligned(

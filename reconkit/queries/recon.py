@@ -297,17 +297,17 @@ def metadata_diff_no_mapping(t: Tables):
 
 @query(
     "clean_column_lists",
-    """SELECT c_mktsegment, (SELECT string_agg(x, '; ' ORDER BY x) FROM (SELECT DISTINCT s.s_name AS x FROM supplier s
-         WHERE s.s_nationkey = c.nk AND s.s_name NOT IN ('Supplier#000000001', 'Supplier#000000007'))) AS source_unique
-       FROM (SELECT c_mktsegment, max(c_nationkey) AS nk FROM customer GROUP BY 1) c""",
+    """SELECT p_brand, coalesce(string_agg(DISTINCT p_type, '; ' ORDER BY p_type) FILTER (WHERE p_type NOT IN ('PROMO', 'ECONOMY')), '') AS source_unique,
+       coalesce(string_agg(DISTINCT lower(p_type), '; ' ORDER BY lower(p_type)) FILTER (WHERE p_type <> 'STANDARD'), '') AS target_unique
+       FROM part GROUP BY 1""",
 )
 def clean_column_lists(t: Tables):
-    names = t.supplier.groupBy(F.col("s_nationkey").alias("nk")).agg(text.joined_list(F.col("s_name")).alias("source_unique"))
-    lists = t.customer.groupBy("c_mktsegment").agg(F.max("c_nationkey").alias("nk")).join(names, "nk", "left")
-    cleaned = S.clean_column_lists(
-        lists.withColumn("target_unique", F.lit("")), ["Supplier#000000001", "Supplier#000000007"], []
+    """Name lists per brand (part types: a short fixed domain), with known names taken out."""
+    lists = t.part.groupBy("p_brand").agg(
+        text.joined_list(F.col("p_type")).alias("source_unique"),
+        text.joined_list(F.lower("p_type")).alias("target_unique"),
     )
-    return cleaned.select("c_mktsegment", "source_unique")
+    return S.clean_column_lists(lists, ["PROMO", "ECONOMY"], ["standard"])
 
 
 @query(

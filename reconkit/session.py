@@ -13,9 +13,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
-def local_session(cores: str = "8", name: str = "reconkit") -> SparkSession:
+def local_session(cores: str = "8", name: str = "reconkit", **config: str) -> SparkSession:
     """A session for tests and the local bench; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
@@ -23,8 +23,10 @@ def local_session(cores: str = "8", name: str = "reconkit") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in config.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def _shared_root(spark: SparkSession) -> str:
@@ -60,5 +62,8 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Number of range buckets for order-dependent work, from the shuffle setting."""
-    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4096))
+    """Number of range buckets for order-dependent work, from the shuffle setting.
+
+    Bounded, because tables of buckets are broadcast.
+    """
+    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
