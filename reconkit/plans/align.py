@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from reconkit.functions.text import split_trim_list
 from reconkit.operators.cumulative import cumulative
 from reconkit.operators.records import both_sides
+from reconkit.session import checkpointed
 from reconkit.sources.scan import cutoff_filter
 
 # Relative and absolute tolerance of aligned numbers.
@@ -91,38 +92,39 @@ def _exact_compare(source: DataFrame, target: DataFrame, columns: Sequence[str])
     )
 
 
+def _rows_and_nulls(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
+    """(column_name, <side>_values, <side>_nulls) in one scan."""
+    wide = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    long = wide.unpivot(["_n"], list(columns), "column_name", f"{side}_nulls")
+    return long.withColumnRenamed("_n", f"{side}_values")
+
+
 def _numeric_compare(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pair the k-th smallest values of both sides without sorting in one place.
 
     A value that starts at rank r keeps that rank until the next start on its
     side.  Stacking the starts of both sides in rank order, the value in force on
     either side is the largest one started so far, as values grow with rank.
-    Nulls pair with nulls: their counts are compared like a value's.
+    Nulls pair with nulls, so only their numbers are compared.
     """
-    counts = _value_counts(source, target, columns, "double")
-    totals = counts.groupBy("column_name").agg(
-        F.sum("s").alias("source_values"),
-        F.sum("t").alias("target_values"),
-        F.sum(F.when(F.col("v").isNull(), F.abs(F.col("s") - F.col("t")))).alias("null_gap"),
+    totals = _rows_and_nulls(source, columns, "source").join(_rows_and_nulls(target, columns, "target"), "column_name")
+    counts = _value_counts(source, target, columns, "double").filter("v IS NOT NULL")
+    ranked = cumulative(counts, "v", ["s", "t"], groups=["column_name"])
+    none = F.lit(None).cast("double")
+    start = lambda n, rank, sv, tv: F.struct(
+        F.when(F.col(n) > 0, F.col(rank)).alias("rank"), sv.alias("sv"), tv.alias("tv")
     )
-    ranked = cumulative(counts.filter("v IS NOT NULL"), "v", ["s", "t"], groups=["column_name"])
-    starts = ranked.select(
-        "column_name",
-        F.inline(
-            F.array(
-                F.struct(F.when(F.col("s") > 0, F.col("before_s")).alias("rank"), F.col("v").alias("sv"), F.lit(None).cast("double").alias("tv")),
-                F.struct(F.when(F.col("t") > 0, F.col("before_t")).alias("rank"), F.lit(None).cast("double").alias("sv"), F.col("v").alias("tv")),
-            )
-        ),
-    ).filter("rank IS NOT NULL")
+    both = F.array(start("s", "before_s", F.col("v"), none), start("t", "before_t", none, F.col("v")))
+    starts = ranked.select("column_name", F.inline(both)).filter("rank IS NOT NULL")
     by_rank = starts.groupBy("column_name", "rank").agg(F.max("sv").alias("sv"), F.max("tv").alias("tv"))
-    filled = cumulative(by_rank, "rank", maxima=["sv", "tv"], groups=["column_name"])
+    # Stored, or the second pass over ranks would carry the whole first one in each of its branches.
+    filled = cumulative(checkpointed(by_rank), "rank", maxima=["sv", "tv"], groups=["column_name"])
     a, b = F.col("upto_sv"), F.col("upto_tv")
     far = F.abs(a - b) > F.greatest(F.lit(RTOL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ATOL))
     gaps = filled.groupBy("column_name").agg(F.count_if(F.coalesce(far, F.lit(True))).alias("gaps"))
+    null_gap = F.abs(F.col("source_nulls") - F.col("target_nulls"))
     return totals.join(gaps, "column_name", "left").select(
-        "column_name", "source_values", "target_values",
-        (F.coalesce("gaps", F.lit(0)) + F.coalesce("null_gap", F.lit(0))).alias("unequal"),
+        "column_name", "source_values", "target_values", (F.coalesce("gaps", F.lit(0)) + null_gap).alias("unequal")
     )
 
 
@@ -161,10 +163,12 @@ def align_and_compare(
     kept = aligned_columns(mapping, mismatched)
     if not kept:
         return Alignment("failed", "No aligned columns found")
+    if dates is not None:
+        dates = checkpointed(dates)  # a list of days, used by every scan below
     renamed = source.withColumnsRenamed(dict(mapping))
     a = load_aligned(renamed, list(kept.values()), cutoff, date_column, dates)
     b = load_aligned(target, list(kept.values()), cutoff, date_column, dates)
     if a.isEmpty() or b.isEmpty():
         return Alignment("failed", "Empty datasets after alignment")
-    compared = column_multiset_compare(a, b)
+    compared = checkpointed(column_multiset_compare(a, b))  # one row per column
     return Alignment("success", None, compared, alignment_summary(compared))
