@@ -21,6 +21,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from reconkit.session import checkpointed, parallelism
 
 
+# Limits on bucket numbers, as bucket tables are aggregated and broadcast; the
+# sample size per bucket for choosing value ranges; the largest hinted broadcast.
+MAX_VALUE_BUCKETS, MAX_ROW_BUCKETS = 16_384, 131_072
+SAMPLE_PER_BUCKET = 1000
+MAX_BROADCAST_ROWS = 1 << 20
+
+
 def _bucket_of(x: Column, bounds: Column, size: int) -> Column:
     """Number of the ``size - 1`` boundaries below ``x``, by halving.
 
@@ -56,19 +63,20 @@ def cumulative(
     not null; a null in ``groups`` is a group of its own.
     """
     groups = list(groups)
-    n = 1 << ((buckets or parallelism(values.sparkSession)) - 1).bit_length()
+    n = 1 << ((buckets or parallelism(values.sparkSession, MAX_VALUE_BUCKETS)) - 1).bit_length()
     x = F.col(order).cast("double")
     # Reading the counts in every branch below keeps their plans equal, so Spark
     # computes the table and its shuffle once and reuses it.
     present = [F.col(c) >= 0 for c in sums] + [F.col(c).isNotNull() for c in maxima]
     values = values.filter(reduce(lambda a, b: a | b, present))
 
-    # A group is cut into ranges only if it holds more than 1/n of the rows: at
-    # most n groups, so this side and the n ranges of each are safe to broadcast.
+    rows = values.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+    # A group is cut into ranges only if it holds more than 1/n of the rows, so
+    # there are at most n such groups and their list is safe to broadcast.
     large = values
     marked = values.withColumn("_large", F.lit(True))
     if groups:
-        rows = values.agg(F.count(F.lit(1)).alias("n")).scalar()
         sizes = values.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
         top = sizes.filter(F.col("_size") * n > rows).select(
             *[F.col(g).alias(f"g_{g}") for g in groups], F.lit(True).alias("_large")
@@ -76,8 +84,10 @@ def cumulative(
         on = _same(groups, "g_")
         large = values.join(F.broadcast(top), on, "left_semi")
         marked = values.join(F.broadcast(top), on, "left").select(*values.columns, "_large")
-    cuts = [i / n for i in range(1, n)]
-    bounds = large.agg(F.percentile_approx(x, cuts, 20 * n)).scalar()
+    # Range limits come from a bounded choice of values; they affect only the balance.
+    every = F.greatest(F.floor(rows / F.lit(SAMPLE_PER_BUCKET * n)), F.lit(1))
+    chosen = large.filter(F.pmod(F.xxhash64(order), every) == 0)
+    bounds = chosen.agg(F.percentile_approx(x, [i / n for i in range(1, n)], 20 * n)).scalar()
     ranged = marked.withColumn("_bounds", bounds).withColumn(
         "_bucket", F.when(F.col("_large"), _bucket_of(x, F.col("_bounds"), n)).otherwise(F.lit(0))
     ).drop("_bounds")
@@ -96,6 +106,9 @@ def cumulative(
         *[F.max(f"m_{c}").over(earlier).alias(f"off_{c}") for c in maxima],
     )
 
+    if not groups or n * n <= MAX_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)  # at most n groups of n ranges
+
     inside = W.partitionBy(*groups, "_bucket")
     before = inside.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     upto = inside.orderBy(order).rowsBetween(W.unboundedPreceding, 0)
@@ -106,7 +119,7 @@ def cumulative(
         *[F.max(c).over(upto).alias(f"in_{c}") for c in maxima],
     )
     zero = F.lit(0)
-    return ranged.join(F.broadcast(offsets), _same([*groups, "_bucket"], "o_"), "left").select(
+    return ranged.join(offsets, _same([*groups, "_bucket"], "o_"), "left").select(
         *values.columns,
         *[(F.coalesce(f"in_{c}", zero) + F.coalesce(f"off_{c}", zero)).alias(f"before_{c}") for c in sums],
         *[F.coalesce(f"all_{c}", f"bucket_{c}").alias(f"total_{c}") for c in sums],
@@ -124,7 +137,7 @@ def range_buckets(
     """
     spark = df.sparkSession
     keys = [F.col(c).asc_nulls_last() for c in [*partition_by, *order_by]]
-    ranged = df.repartitionByRange(parallelism(spark), *keys)
+    ranged = df.repartitionByRange(parallelism(spark, MAX_ROW_BUCKETS), *keys)
     return checkpointed(ranged.withColumn("_bucket", F.spark_partition_id()))
 
 

@@ -157,7 +157,7 @@ def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance) -> D
     """(column_name, more): differing pairs among keys that occur more than once on a side."""
     repeated = checkpointed(repeated)
     chosen = checkpointed(_rows_of(rows, repeated, keys))
-    pairs = repeated.agg(F.sum(F.col("s_rows") * F.col("t_rows")).alias("pairs"))
+    pairs = repeated.agg(F.sum(F.col("s_rows") * F.col("t_rows")).alias("pairs")).scalar()
     s, t = F.sum("_s").alias("s"), F.sum("_t").alias("t")
     equal = []
     exact = [c for c in columns if not kinds[c]]
@@ -174,9 +174,7 @@ def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance) -> D
         equal.append(nulls.groupBy("column_name").agg(F.sum(F.col("s") * F.col("t")).alias("same")))
         equal.append(_pairs_within(long.filter("v IS NOT NULL"), keys, tolerance))
     total = reduce(DataFrame.unionByName, equal).groupBy("column_name").agg(F.sum("same").alias("same"))
-    return total.join(F.broadcast(pairs)).select(  # one row
-        "column_name", (F.col("pairs") - F.col("same")).alias("more")
-    )
+    return total.select("column_name", (pairs - F.col("same")).alias("more"))
 
 
 def _pairs_within(long: DataFrame, keys: Sequence[str], tolerance: float) -> DataFrame:

@@ -30,6 +30,17 @@ STATUS = {
 }
 
 
+SCHEMA = "tbl string, position int, column_name string, data_type string, target_name string"
+
+
+def schema_rows(
+    df: DataFrame, tbl: str, mapping: Mapping[str, str] | None = None, source_types: bool = False
+) -> list[tuple]:
+    """One ``SCHEMA`` row per column of a table."""
+    kind = source_type_text if source_types else lambda f: f.dataType.simpleString()
+    return [(tbl, i, f.name, kind(f), (mapping or {}).get(f.name)) for i, f in enumerate(df.schema, 1)]
+
+
 def schema_as_table(
     df: DataFrame,
     tbl: str = "table",
@@ -42,14 +53,7 @@ def schema_as_table(
     ``source_types`` renders types the way the source database lists them;
     ``counts`` adds the non-null rows per column, in one scan.
     """
-    rows = [
-        (tbl, i, f.name, source_type_text(f) if source_types else f.dataType.simpleString(),
-         (mapping or {}).get(f.name))
-        for i, f in enumerate(df.schema, 1)
-    ]
-    out = local_rows(
-        df.sparkSession, rows, "tbl string, position int, column_name string, data_type string, target_name string"
-    )
+    out = local_rows(df.sparkSession, schema_rows(df, tbl, mapping, source_types), SCHEMA)
     if mapping is None:
         out = out.drop("target_name")
     if counts:

@@ -9,18 +9,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reconkit.operators.schema import (
+    SCHEMA,
     STATUS,
     clean_column_lists,
     metadata_diff,
     metadata_diff_no_mapping,
     pull_status,
-    schema_as_table,
+    schema_rows,
 )
 from reconkit.operators.temporal import date_histogram, temporal_differences, temporal_summary
-from reconkit.session import local_rows
+from reconkit.session import checkpointed, local_rows
 from reconkit.sources.write import REPORT_COLUMNS
 
-SCHEMA = "tbl string, position int, column_name string, data_type string, target_name string"
 HISTOGRAM = "tbl string, date string, n_rows bigint"
 PLACEHOLDER = "no_server_provided"
 
@@ -48,7 +48,10 @@ def _stack(spark: SparkSession, frames: Sequence[DataFrame], schema: str) -> Dat
 
 
 def _histograms(spark, pairs, side) -> DataFrame:
-    """Date histograms of all tables of one side; rows without a date keep a null date."""
+    """Date histograms of all tables of one side; rows without a date keep a null date.
+
+    Stored (a row per table and day), so that each table is read once.
+    """
     frames = []
     for p in pairs:
         df, column = getattr(p, side), getattr(p, f"{side}_date")
@@ -60,7 +63,7 @@ def _histograms(spark, pairs, side) -> DataFrame:
             else df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("date", F.lit(None).cast("string"))
         )
         frames.append(h.withColumn("tbl", F.lit(p.tbl)))
-    return _stack(spark, frames, HISTOGRAM)
+    return checkpointed(_stack(spark, frames, HISTOGRAM))
 
 
 def _availability(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:
@@ -106,18 +109,12 @@ def run_analysis(
     complete = [p for p in unique if p.source is not None and p.target is not None]
 
     def schemas(chosen, side):
-        frames = []
+        rows = []
         for p in chosen:
-            df = getattr(p, side)
-            mapping = (p.mapping or {}) if side == "source" else {}
-            s = schema_as_table(df, p.tbl, mapping, source_types=side == "source")
-            if side == "source" and p.source_types:
-                s = s.withColumn("data_type", F.coalesce(
-                    F.element_at(F.create_map(*[F.lit(x) for kv in p.source_types.items() for x in kv]), F.col("column_name")),
-                    "data_type",
-                ))
-            frames.append(s)
-        return _stack(spark, frames, SCHEMA)
+            listed = schema_rows(getattr(p, side), p.tbl, p.mapping, source_types=side == "source")
+            types = p.source_types if side == "source" else {}
+            rows += [(tbl, i, name, types.get(name, kind), to) for tbl, i, name, kind, to in listed]
+        return local_rows(spark, rows, SCHEMA)
 
     mapped = [p for p in complete if p.mapping is not None]
     bare = [p for p in complete if p.mapping is None]

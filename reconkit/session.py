@@ -61,9 +61,6 @@ def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema=types)
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Number of range buckets for order-dependent work, from the shuffle setting.
-
-    Bounded, because tables of buckets are broadcast.
-    """
-    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1024))
+def parallelism(spark: SparkSession, limit: int) -> int:
+    """Number of range buckets for order-dependent work, from the shuffle setting."""
+    return max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), limit))
