@@ -28,19 +28,18 @@ SAMPLE_PER_BUCKET = 1000
 MAX_BROADCAST_ROWS = 1 << 20
 
 
-def _bucket_of(x: Column, bounds: Column, size: int) -> Column:
-    """Number of the ``size - 1`` boundaries below ``x``, by halving.
+def _with_bucket(df: DataFrame, x: Column, bounds: Column, size: int) -> DataFrame:
+    """Add ``_bucket``: for ``_large`` rows the number of boundaries below ``x``.
 
-    ``size`` is a power of two.  The result is never null, so the joins on it
-    push no filter below the aggregation that produced ``x``.
+    ``size`` is a power of two, ``bounds`` has ``size - 1`` entries.  Each halving
+    step is a projection of its own, so that all of them run as generated code.
     """
-    steps = F.array(*[F.lit(size >> i) for i in range(1, size.bit_length())])
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda low, step: F.when(F.get(bounds, low + step - 1) < x, low + step).otherwise(low),
-    )
-    return F.coalesce(found, F.lit(0))
+    df = df.withColumns({"_bounds": bounds, "_probe": x, "_bucket": F.lit(0)})
+    for i in range(1, size.bit_length()):
+        step = size >> i
+        above = F.col("_large") & (F.get("_bounds", F.col("_bucket") + (step - 1)) < F.col("_probe"))
+        df = df.withColumn("_bucket", F.col("_bucket") + F.when(above, step).otherwise(0))
+    return df.drop("_bounds", "_probe")
 
 
 def _same(names: Sequence[str], prefix: str) -> Column:
@@ -85,12 +84,11 @@ def cumulative(
         large = values.join(F.broadcast(top), on, "left_semi")
         marked = values.join(F.broadcast(top), on, "left").select(*values.columns, "_large")
     # Range limits come from a bounded choice of values; they affect only the balance.
+    # Hashing the counts as well keeps the filter above the shared table.
     every = F.greatest(F.floor(rows / F.lit(SAMPLE_PER_BUCKET * n)), F.lit(1))
-    chosen = large.filter(F.pmod(F.xxhash64(order), every) == 0)
+    chosen = large.filter(F.pmod(F.xxhash64(order, *sums, *maxima), every) == 0)
     bounds = chosen.agg(F.percentile_approx(x, [i / n for i in range(1, n)], 20 * n)).scalar()
-    ranged = marked.withColumn("_bounds", bounds).withColumn(
-        "_bucket", F.when(F.col("_large"), _bucket_of(x, F.col("_bounds"), n)).otherwise(F.lit(0))
-    ).drop("_bounds")
+    ranged = _with_bucket(marked, x, bounds, n)
 
     per_bucket = ranged.filter("_large").groupBy(*groups, "_bucket").agg(
         *[F.sum(c).alias(f"s_{c}") for c in sums], *[F.max(c).alias(f"m_{c}") for c in maxima]
