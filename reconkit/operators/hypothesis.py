@@ -56,18 +56,15 @@ def _mw_p(n1: float, n2: float, u: float, ties: float) -> float:
 
 
 def distribution_tests(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """KS and Mann-Whitney with asymptotic p-values, one row per column."""
-    stats = rank_statistics(first, second, columns)
-
-    def add_p(batches):
-        for pdf in batches:
-            ok = (pdf.n1 > 0) & (pdf.n2 > 0)
-            pdf = pdf[ok].copy()
-            pdf["ks_p"] = [_ks_p(*r) for r in zip(pdf.n1, pdf.n2, pdf.ks_d)]
-            pdf["mw_p"] = [_mw_p(*r) for r in zip(pdf.n1, pdf.n2, pdf.u, pdf.ties)]
-            yield pdf[["variable", "n1", "n2", "ks_d", "ks_p", "u", "mw_p"]]
-
-    return stats.mapInPandas(add_p, RANK_STATS)  # one row per tested column
+    """KS and Mann-Whitney with asymptotic p-values, one row per column.
+
+    Only the finished statistics, one row per tested column, reach the driver.
+    """
+    tested = [r for r in rank_statistics(first, second, columns).collect() if r.n1 and r.n2]
+    rows = [
+        (r.variable, r.n1, r.n2, r.ks_d, _ks_p(r.n1, r.n2, r.ks_d), r.u, _mw_p(r.n1, r.n2, r.u, r.ties)) for r in tested
+    ]
+    return local_rows(first.sparkSession, rows, RANK_STATS)
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
