@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from reconkit.session import scratch_path
@@ -120,3 +120,25 @@ def hash_of_words(words: list[str]) -> np.uint64:
     table = np.ones(256, bool)
     table[32] = False
     return shingle_hashes(word_hashes(buffer, *words_of(buffer, table)), len(words))[0]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, id_col="doc_id", text_col="text") -> DataFrame:
+    """At most ``per_class`` texts of each value 0 and 1 of ``label``, chosen by a hash of id and text.
+
+    ``doc_id, text`` and all columns of ``labels`` but its id come back.  Rows with a null id or
+    another label take no part; an id with several labels or texts counts once for each pair.
+    """
+    own = id_and_text(docs, id_col, text_col)
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[c for c in labels.columns if c not in ("doc_id", "text")])
+    marks = marks.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    chosen = [marks.filter(F.col(label) == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
+    # at most 2 * per_class rows, so the broadcast has a bound
+    rows = own.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    order = F.xxhash64("doc_id", "text")
+    parts = [rows.filter(F.col(label) == v).orderBy(order).limit(per_class) for v in (0, 1)]
+    return parts[0].unionByName(parts[1])
+
+
+def held_out(doc_id: Column) -> Column:
+    """True for a quarter of the ids, whose labels no model sees."""
+    return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 4 == 2

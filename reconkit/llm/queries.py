@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import packing, token_output
+from reconkit.llm import packing, quality, token_output, toxicity
+from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,30 @@ def op7_token_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
     found = token_output.token_round_trip(table(spark, folder, "documents"), path, tokenizer("byte_bpe_50k.json"))
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    network = quality.fit(docs, labels.filter(~held_out(F.col("doc_id"))), "quality")
+    return quality.score(docs, network).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.expr("cast(score >= 0.7 as int)").alias("predicted")
+    )
+
+
+# fixed values: English insults by kind, weak labels of the first two links
+ABOUT_PEOPLE = ("idiot", "moron", "loser", "clown", "scum")
+ABOUT_WORTH = ("worthless", "pathetic", "disgusting", "stupid", "trash")
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Chain "people" -> "worth" -> "toxic"; the first two are weak labels, the last is ``labels.toxic``."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    marks = labels.filter(~held_out(F.col("doc_id")) & (F.col("toxic") == 1)).select("doc_id")
+    words = [F.lower("text").rlike(rf"\b({'|'.join(w)})\b").cast("int").alias(c) for w, c in ((ABOUT_PEOPLE, "people"), (ABOUT_WORTH, "worth"))]
+    weak = docs.join(marks, "doc_id", "left_semi").select("doc_id", *words).groupBy("doc_id").agg(F.max("people").alias("people"), F.max("worth").alias("worth"))
+    given = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", "toxic").join(weak, "doc_id", "left")
+    chain = toxicity.fit(docs, given, ["people", "worth", "toxic"])
+    found = toxicity.score(docs, chain)
+    return found.select("*", F.expr("cast(p_toxic >= 0.5 as int)").alias("toxic"))
