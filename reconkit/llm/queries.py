@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import packing, quality, token_output, toxicity
+from reconkit.llm import packing, quality, simhash, token_output, toxicity
 from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
@@ -67,3 +67,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     chain = toxicity.fit(docs, given, ["people", "worth", "toxic"])
     found = toxicity.score(docs, chain)
     return found.select("*", F.expr("cast(p_toxic >= 0.5 as int)").alias("toxic"))
+
+
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
