@@ -69,9 +69,8 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 1 << 16)
             for name, base in (("up", _PRIME), ("down", _INVERSE)):
-                table = np.full(n, base, np.uint64)
+                table = np.full(max(n, 1 << 20), base, np.uint64)
                 table[0] = 1
                 setattr(self, name, np.multiply.accumulate(table))
         return self.up[:n], self.down[:n]

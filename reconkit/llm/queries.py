@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import packing, quality, simhash, token_output, toxicity
+from reconkit.llm import decontaminate, packing, quality, simhash, token_output, toxicity
 from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
@@ -29,6 +29,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"), 1)
