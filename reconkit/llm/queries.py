@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import decontaminate, packing, quality, simhash, token_output, toxicity
+from reconkit.llm import decontaminate, licenses, packing, quality, simhash, token_counts, token_output, toxicity
 from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
@@ -78,3 +78,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    joined = {c: F.concat_ws(",", c) for c in ("base_labels", "labels")}
+    return found.withColumns(joined).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
