@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import decontaminate, licenses, packing, quality, simhash, token_counts, token_output, toxicity
+from reconkit.llm import decontaminate, licenses, neighbours, packing, quality, secret_scan, simhash, token_counts, token_output, toxicity
 from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_hash_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 @query
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -90,3 +96,13 @@ def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents"))
     joined = {c: F.concat_ws(",", c) for c in ("base_labels", "labels")}
     return found.withColumns(joined).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("found", lambda x: x["kind"] != "random")
+    counts = [F.size(F.expr(f"filter(found, x -> x.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("found")).alias("spans")
+    )
