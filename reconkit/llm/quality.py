@@ -166,3 +166,15 @@ def score(docs: DataFrame, network: Network, id_col="doc_id", text_col="text") -
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.float64())], ["doc_id", "score"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, network: Network, threshold: float = 0.7, text_col="text") -> DataFrame:
+    """The rows whose text scores at least ``threshold``, with all their columns; null text is empty."""
+
+    def run(batches):
+        tables = network.pair_tables()
+        for part in slices(batches, text_col):
+            texts = [t or "" for t in part[text_col].to_pylist()]
+            yield part.filter(pa.array(score_texts(network, tables, texts) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
