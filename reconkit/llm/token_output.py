@@ -48,8 +48,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
         for part in slices(batches, "ids"):
-            for ids in part["ids"]:
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+            total += np.bincount(np.frombuffer(b"".join(part["ids"].to_pylist()), "<u2"), minlength=1 << 16)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["id", "n"])
 
@@ -93,18 +92,25 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def pack_bits(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The codes of ``ids`` one after the other, and the bit offset of each ``CHECKPOINT_IDS``-th."""
+def pack_bits(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Codes of documents with ``n`` ids each, every document from a byte limit on.
+
+    Returns the bytes, where each document starts (one more at the end), and each id's bit offset in its document.
+    """
     size = lengths[ids]
-    at = np.cumsum(size) - size
-    bits = int(at[-1] + size[-1]) if len(ids) else 0
-    words = (bits + 31) // 32
+    ends = np.concatenate([[0], np.cumsum(size)])
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    bits = ends[bounds[1:]] - ends[bounds[:-1]]
+    starts = np.concatenate([[0], np.cumsum((bits + 7) // 8)])
+    inside = ends[:-1] - np.repeat(ends[bounds[:-1]], n)
+    at = inside + np.repeat(8 * starts[:-1], n)
+    words = (8 * starts[-1] + 31) // 32
     shifted = codes[ids] << (64 - size - (at & 31)).astype(np.uint64)
     word = at >> 5
     # bits never overlap, so sums below 2**32 stand for "or" and stay exact in doubles
     out = np.bincount(word, (shifted >> np.uint64(32)).astype(np.float64), words + 1)
     out += np.bincount(word + 1, (shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), words + 1)[: words + 1]
-    return out[:words].astype(">u4").tobytes()[: (bits + 7) // 8], at[::CHECKPOINT_IDS]
+    return out[:words].astype(">u4").tobytes()[: starts[-1]], starts, inside
 
 
 class Decoder:
@@ -147,14 +153,15 @@ def write_token_file(tokens: DataFrame, path: str) -> None:
     local_rows(spark, [(int(i), int(lengths[i])) for i in used], "id long, bits long").coalesce(1).write.parquet(f"{path}/code")
 
     def code(batches):
-        for part in slices(batches, "ids"):
-            rows = [pack_bits(np.frombuffer(x.as_buffer(), "<u2"), codes, lengths) for x in part["ids"]]
-            n = [len(x.as_buffer()) // 2 for x in part["ids"]]
-            marks = [a.astype("<i8").tobytes() for _, a in rows]
-            yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["tie"], pa.array(n, pa.int64()), pa.array([p for p, _ in rows], pa.binary()), pa.array(marks, pa.binary())],
-                ["doc_id", "tie", "n", "bits", "marks"],
-            )
+        for part in slices(batches, "ids", 1 << 20):
+            rows = part["ids"].to_pylist()
+            n = np.array([len(r) // 2 for r in rows], np.int64)
+            data, starts, inside = pack_bits(np.frombuffer(b"".join(rows), "<u2"), n, codes, lengths)
+            bits = [data[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+            cuts = np.concatenate([[0], np.cumsum(n)]).tolist()
+            marks = [inside[a:b:CHECKPOINT_IDS].astype("<i8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            own = [pa.array(n), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["tie"], *own], ["doc_id", "tie", "n", "bits", "marks"])
 
     def block(batches):
         part, number, first = TaskContext.get().partitionId(), 0, 0
@@ -197,21 +204,24 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Decoder(lengths)
-        for rows in slices(batches, "payload", 8 * BLOCK_BYTES):
-            for r in rows.to_pylist():
-                n = np.array(r["lengths"], np.int64)
-                marks = np.frombuffer(r["checkpoints"], "<i8")
-                stretches = -(-n // CHECKPOINT_IDS)
-                size = np.full(stretches.sum(), CHECKPOINT_IDS, np.int64)
-                size[np.cumsum(stretches)[n > 0] - 1] = ((n - 1) % CHECKPOINT_IDS + 1)[n > 0]
-                ids = own.ids(r["payload"], marks, size).astype("<u4")
-                ends = np.cumsum(n)
-                cut = [ids[e - m : e].tobytes() for e, m in zip(ends, n)]
-                start = before[r["part"]] + r["first_id"] + ends - n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["doc_ids"], pa.int64()), pa.array(start), pa.array(n), pa.array(cut, pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+        for rows in slices(batches, "payload", 16 * BLOCK_BYTES):
+            payloads = rows["payload"].to_pylist()
+            lengths_of = [np.array(x, np.int64) for x in rows["lengths"].to_pylist()]
+            base = 8 * (np.cumsum([len(p) for p in payloads]) - [len(p) for p in payloads])
+            marks = np.concatenate([np.frombuffer(m, "<i8") + b for m, b in zip(rows["checkpoints"].to_pylist(), base)])
+            n = np.concatenate(lengths_of)
+            stretches = -(-n // CHECKPOINT_IDS)
+            size = np.full(stretches.sum(), CHECKPOINT_IDS, np.int64)
+            size[np.cumsum(stretches)[n > 0] - 1] = ((n - 1) % CHECKPOINT_IDS + 1)[n > 0]
+            ids = own.ids(b"".join(payloads), marks, size).astype("<u4").tobytes()
+            ends = np.cumsum(n)
+            cut = [ids[4 * (e - m) : 4 * e] for e, m in zip(ends.tolist(), n.tolist())]
+            of_block = np.repeat(np.arange(len(payloads)), [len(x) for x in lengths_of])
+            block_start = np.array([before[p] for p in rows["part"].to_pylist()]) + rows["first_id"].to_numpy()
+            block_ids = np.array([x.sum() for x in lengths_of])
+            start = (block_start - np.cumsum(block_ids) + block_ids)[of_block] + ends - n
+            doc_ids = pa.array([d for x in rows["doc_ids"].to_pylist() for d in x], pa.int64())
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(start), pa.array(n), pa.array(cut, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return blocks.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 

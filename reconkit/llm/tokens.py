@@ -14,14 +14,13 @@ from collections.abc import Sequence
 
 import numpy as np
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 600_000
 _BLANK_GAPS = tuple(a + " " for a in " \t\n\r\x0b\x0c")
 _ANY_GAP = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
 _CONTROL = re.compile("[\x1c-\x1f]")
 _SPLIT = re.compile(r"[^\S\x1c-\x1f]+")
-# one run of letters that every Unicode version knows, then closing marks
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?&%$#*|)]*)\Z")
+_MARKS = ".,;:!?&%$#*|)"  # a run of these after letters is a pre-token of its own
 
 
 def _byte_letters() -> dict[int, str]:
@@ -58,12 +57,11 @@ class PieceEncoder:
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
     def _model(self, letters: str) -> bytes:
-        if (known := self.letters.get(letters)) is not None:
-            return known
-        if len(self.letters) >= CACHE_PIECES:
-            self.letters.clear()
+        """Ids of a space (if they count) and letters up to U+00FF: one pre-token, no change in normal form."""
         text = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_LETTERS)
         tokens = self.model.tokenize(_LETTERS[32] + text if self.spaces else text)
+        if len(self.letters) >= CACHE_PIECES:
+            self.letters.clear()
         self.letters[letters] = ids = array("H", [t.id for t in tokens]).tobytes()
         return ids
 
@@ -77,12 +75,16 @@ class PieceEncoder:
         if len(self.kept) + len(missing) > CACHE_PIECES:
             self.kept = {p: self.kept[p] for p in pieces if p in self.kept}
         odd = []
+        known, kept = self.letters, self.kept
         for p in missing:
-            if m := _PLAIN.match(p):
-                letters, marks = m.groups()
-                self.kept[p] = self._model(letters if self.spaces else letters.lower()) + (self._tail(marks) if marks else b"")
-            else:
+            body = p.rstrip(_MARKS)
+            if not body.isalpha() or not body.isascii() and max(body) > "ÿ":
                 odd.append(p)
+                continue
+            letters = body if self.spaces else body.lower()
+            if (ids := known.get(letters)) is None:
+                ids = self._model(letters)
+            kept[p] = ids + self._tail(p[len(body) :]) if len(body) < len(p) else ids
         for first in range(0, len(odd), 4096):
             some = odd[first : first + 4096]
             self.kept.update(zip(some, self._whole([self.lead + p for p in some])))
