@@ -3,8 +3,9 @@
 Two texts with a Jaccard similarity of 0.8 differ in some 10 and seldom 20 of 64 SimHash bits,
 too many for keys made of the bits.  So candidates meet under bands of MinHash values of
 the same shingles; inside a group the bit-sliced comparison of ``simhash`` keeps what is
-within the radius, and only links that hold a group together go on.  Each link is then
-verified on the texts themselves.  Equal texts are one text from the start.
+within the radius.  Of these pairs only a forest that holds the group together goes on,
+pairs with the most equal MinHash values first, and each of its links is verified on the
+texts themselves.  Equal texts are one text from the start.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from reconkit.llm.simhash import majority, near, planes_of
 
 RADIUS = 20  # bits
 SIMILARITY = 0.8
+SLACK = 0.2  # the share of equal MinHash values may fall this much short: over four standard deviations
 BANDS, ROWS = 16, 5  # a pair of similarity 0.8 shares no band with chance 0.002
 GROUP = 2048  # texts compared with each other in one cell of a larger group
 ANCHORS = 128  # texts of a larger group that every cell of it holds
@@ -33,7 +35,7 @@ def text_key(text: Column) -> Column:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``key, fingerprint, bands`` of each text (``key, text``) that has a word."""
+    """``key, fingerprint, bands, values`` of each text (``key, text``) that has a word; values are 16 bits of each MinHash."""
 
     def run(batches):
         for part in slices(batches):
@@ -52,14 +54,16 @@ def sketches(texts: DataFrame) -> DataFrame:
             prints = np.array([majority(np.unique(hashes[cuts[i] : cuts[i + 1]])) for i in rows], np.uint64)
             listed = pa.array(list(np.ascontiguousarray(bands.T).view(np.int64)), pa.list_(pa.int64()))
             own = part["key"].take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([own, pa.array(prints.view(np.int64)), listed], ["key", "fingerprint", "bands"])
+            kept = [v.tobytes() for v in np.ascontiguousarray(mixed(values).T).astype("<u2")]
+            columns = [own, pa.array(prints.view(np.int64)), listed, pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "fingerprint", "bands", "values"])
 
-    return texts.mapInArrow(run, "key binary, fingerprint long, bands array<long>")
+    return texts.mapInArrow(run, "key binary, fingerprint long, bands array<long>, values binary")
 
 
-def holding(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Links that join all values within the radius, each value's nearest first."""
-    parent = list(range(len(values)))
+def holding(prints: np.ndarray, values: np.ndarray, radius: int = RADIUS, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Links that join all pairs within the radius whose MinHash values don't speak against them; likest first."""
+    parent = list(range(len(prints)))
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -67,18 +71,21 @@ def holding(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
             x = parent[x]
         return x
 
-    planes, out = planes_of(values), []
-    for first in range(0, len(values), 256):
-        some = values[first : first + 256]
-        a, b = near(values, planes, some, radius)
+    planes, found = planes_of(prints), []
+    for first in range(0, len(prints), 64):
+        a, b = near(prints, planes, prints[first : first + 64], radius)
         keep = b < a + first
         a, b = a[keep] + first, b[keep]
-        distance = np.bitwise_count(values[a] ^ values[b])
-        for i in np.lexsort((b, distance, a)).tolist():
-            x, y = root(int(a[i])), root(int(b[i]))
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                out.append((int(a[i]), int(b[i])))
+        alike = (values[a] == values[b]).mean(axis=1)
+        keep = alike >= similarity - SLACK
+        found.append(np.column_stack([alike[keep], a[keep], b[keep]]))
+    pairs, out = np.concatenate(found), []
+    for i in np.lexsort((pairs[:, 2], pairs[:, 1], -pairs[:, 0])).tolist():
+        a, b = int(pairs[i, 1]), int(pairs[i, 2])
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
     return out
 
 
@@ -88,7 +95,7 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
     Groups above ``group`` texts are dealt to cells by hash; some ``ANCHORS`` of them are in
     every cell, so that a group around common texts holds together.
     """
-    listed = sketched.select("key", "fingerprint", F.explode("bands").alias("band"))
+    listed = sketched.select("key", F.explode("bands").alias("band"))
     sizes = listed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     sized = listed.join(sizes, "band")
     cells = F.ceil(F.col("n") / group).cast("int")
@@ -96,23 +103,25 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
     # about ANCHORS texts of a large group, chosen by hash, go to all its cells
     anchor = (F.col("n") > group) & (F.pmod(F.xxhash64("key", "band"), F.ceil(F.col("n") / ANCHORS)) == 0)
     cell = F.when(anchor, F.sequence(F.lit(0), cells - 1)).otherwise(F.array(own_cell))
-    dealt = sized.select("band", "key", "fingerprint", F.explode(cell).alias("cell"))
+    dealt = sized.select("band", "key", F.explode(cell).alias("cell")).join(sketched.select("key", "fingerprint", "values"), "key")
 
     def compare(batches):
-        mark, keys, prints = None, [], []
+        mark, keys, prints, values = None, [], [], []
 
         def flush():
-            links = holding(np.array(prints, np.int64).view(np.uint64), radius)
+            own = np.frombuffer(b"".join(values), "<u2").reshape(len(keys), -1)
+            links = holding(np.array(prints, np.int64).view(np.uint64), own, radius)
             return pa.RecordBatch.from_arrays([pa.array([keys[i] for i, _ in links], pa.binary()), pa.array([keys[j] for _, j in links], pa.binary())], ["a", "b"])
 
         for batch in batches:
-            for band, one, key, value in zip(*(batch[c].to_pylist() for c in ("band", "cell", "key", "fingerprint"))):
+            for band, one, key, print_, value in zip(*(batch[c].to_pylist() for c in ("band", "cell", "key", "fingerprint", "values"))):
                 if (band, one) != mark:
                     if len(keys) > 1:
                         yield flush()
-                    mark, keys, prints = (band, one), [], []
+                    mark, keys, prints, values = (band, one), [], [], []
                 keys.append(key)
-                prints.append(value)
+                prints.append(print_)
+                values.append(value)
         if len(keys) > 1:
             yield flush()
 
