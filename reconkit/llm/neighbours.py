@@ -49,11 +49,14 @@ class Forest:
         self.order = np.argsort(found, axis=1, kind="stable")
         self.sorted = np.take_along_axis(found, self.order, axis=1)
 
-    def candidates(self, queries: np.ndarray, share: float = SHARE) -> Iterator[np.ndarray]:
-        """For each query, the rows that share the prefix at the level where the trees together hold enough."""
+    def candidates(self, queries: np.ndarray, k: int, share: float = SHARE) -> Iterator[np.ndarray]:
+        """For each query, the rows that share the prefix at the level where the trees together hold enough.
+
+        Enough is ``share`` of the block and k rows in each tree, so k different rows come if there are as many.
+        """
         own = strings(queries, np.zeros(len(queries)), self.planes, self.middle)
         trees, n = self.sorted.shape
-        enough = np.full(len(queries), share * n)
+        enough = np.full(len(queries), share * n + trees * k)
         low, high = np.zeros((trees, len(queries)), np.int64), np.full((trees, len(queries)), n)
         waiting = np.arange(len(queries))
         for level in range(BITS + 1):  # bits dropped from the end: all trees ascend in step
@@ -72,7 +75,7 @@ class Forest:
 
     def nearest(self, queries: np.ndarray, k: int, share: float = SHARE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows and inner products of the candidates that can be among the k largest; ties at the limit stay."""
-        for query, rows in zip(queries, self.candidates(queries, share)):
+        for query, rows in zip(queries, self.candidates(queries, k, share)):
             scores = self.vectors[rows] @ query
             if len(rows) > k:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]

@@ -79,7 +79,7 @@ def near(values: np.ndarray, planes: np.ndarray, which: np.ndarray, radius: int
     """Pairs (position in ``which``, position in ``values``) at most ``radius`` bits apart."""
     full = ~np.uint64(0)
     found = [], []
-    counters = int(radius).bit_length()
+    counters = max(1, int(radius).bit_length())
     for n, q in enumerate(which.tolist()):
         alive = np.arange(planes.shape[1])
         count = [np.zeros(len(alive), np.uint64) for _ in range(counters)]
