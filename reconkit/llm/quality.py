@@ -51,6 +51,8 @@ def score_texts(network: Network, tables: list[np.ndarray], texts: list[str]) ->
     stream = b"".join(d.ljust(n * BLOCK, b"\0") for d, n in zip(data, blocks)) + bytes(WIDTH)
     stream = np.frombuffer(stream, np.uint8)
     most = np.empty((int(blocks.sum()), len(network.weights)), np.float32)
+    # a text's last windows hold padding only, but would reach into the next text
+    last = np.sort((np.cumsum(blocks)[:, None] * BLOCK - np.arange(1, WIDTH)).ravel())
     for first in range(0, len(most) * BLOCK, _PIECE):
         n = min(_PIECE, len(most) * BLOCK - first)
         piece = stream[first : first + n + WIDTH].astype(np.int32)
@@ -58,6 +60,7 @@ def score_texts(network: Network, tables: list[np.ndarray], texts: list[str]) ->
         answer = tables[0].take(pairs[:n], axis=0)
         for j, table in enumerate(tables[1:], 1):
             answer += table.take(pairs[2 * j : 2 * j + n], axis=0)
+        answer[last[np.searchsorted(last, first) : np.searchsorted(last, first + n)] - first] = 0
         most[first // BLOCK : (first + n) // BLOCK] = answer.reshape(n // BLOCK, BLOCK, -1).max(axis=1)
     most = np.maximum(most, 0)
     # chunk i is blocks i and i + 1 of one document; a document of one block has one chunk
