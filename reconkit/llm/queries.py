@@ -65,6 +65,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 # fixed values: English insults by kind, weak labels of the first two links
 ABOUT_PEOPLE = ("idiot", "moron", "loser", "clown", "scum")
 ABOUT_WORTH = ("worthless", "pathetic", "disgusting", "stupid", "trash")
+TOXIC_FROM = 0.25  # probability from which a text is called toxic
 
 
 @query
@@ -77,7 +78,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     given = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", "toxic").join(weak, "doc_id", "left")
     chain = toxicity.fit(docs, given, ["people", "worth", "toxic"])
     found = toxicity.score(docs, chain)
-    return found.select("*", F.expr("cast(p_toxic >= 0.5 as int)").alias("toxic"))
+    return found.select("*", F.expr(f"cast(p_toxic >= {TOXIC_FROM} as int)").alias("toxic"))
 
 
 @query

@@ -22,6 +22,7 @@ SAMPLE_PER_CLASS = 2000  # labelled rows of each class that training may use
 FOLDS = 5
 TERMS = 3000  # terms a link may use, chosen on its training rows alone
 MIN_ROWS = 4  # rows of the training sample a term must occur in
+SURPRISE = 3.0  # standard deviations by which a term's rows must differ from the share of all rows
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning that count as a term besides the word
 _STEPS = 250
 
@@ -84,8 +85,9 @@ def fit_link(n: int, row: np.ndarray, term: np.ndarray, before: np.ndarray, y: n
         return Link(np.zeros(0, np.uint64), np.zeros(0), np.zeros(before.shape[1]), float(np.log((positive + 1) / (n - positive + 1) / 2)))
     terms, index = np.unique(term, return_inverse=True)
     seen, hits = np.bincount(index), np.bincount(index, y[row])
-    apart = np.log((hits + 0.5) / (positive + 1)) - np.log((seen - hits + 0.5) / (n - positive + 1))
-    gain = np.where(seen >= MIN_ROWS, np.abs(apart) * np.sqrt(seen), 0)
+    rate = positive / n
+    surprise = np.abs(hits - seen * rate) / np.sqrt(seen * rate * (1 - rate))
+    gain = np.where((seen >= MIN_ROWS) & (surprise >= SURPRISE), surprise, 0)
     picked = np.sort(np.argsort(-gain, kind="stable")[: min(TERMS, int((gain > 0).sum()))])
     place = np.full(len(terms), -1)
     place[picked] = np.arange(len(picked))
