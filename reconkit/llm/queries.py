@@ -65,18 +65,16 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 # fixed values: English insults by kind, weak labels of the first two links
 ABOUT_PEOPLE = ("idiot", "moron", "loser", "clown", "scum")
 ABOUT_WORTH = ("worthless", "pathetic", "disgusting", "stupid", "trash")
-TOXIC_FROM = 0.25  # probability from which a text is called toxic
+TOXIC_FROM = 0.15  # probability from which a text is called toxic
 
 
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Chain "people" -> "worth" -> "toxic"; the first two are weak labels, the last is ``labels.toxic``."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    marks = labels.filter(~held_out(F.col("doc_id")) & (F.col("toxic") == 1)).select("doc_id")
-    words = [F.lower("text").rlike(rf"\b({'|'.join(w)})\b").cast("int").alias(c) for w, c in ((ABOUT_PEOPLE, "people"), (ABOUT_WORTH, "worth"))]
-    weak = docs.join(marks, "doc_id", "left_semi").select("doc_id", *words).groupBy("doc_id").agg(F.max("people").alias("people"), F.max("worth").alias("worth"))
-    given = labels.filter(~held_out(F.col("doc_id"))).select("doc_id", "toxic").join(weak, "doc_id", "left")
-    chain = toxicity.fit(docs, given, ["people", "worth", "toxic"])
+    kinds = {"people": ABOUT_PEOPLE, "worth": ABOUT_WORTH}
+    weak = {c: F.lower("text").rlike(rf"\b({'|'.join(w)})\b") for c, w in kinds.items()}
+    chain = toxicity.fit(docs, labels.filter(~held_out(F.col("doc_id"))), ["people", "worth", "toxic"], weak)
     found = toxicity.score(docs, chain)
     return found.select("*", F.expr(f"cast(p_toxic >= {TOXIC_FROM} as int)").alias("toxic"))
 

@@ -7,18 +7,18 @@ the earlier ones, so that they see them as uncertain as they are on new texts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reconkit.llm.common import (
     id_and_text, joined_bytes, labelled_sample, lower_ascii, slices, word_hashes, words_of,
 )
 
-SAMPLE_PER_CLASS = 2000  # labelled rows of each class that training may use
+SAMPLE_PER_CLASS = 1500  # labelled rows of each class that training may use
 FOLDS = 5
 TERMS = 3000  # terms a link may use, chosen on its training rows alone
 MIN_ROWS = 4  # rows of the training sample a term must occur in
@@ -127,13 +127,19 @@ def fit_chain(categories: Sequence[str], n: int, row: np.ndarray, term: np.ndarr
     return Chain(tuple(categories), links)
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_class: int = SAMPLE_PER_CLASS, id_col="doc_id", text_col="text") -> Chain:
+def fit(
+    docs: DataFrame, labels: DataFrame, categories: Sequence[str], weak: Mapping[str, Column] | None = None,
+    per_class: int = SAMPLE_PER_CLASS, id_col="doc_id", text_col="text",
+) -> Chain:
     """Train on at most ``per_class`` rows of each value of the last category.
 
-    ``labels`` has a 0/1 column per category; nulls in earlier ones count as 0.  Without
-    labelled rows every probability is constant.
+    ``labels`` has a 0/1 column per category; nulls in earlier ones count as 0.  ``weak``
+    gives earlier categories as conditions on the column ``text``, which hold for rows
+    of the last category only.  Without labelled rows every probability is constant.
     """
     sample = labelled_sample(docs, labels, categories[-1], per_class, id_col, text_col)
+    rude = F.col(categories[-1]) == 1
+    sample = sample.withColumns({c: (rude & condition).cast("int") for c, condition in (weak or {}).items()})
 
     def run(batches):
         for part in slices(batches):
@@ -153,6 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], per_class
     sets = [np.frombuffer(r["terms"], np.uint64) for r in rows]
     row = np.repeat(np.arange(n), [len(s) for s in sets])
     term = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    del sets
+    # no link can use a term that stands in fewer rows
+    _, index, seen = np.unique(term, return_inverse=True, return_counts=True)
+    often = seen[index] >= MIN_ROWS
+    row, term = row[often], term[often]
     y = np.array([[r[c] for c in categories] for r in rows], np.float64).reshape(n, len(categories))
     last = categories[-1]
     totals = {int(v): k for v, k in labels.filter(f"{last} in (0, 1)").groupBy(last).count().collect()}
