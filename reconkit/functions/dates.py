@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from zoneinfo import available_timezones
+
 from pyspark.sql import Column, functions as F
 
 # The epoch of package-style day and second counts, and the day length.
@@ -91,7 +93,8 @@ def is_valid_time(hour: Column, minute: Column, second: Column) -> Column:
 
 
 def is_valid_zone(zone: Column) -> Column:
-    """Whether the text has the form of a fixed offset within 18 hours, or names a region."""
-    offset = F.regexp_extract(zone, r"^[+-](\d{2}):([0-5]\d)$", 1).try_cast("int")
-    region = zone.rlike(r"^(UTC|GMT|[A-Z][A-Za-z]+(/[A-Z][A-Za-z_+\-0-9]+){1,2})$")
-    return F.coalesce(offset <= 18, F.lit(False)) | region
+    """Whether the text is a fixed offset of at most 18 hours or a known region name."""
+    sign = r"^[+-](\d{2}):([0-5]\d)$"
+    hours, minutes = (F.regexp_extract(zone, sign, i).try_cast("int") for i in (1, 2))
+    offset = F.coalesce(hours * 60 + minutes <= 18 * 60, F.lit(False))
+    return offset | zone.isin(*sorted({"UTC", "GMT", *available_timezones()}))

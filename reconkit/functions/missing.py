@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Float NaN to null; apply once where data enters."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 
 
 def is_missing_numeric(x: Column) -> Column:
@@ -29,11 +27,3 @@ def coalesce_text(*columns: Column) -> Column:
 def coalesce_numeric(*columns: Column) -> Column:
     """First value that is neither null nor NaN."""
     return F.coalesce(*[F.when(~F.isnan(c), c) for c in columns])
-
-
-def drop_missing(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    return df.dropna(subset=columns)
-
-
-def any_missing(df: DataFrame) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in df.columns])

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reconkit.functions.dates import date_text
+from reconkit.functions.missing import nan_to_null
 from reconkit.operators.ordering import sort_keys
 from reconkit.operators.quantiles import exact_quantiles
 from reconkit.operators.shaping import numeric_columns, text_columns
@@ -41,7 +42,8 @@ GROUP_FUNCTIONS = {
 def stats_long(
     df: DataFrame, columns: Sequence[str], stats: Mapping[str, Callable[[str], Column]], by: Sequence[str] = ()
 ) -> DataFrame:
-    """All statistics of all columns in one pass, one row per (by..., variable)."""
+    """All statistics of all columns in one pass, one row per (by..., variable).  NaN is missing."""
+    df = nan_to_null(df)
     cells = {(c, s): f"{s}__{i}" for i, c in enumerate(columns) for s in stats}
     wide = df.groupBy(*by).agg(*[stats[s](c).alias(a) for (c, s), a in cells.items()])
     rows = [
@@ -74,10 +76,19 @@ def proc_means_wide(
     by: Sequence[str],
     stats: Sequence[str] = ("mean", "std", "min", "max", "count"),
 ) -> DataFrame:
-    """Grouped statistics as ``variable_stat`` columns, one row per group."""
+    """Grouped statistics as ``variable_stat`` columns, one row per group; ``median`` is exact."""
     named = ["count" if s == "n" else s for s in stats]
-    aggs = [GROUP_FUNCTIONS[s](v).alias(f"{v}_{s}") for v in variables for s in named if s in GROUP_FUNCTIONS]
-    return df.dropna(subset=list(by)).groupBy(*by).agg(*aggs)
+    if unknown := [s for s in named if s not in GROUP_FUNCTIONS and s != "median"]:
+        raise ValueError(f"unsupported statistics {unknown}")
+    rows = nan_to_null(df).dropna(subset=list(by))
+    columns = [(v, s) for v in variables for s in named]
+    out = rows.groupBy(*by).agg(
+        *[GROUP_FUNCTIONS[s](v).alias(f"{v}_{s}") for v, s in columns if s != "median"] or [F.count(F.lit(1)).alias("_rows")]
+    )
+    if "median" in named:
+        mid = exact_quantiles(rows, variables, {"median": 0.5}, by).groupBy(*by).pivot("variable", list(variables)).agg(F.first("median"))
+        out = out.join(mid.withColumnsRenamed({v: f"{v}_median" for v in variables}), list(by), "left")
+    return out.select(*by, *[f"{v}_{s}" for v, s in columns])
 
 
 def _level_counts(df: DataFrame, variables: Sequence[str]) -> DataFrame:
@@ -111,16 +122,21 @@ def proc_freq_total(df: DataFrame, variables: Sequence[str] | None = None) -> Da
 def crosstab_margins(
     df: DataFrame, row: str, column: str, values: Sequence[str] | None = None, margin: str = ALL
 ) -> DataFrame:
-    """Two-way counts with a margin row and column; rows with a null key are left out."""
+    """Two-way counts with a margin row and column; rows with a null key are left out.
+
+    A real level with the margin's name is an error: choose another ``margin``.
+    """
     counts = df.dropna(subset=[row, column]).groupBy(row, column).agg(F.count(F.lit(1)).alias("_n"))
     cube = counts.cube(row, column).agg(
         F.sum("_n").alias("n"), F.grouping(row).alias("gr"), F.grouping(column).alias("gc")
     )
-    labelled = cube.select(
-        F.when(F.col("gr") == 1, margin).otherwise(F.col(row).cast("string")).alias(row),
-        F.when(F.col("gc") == 1, margin).otherwise(F.col(column).cast("string")).alias(column),
-        "n",
-    )
+
+    def label(total: str, c: str) -> Column:
+        level = F.col(c).cast("string")
+        clash = F.raise_error(F.lit(f"a level of {c} is named like the margin: {margin}"))
+        return F.when(F.col(total) == 1, margin).when(level == margin, clash).otherwise(level).alias(c)
+
+    labelled = cube.select(label("gr", row), label("gc", column), "n")
     wide = labelled.groupBy(row).pivot(column, [*values, margin] if values else None).agg(F.sum("n"))
     return wide.na.fill(0)
 
@@ -147,9 +163,9 @@ def proc_univariate(df: DataFrame, variables: Sequence[str] | None = None, by: S
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width bins over min..max, empty bins included."""
+    """Equal-width bins over min..max of the finite values, empty bins included."""
     x = _d(column)
-    data = df.select(x.alias("x")).filter(F.col("x").isNotNull())
+    data = df.select(x.alias("x")).filter(F.abs("x") < float("inf"))
     limits = data.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi")).alias("r")).scalar()
     width = (F.col("r.hi") - F.col("r.lo")) / bins
     index = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("r.lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
@@ -173,7 +189,7 @@ def group_by_having(
             if name not in GROUP_FUNCTIONS:
                 raise ValueError(f"unsupported aggregate {name}")
             aggs.append(GROUP_FUNCTIONS[name](column).alias(f"{column}_{name}"))
-    out = df.dropna(subset=list(group_cols)).groupBy(*group_cols).agg(*aggs)
+    out = nan_to_null(df).dropna(subset=list(group_cols)).groupBy(*group_cols).agg(*aggs)
     return out.filter(having) if having else out
 
 

@@ -33,7 +33,8 @@ def rank_statistics(first: DataFrame, second: DataFrame, columns: Sequence[str])
     ranked = cumulative(_sides(first, second, columns), "value", ["c1", "c2"], groups=["variable"])
     d = lambda c: F.col(c).cast("double")
     t = d("c1") + d("c2")
-    gap = F.abs((d("before_c1") + d("c1")) / d("total_c1") - (d("before_c2") + d("c2")) / d("total_c2"))
+    share = lambda c: F.try_divide(d(f"before_{c}") + d(c), d(f"total_{c}"))
+    gap = F.abs(share("c1") - share("c2"))  # null if a side has no value
     return ranked.groupBy("variable").agg(
         F.max("total_c1").alias("n1"),
         F.max("total_c2").alias("n2"),
@@ -58,7 +59,8 @@ def _mw_p(n1: float, n2: float, u: float, ties: float) -> float:
 def distribution_tests(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:
     """KS and Mann-Whitney with asymptotic p-values, one row per column.
 
-    Only the finished statistics, one row per tested column, reach the driver.
+    Only the finished statistics, one row per tested column, reach the driver.  A column
+    without values on a side has no row.
     """
     tested = [r for r in rank_statistics(first, second, columns).collect() if r.n1 and r.n2]
     rows = [
@@ -68,11 +70,11 @@ def distribution_tests(first: DataFrame, second: DataFrame, columns: Sequence[st
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact area under the ROC curve: U of positives against negatives."""
+    """Exact area under the ROC curve: U of positives against negatives; null with one class only."""
     pos = df.filter(F.col(label) == 1)
     neg = df.filter(F.col(label) == 0)
     s = rank_statistics(pos, neg, [score])
-    return s.select((F.col("u") / (F.col("n1").cast("double") * F.col("n2"))).alias("auc"))
+    return s.select(F.try_divide(F.col("u"), F.col("n1").cast("double") * F.col("n2")).alias("auc"))
 
 
 TTEST = "test string, variable string, group1 string, group2 string, n1 bigint, n2 bigint, mean1 double, mean2 double, t double, df double, p double, significant boolean"

@@ -54,7 +54,7 @@ def top_n(df: DataFrame, by: Sequence[str], n: int, largest: bool = True) -> Dat
 
 
 def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """First n rows of every group.
+    """First n rows of every group; end ``order`` in a unique column, or ties are cut at will.
 
     Up to Spark's group-limit threshold the rows are cut inside each map task
     before the shuffle; above it, positions are counted in range buckets.
@@ -67,13 +67,17 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """n rows in seeded hash order; the same rows on every run."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *[F.col(k) for k in key]).limit(n)
+    """n rows in the order of a seeded digest of the key; the same rows on every run."""
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
+    return df.orderBy(digest, *[F.col(k) for k in key]).limit(n)
 
 
 def row_range(df: DataFrame, order: Sequence[str], start: int, end: int) -> DataFrame:
-    """Rows start..end (1-based, inclusive) in the given order."""
-    return df.orderBy(*sort_keys(order)).offset(start - 1).limit(end - start + 1)
+    """Rows start..end (1-based, inclusive) in the given order, which should end in a unique column.
+
+    Positions are counted in range buckets, so no task sees the rows before ``start``.
+    """
+    return with_position(df, order, name="_pos").filter(F.col("_pos").between(start, end)).drop("_pos")
 
 
 def listing(

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from reconkit.functions.dates import DAY_SECONDS, date_text
+from reconkit.functions.missing import nan_to_null
 from reconkit.operators.joins import outer_with_provenance
 from reconkit.operators.quantiles import quantiles_of_counts
 from reconkit.operators.shaping import without_lineage
@@ -80,9 +81,9 @@ def column_profile(df: DataFrame, approx_distinct: bool = False, median: bool =
 
     Plain statistics of all columns take one scan.  Exact distinct counts and
     medians share a second one that counts distinct values per column;
-    ``approx_distinct`` with ``median=False`` does without it.
+    ``approx_distinct`` with ``median=False`` does without it.  NaN counts as null.
     """
-    df = without_lineage(df)
+    df = nan_to_null(without_lineage(df))
     fields = [f for f in df.schema if isinstance(f.dataType, T.AtomicType)]
     stats = {f.name: _column_stats(f) for f in fields}
     if approx_distinct:

@@ -29,17 +29,26 @@ def _comparable(a: T.DataType, b: T.DataType) -> bool:
     return a == b or any(isinstance(a, f) and isinstance(b, f) for f in families)
 
 
+def _compared_value(df: DataFrame, c: str, as_text: bool) -> Column:
+    """NaN counts as missing; maps are compared by their sorted entries."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.MapType):
+        return F.array_sort(F.map_entries(c)).cast("string")
+    value = F.when(~F.isnan(c), F.col(c)) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.col(c)
+    return value.cast("string") if as_text else value
+
+
 def both_sides(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of both tables with counters ``_s`` and ``_t``.
 
     Types of one family are widened; others (say a number against text) are
-    compared as text.
+    compared as text.  NaN becomes null here, once for every comparison below.
     """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    same = {c: _comparable(source.schema[c].dataType, target.schema[c].dataType) for c in columns}
-    cells = [F.col(c) if same[c] else F.col(c).cast("string").alias(c) for c in columns]
-    a = source.select(*cells, one.alias("_s"), none.alias("_t"))
-    b = target.select(*cells, none.alias("_s"), one.alias("_t"))
+    text = {c: not _comparable(source.schema[c].dataType, target.schema[c].dataType) for c in columns}
+    cells = lambda df: [_compared_value(df, c, text[c]).alias(c) for c in columns]
+    a = source.select(*cells(source), one.alias("_s"), none.alias("_t"))
+    b = target.select(*cells(target), none.alias("_s"), one.alias("_t"))
     return a.unionByName(b)
 
 
@@ -69,16 +78,26 @@ def match_summary(matched: DataFrame) -> DataFrame:
     return counted.withColumn("match_rate", rate)
 
 
-def _is_fractional(t: T.DataType) -> bool:
-    return isinstance(t, (T.DoubleType, T.FloatType))
+def is_fractional(t: T.DataType) -> bool:
+    return isinstance(t, T.NumericType) and not isinstance(t, T.IntegralType)
+
+
+def apart(a: Column, b: Column, limit: Column | float) -> Column:
+    """Whether two doubles are not equal and further apart than ``limit``.
+
+    Equal infinities are equal, any other pair with an infinity is apart, whatever the
+    limit; null equals null only.
+    """
+    gap = F.abs(a - b)
+    far = (gap > limit) | (gap == F.lit(float("inf"))) | F.isnan(gap)
+    return ~a.eqNullSafe(b) & F.coalesce(far, F.lit(True))
 
 
 def differs(a: Column, b: Column, fractional: bool, tolerance: float = TOLERANCE) -> Column:
     """Null equals null; a one-sided null differs; fractions compare within the tolerance."""
     if not fractional:
         return ~a.eqNullSafe(b)
-    far = F.abs(a.cast("double") - b.cast("double")) > tolerance
-    return F.when(a.isNull() | b.isNull(), a.isNull() != b.isNull()).otherwise(far)
+    return apart(a.cast("double"), b.cast("double"), tolerance)
 
 
 def _per_key(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -112,7 +131,7 @@ def value_differences(
     keys = list(keys)
     columns = list(columns or _common_columns(source, target, keys))
     rows = both_sides(source, target, [*keys, *columns])
-    kinds = {f.name: _is_fractional(f.dataType) for f in rows.schema}
+    kinds = {f.name: is_fractional(f.dataType) for f in rows.schema}
     common = _per_key(rows, keys, columns).filter("s_rows > 0 AND t_rows > 0")
     unique = (F.col("s_rows") == 1) & (F.col("t_rows") == 1)
 
@@ -217,25 +236,37 @@ def difference_rows(
 ) -> DataFrame:
     """Long table (keys..., column_name, source_value, target_value) of differing values.
 
-    A key that is duplicated on a side shows its largest value of that side.
+    A key that is repeated on a side stands for all pairs of its rows.  It is listed with
+    the pairs furthest apart (smallest against largest value) and one pair for a null
+    against a value: if any of its pairs differs, one of these does.
     """
     keys = list(keys)
     columns = list(columns or _common_columns(source, target, keys))
     rows = both_sides(source, target, [*keys, *columns])
-    kinds = {f.name: _is_fractional(f.dataType) for f in rows.schema}
-    common = _per_key(rows, keys, columns).filter("s_rows > 0 AND t_rows > 0")
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"s_{c}").cast("string").alias("source_value"),
-                F.col(f"t_{c}").cast("string").alias("target_value"),
-                differs(F.col(f"s_{c}"), F.col(f"t_{c}"), kinds[c], tolerance).alias("_differs"),
-            )
-            for c in columns
+    kinds = {f.name: is_fractional(f.dataType) for f in rows.schema}
+    aggs = []
+    for side, here in (("s", F.col("_s") > 0), ("t", F.col("_t") > 0)):
+        for c in columns:
+            value = F.when(here, F.col(c))
+            aggs += [F.min(value).alias(f"{side}_lo_{c}"), F.max(value).alias(f"{side}_hi_{c}"), F.count(value).alias(f"{side}_n_{c}")]
+    common = rows.groupBy(*keys).agg(F.sum("_s").alias("s_rows"), F.sum("_t").alias("t_rows"), *aggs)
+
+    def pairs(c: str) -> Column:
+        lo, hi, n = ({side: F.col(f"{side}_{part}_{c}") for side in "st"} for part in ("lo", "hi", "n"))
+        none = F.lit(None).cast("string")
+        pair = lambda a, b: F.struct(
+            F.lit(c).alias("column_name"), a.cast("string").alias("source_value"), b.cast("string").alias("target_value")
+        )
+        both = (n["s"] > 0) & (n["t"] > 0)
+        found = [
+            F.when(both & differs(a, b, kinds[c], tolerance), pair(a, b)) for a, b in ((lo["s"], hi["t"]), (hi["s"], lo["t"]))
         ]
-    )
-    return common.select(*keys, F.inline(cells)).filter("_differs").drop("_differs")
+        found.append(F.when((n["s"] < F.col("s_rows")) & (n["t"] > 0), pair(none, lo["t"])))
+        found.append(F.when((n["t"] < F.col("t_rows")) & (n["s"] > 0), pair(lo["s"], none)))
+        return F.array_distinct(F.array_compact(F.array(*found)))
+
+    listed = common.filter("s_rows > 0 AND t_rows > 0")
+    return listed.select(*keys, F.inline(F.flatten(F.array(*[pairs(c) for c in columns]))))
 
 
 def difference_sample(
@@ -246,5 +277,6 @@ def difference_sample(
     n: int = SAMPLE_ROWS,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """At most ``n`` differing rows per column, smallest keys first."""
-    return first_n_per_group(difference_rows(source, target, keys, columns, tolerance), ["column_name"], list(keys), n)
+    """At most ``n`` differing pairs per column, smallest keys first."""
+    order = [*keys, "source_value", "target_value"]
+    return first_n_per_group(difference_rows(source, target, keys, columns, tolerance), ["column_name"], order, n)

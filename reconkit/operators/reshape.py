@@ -30,12 +30,18 @@ def transpose_wide(
     return wide.na.fill(fill, cells).withColumnsRenamed({c: f"{prefix}{c}" for c in cells})
 
 
-def transpose_full(df: DataFrame, index: str) -> DataFrame:
-    """Rows to columns, for tables small enough to be a report.
+def transpose_full(df: DataFrame, index: str, values: Sequence | None = None) -> DataFrame:
+    """Rows to columns: ``key`` (the old column) and one column per index value.
 
-    Spark refuses above ``spark.sql.transposeMaxValues`` rows.
+    Pass ``values`` to save a pass over the index; repeated index values are an error,
+    as is a number of values above ``spark.sql.pivotMaxValues``.
     """
-    return df.transpose(F.col(index))
+    cells = [c for c in df.columns if c != index]
+    mixed = len({f.dataType for f in df.schema if f.name != index}) > 1
+    rows = df.select(F.col(index).cast("string").alias(index), *[F.col(c).cast("string").alias(c) if mixed else F.col(c) for c in cells])
+    long = rows.unpivot([index], cells, "key", "_v")
+    once = F.when(F.count(F.lit(1)) <= 1, F.first("_v")).otherwise(F.raise_error(F.lit(f"{index} repeats a value")))
+    return long.groupBy("key").pivot(index, [str(v) for v in values] if values else None).agg(once)
 
 
 def pivot_sum(df: DataFrame, by: Sequence[str], columns: str, value: str, values: Sequence) -> DataFrame:

@@ -12,7 +12,6 @@ from reconkit.functions.dates import month_text, year_text
 from reconkit.session import local_rows
 
 # Narrowing limits.
-FLOAT_TOLERANCE = 5e-4
 DICTIONARY_MAX_VALUES, DICTIONARY_MAX_RATIO = 1000, 0.5
 LINEAGE_PREFIX = "_upload"
 
@@ -131,9 +130,12 @@ def date_lookup(df: DataFrame, column: str, day: str) -> DataFrame:
     return df.filter((F.col(column) >= start) & (F.col(column) < start + F.expr("INTERVAL 1 DAY")))
 
 
-def narrow_types(df: DataFrame, dictionary: bool = True) -> tuple[DataFrame, DataFrame]:
+def narrow_types(df: DataFrame, dictionary: bool = True, float_loss: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Smallest integer and float types that hold the whole table, in one pass.
 
+    Doubles become float only if every value stays the same; ``float_loss`` allows an
+    absolute error, which the value comparison may then report.
+
     Returns the narrowed frame and a report (column_name, data_type, narrow_type,
     dictionary_candidate).  Types are decided once per table, not per file.
     ``dictionary=False`` leaves out the distinct counts of text columns.
@@ -145,7 +147,9 @@ def narrow_types(df: DataFrame, dictionary: bool = True) -> tuple[DataFrame, Dat
     for c in ints:
         aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
     for c in floats:
-        aggs.append(F.max(F.abs(F.col(c) - F.col(c).cast("float"))).alias(f"err_{c}"))
+        short = F.col(c).cast("float").cast("double")
+        kept = F.col(c).eqNullSafe(short) | (F.abs(F.col(c) - short) <= float_loss)
+        aggs += [F.count_if(~kept).alias(f"err_{c}"), F.count(c).alias(f"some_{c}")]
     for c in texts:
         aggs.append(F.count_distinct(c).alias(f"d_{c}"))
     facts = df.agg(*aggs).first().asDict()
@@ -159,8 +163,7 @@ def narrow_types(df: DataFrame, dictionary: bool = True) -> tuple[DataFrame, Dat
 
     narrow = {c: fits(c) for c in ints}
     for c in floats:
-        err = facts[f"err_{c}"]
-        narrow[c] = "float" if err is not None and err <= FLOAT_TOLERANCE else "double"
+        narrow[c] = "float" if facts[f"some_{c}"] and not facts[f"err_{c}"] else "double"
     rows = []
     for f in df.schema:
         candidate = False

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from reconkit.operators.cumulative import bucket_window, carry, cumulative, range_buckets, with_position
 from reconkit.operators.quantiles import exact_quantiles
@@ -30,11 +30,12 @@ def rolling_mean(
 ) -> DataFrame:
     """Mean of the last ``size`` rows, null until ``size`` values are there.
 
-    Rows are framed in chunks of ``chunk`` positions; each chunk also receives
+    Rows are framed in chunks of ``chunk`` positions, at least a window long; each also receives
     the ``size - 1`` rows before it, so no frame crosses a chunk.
     """
-    if size < 1 or size > chunk:
-        raise ValueError("window size must be between 1 and the chunk length")
+    if size < 1:
+        raise ValueError("window size must be positive")
+    chunk = max(chunk, size)
     placed = with_position(df, order_by, partition_by, "_pos")
     at = F.col("_pos") - 1
     home = F.floor(at / chunk)
@@ -62,9 +63,10 @@ def expanding_sum(
 
 
 def rank_min(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
-    """Competition rank of the non-null values; nulls stay unranked."""
+    """Competition rank of the non-null values in their own type; nulls and NaN stay unranked."""
     order = "_x"
-    present = df.withColumn(order, F.col(value).cast("double"))
+    fractional = isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
+    present = df.withColumn(order, F.when(~F.isnan(value), F.col(value)) if fractional else F.col(value))
     counts = present.dropna(subset=[order, *by]).groupBy(*by, order).agg(F.count(F.lit(1)).alias("n"))
     ranks = cumulative(counts, order, ["n"], groups=by).select(
         *by, order, (F.col("before_n") + 1).cast("bigint").alias(name)

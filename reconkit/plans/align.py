@@ -8,9 +8,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from reconkit.functions.missing import nan_to_null
 from reconkit.functions.text import split_trim_list
 from reconkit.operators.cumulative import cumulative
-from reconkit.operators.records import both_sides
+from reconkit.operators.records import apart, both_sides
 from reconkit.session import checkpointed
 from reconkit.sources.scan import cutoff_filter
 
@@ -54,8 +55,9 @@ def column_multiset_compare(source: DataFrame, target: DataFrame) -> DataFrame:
 
     Output: (column_name, source_values, target_values, type_match, values_match,
     unequal), where ``unequal`` counts distinct value pairs at equal rank that
-    are too far apart, or values whose counts differ.
+    are too far apart, or values whose counts differ.  NaN counts as null.
     """
+    source, target = nan_to_null(source), nan_to_null(target)
     left = {f.name: f.dataType for f in source.schema}
     common = [f for f in target.schema if f.name in left]
     numbers = [f.name for f in common if isinstance(f.dataType, T.NumericType) and isinstance(left[f.name], T.NumericType)]
@@ -120,8 +122,8 @@ def _numeric_compare(source: DataFrame, target: DataFrame, columns: Sequence[str
     # Stored, or the second pass over ranks would carry the whole first one in each of its branches.
     filled = cumulative(checkpointed(by_rank), "rank", maxima=["sv", "tv"], groups=["column_name"])
     a, b = F.col("upto_sv"), F.col("upto_tv")
-    far = F.abs(a - b) > F.greatest(F.lit(RTOL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ATOL))
-    gaps = filled.groupBy("column_name").agg(F.count_if(F.coalesce(far, F.lit(True))).alias("gaps"))
+    far = apart(a, b, F.greatest(F.lit(RTOL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ATOL)))
+    gaps = filled.groupBy("column_name").agg(F.count_if(far).alias("gaps"))
     null_gap = F.abs(F.col("source_nulls") - F.col("target_nulls"))
     return totals.join(gaps, "column_name", "left").select(
         "column_name", "source_values", "target_values", (F.coalesce("gaps", F.lit(0)) + null_gap).alias("unequal")

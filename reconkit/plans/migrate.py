@@ -8,7 +8,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType
 
 from reconkit.functions.types import cast_by_source_type
 from reconkit.operators.shaping import narrow_types, partition_columns, pick_date_column, rename_by_mapping
@@ -30,18 +32,34 @@ class TableJob:
     source_types: Mapping[str, str]
     mapping: Mapping[str, str]
     date_column: str | None = None  # target name; found from the schema if absent
-    narrow: bool = True  # one extra pass to choose the smallest types
+    narrow: bool = True  # one extra pass to choose the smallest types that lose nothing
 
 
 def migrate_table(job: TableJob, root: str, at: datetime, mode: str = "overwrite") -> str:
-    """cast, rename, narrow, derive partitions, stamp, write.  Returns the path."""
+    """cast, rename, narrow, derive partitions, stamp, write.  Returns the path.
+
+    Appended rows take the types of the files that are there; a value that does not fit
+    them is an error.
+    """
+    path = os.path.join(root, job.name)
     df = rename_by_mapping(cast_by_source_type(job.source, job.source_types), job.mapping)
-    if job.narrow:
+    written = _written_types(df.sparkSession, path) if mode == "append" else {}
+    if written:
+        df = df.withColumns({c: F.col(c).cast(written[c]) for c in df.columns if c in written})
+    elif job.narrow:
         df, _ = narrow_types(df, dictionary=False)
     date_column = job.date_column or pick_date_column(df)
     df = stamp_lineage(partition_columns(df, date_column, at.strftime("%Y-%m-%d")), at)
     parts = ["year", "month"] if date_column else ["migration_date"]
-    return write_partitioned_parquet(df, os.path.join(root, job.name), parts, mode)
+    return write_partitioned_parquet(df, path, parts, mode)
+
+
+def _written_types(spark: SparkSession, path: str) -> dict[str, DataType]:
+    """Column types of the table at ``path``; none if there is no table."""
+    try:
+        return {f.name: f.dataType for f in spark.read.parquet(path).schema}
+    except AnalysisException:
+        return {}
 
 
 def run_migration(

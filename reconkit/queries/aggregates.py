@@ -156,11 +156,11 @@ def stat_differences(t: Tables):
 
 
 def _returned(t: Tables):
-    return t.lineitem.filter("l_returnflag = 'A'"), t.lineitem.filter("l_returnflag = 'R'")
+    return t.lineitem.filter("l_returnflag <> 'R'"), t.lineitem.filter("l_returnflag = 'R'")
 
 
-RANKS = """WITH v AS (SELECT l_extendedprice AS x, CAST(count_if(l_returnflag = 'A') AS DOUBLE) AS c1, CAST(count_if(l_returnflag = 'R') AS DOUBLE) AS c2
-   FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1),
+RANKS = """WITH v AS (SELECT l_extendedprice AS x, CAST(count_if(l_returnflag <> 'R') AS DOUBLE) AS c1, CAST(count_if(l_returnflag = 'R') AS DOUBLE) AS c2
+   FROM lineitem GROUP BY 1),
  c AS (SELECT *, sum(c1) OVER w AS k1, sum(c2) OVER w AS k2, sum(c1) OVER () AS n1, sum(c2) OVER () AS n2 FROM v WINDOW w AS (ORDER BY x))
 """
 

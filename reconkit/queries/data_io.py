@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reconkit.functions.dates import date_text
 from reconkit.functions.text import split_trim_list
+from reconkit.operators.records import value_differences
 from reconkit.operators.temporal import date_histogram, temporal_differences, temporal_summary
 from reconkit.plans.analysis import run_analysis
 from reconkit.plans.migrate import TableJob, run_migration
@@ -222,6 +223,23 @@ def migrate_and_compare(t: Tables):
     return back.groupBy("year", "status").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("price"), 1).alias("total"))
 
 
+_COPIED = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query(
+    "migrated_values",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS compared, CAST(count_if(a.{c} IS DISTINCT FROM b.{c}) AS BIGINT) AS different
+            FROM lineitem a JOIN lineitem b USING (l_orderkey, l_linenumber)"""
+        for c in _COPIED
+    ),
+)
+def migrated_values(t: Tables):
+    """The copy of ``lineitem`` against the original: as many differing pairs as within the original, whose keys repeat."""
+    back = t.spark.read.parquet(f"{_migrated(t)[0]}/lineitem")
+    return value_differences(t.lineitem, back, ["l_orderkey", "l_linenumber"], _COPIED)
+
+
 GAP_LISTS = f"""WITH {TARGET},
  s AS (SELECT o_orderstatus AS tbl, strftime(o_orderdate, '%Y-%m-%d') AS d, count(*) AS n FROM orders GROUP BY ALL),
  g AS (SELECT o_orderstatus AS tbl, strftime(o_orderdate, '%Y-%m-%d') AS d, count(*) AS n FROM target GROUP BY ALL)

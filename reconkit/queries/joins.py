@@ -8,47 +8,46 @@ from reconkit.operators import joins as J, matching as M
 from reconkit.queries import TARGET, Tables, altered_orders, query, rnd
 
 
-def _rich(t: Tables):
-    """Customers with a high balance, nation unknown where it is very high."""
-    c = t.customer.filter("c_acctbal > 5000")
+def _customers(t: Tables):
+    """All customers by nation; a few nations are unknown."""
     key = F.when(F.col("c_acctbal") < 9500, F.col("c_nationkey"))
-    return c.select(key.alias("nationkey"), "c_custkey", "c_acctbal")
+    return t.customer.select(key.alias("nationkey"), "c_custkey", "c_acctbal")
 
 
 def _suppliers(t: Tables):
-    """Suppliers per nation, one row per key, some nations absent."""
-    key = F.when(F.col("s_acctbal") < 9000, F.col("s_nationkey"))
-    rich = t.supplier.filter("s_acctbal > 7000")
-    return rich.groupBy(key.alias("nationkey")).agg(F.count("s_suppkey").alias("suppliers"))
+    """All suppliers, counted by shifted nation and balance: repeated, unknown and unmatched keys."""
+    key = F.when(F.col("s_acctbal") < 9000, F.col("s_nationkey") + 5)
+    return t.supplier.groupBy(key.alias("nationkey"), (F.col("s_acctbal") > 4000).alias("rich")).agg(
+        F.count("s_suppkey").alias("suppliers")
+    )
 
 
-RICH = """
-rich AS (SELECT CASE WHEN c_acctbal < 9500 THEN c_nationkey END AS nationkey, c_custkey, c_acctbal
-         FROM customer WHERE c_acctbal > 5000),
-sup AS (SELECT CASE WHEN s_acctbal < 9000 THEN s_nationkey END AS nationkey, count(s_suppkey) AS suppliers
-        FROM supplier WHERE s_acctbal > 7000 GROUP BY 1)
+SIDES = """
+cust AS (SELECT CASE WHEN c_acctbal < 9500 THEN c_nationkey END AS nationkey, c_custkey, c_acctbal FROM customer),
+sup AS (SELECT CASE WHEN s_acctbal < 9000 THEN s_nationkey + 5 END AS nationkey, s_acctbal > 4000 AS rich,
+        count(s_suppkey) AS suppliers FROM supplier GROUP BY ALL)
 """
 
 for _how, _sql in (("inner", "JOIN"), ("left", "LEFT JOIN"), ("right", "RIGHT JOIN"), ("outer", "FULL JOIN")):
 
     @query(
         f"merge_{_how}",
-        f"""WITH {RICH} SELECT coalesce(rich.nationkey, sup.nationkey) AS nationkey, c_custkey, c_acctbal, suppliers
-            FROM rich {_sql} sup ON rich.nationkey IS NOT DISTINCT FROM sup.nationkey""",
+        f"""WITH {SIDES} SELECT coalesce(cust.nationkey, sup.nationkey) AS nationkey, c_custkey, c_acctbal, rich, suppliers
+            FROM cust {_sql} sup ON cust.nationkey IS NOT DISTINCT FROM sup.nationkey""",
     )
     def merged(t: Tables, how=_how):
-        return J.merge(_rich(t), _suppliers(t), ["nationkey"], how)
+        return J.merge(_customers(t), _suppliers(t), ["nationkey"], how)
 
 
 @query(
     "proc_sql_join",
     """SELECT o.o_orderkey, o.name AS name_left, c.name AS name_right, c.c_custkey
        FROM (SELECT o_orderkey, o_custkey, o_orderpriority AS name FROM orders) o
-       LEFT JOIN (SELECT c_custkey, c_name AS name FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey""",
+       LEFT JOIN (SELECT c_custkey + 10 AS c_custkey, c_name AS name FROM customer) c ON o.o_custkey = c.c_custkey""",
 )
 def proc_sql_join(t: Tables):
     left = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("name"))
-    right = t.customer.filter("c_acctbal > 0").select("c_custkey", F.col("c_name").alias("name"))
+    right = t.customer.select((F.col("c_custkey") + 10).alias("c_custkey"), F.col("c_name").alias("name"))
     out = J.sql_join(left, right, "left", left_on="o_custkey", right_on="c_custkey")
     return out.select("o_orderkey", "name_left", "name_right", "c_custkey")
 
@@ -96,30 +95,35 @@ def unmapped_columns(t: Tables):
 
 @query(
     "prefix_match_join",
-    """WITH a AS (SELECT DISTINCT p_brand AS a FROM part WHERE p_size <= 25),
-       b AS (SELECT DISTINCT p_brand AS b FROM part WHERE p_retailprice > 950)
+    """WITH a AS (SELECT DISTINCT p_brand AS a FROM part),
+       b AS (SELECT DISTINCT substr(p_brand, 1, CASE WHEN p_size % 2 = 0 THEN 7 ELSE 9 END) AS b FROM part)
        SELECT a, b FROM a JOIN b ON starts_with(a, b) OR starts_with(b, a)""",
 )
 def prefix_match_join(t: Tables):
-    a = t.part.filter("p_size <= 25").select(F.col("p_brand").alias("a"))
-    b = t.part.filter("p_retailprice > 950").select(F.col("p_brand").alias("b"))
+    a = t.part.select(F.col("p_brand").alias("a"))
+    b = t.part.select(F.expr("substr(p_brand, 1, if(p_size % 2 = 0, 7, 9))").alias("b"))
     return M.prefix_match_join(a, b, "a", "b")
 
 
 def _brand_lists(t: Tables):
-    """Two lists of brand codes per part type, in name order."""
+    """Brand codes and their first seven letters per part type, in name order."""
     from pyspark.sql import Window as W
 
     order = W.partitionBy("tbl").orderBy("column_name")  # brand codes of one type: a bounded list
-    names = t.part.select(F.col("p_type").alias("tbl"), F.col("p_brand").alias("column_name"), "p_size")
     rank = F.row_number().over(order)
-    a = names.filter("p_size < 8").select("tbl", "column_name").distinct().withColumn("position", rank)
-    b = names.filter("p_size > 42").select("tbl", "column_name").distinct().withColumn("position", rank)
-    return a, b
+    names = t.part.select(F.col("p_type").alias("tbl"), F.col("p_brand").alias("column_name"))
+    short = names.withColumn("column_name", F.substring("column_name", 1, 7))
+    return names.distinct().withColumn("position", rank), short.distinct().withColumn("position", rank)
 
 
-# A sequential choice per list pair; tested against a plain loop instead of SQL.
-@query("greedy_column_match")
+# A short name starts several codes and goes to the first of them; no code starts two short names.
+@query(
+    "greedy_column_match",
+    """WITH a AS (SELECT tbl, column_name, row_number() OVER (PARTITION BY tbl ORDER BY column_name) AS position
+         FROM (SELECT DISTINCT p_type AS tbl, p_brand AS column_name FROM part))
+       SELECT tbl, CAST(min(position) AS INTEGER) AS position, min(column_name) AS source_name, substr(column_name, 1, 7) AS target_name
+       FROM a GROUP BY tbl, substr(column_name, 1, 7)""",
+)
 def greedy_column_match(t: Tables):
     a, b = _brand_lists(t)
     return M.greedy_column_match(a, b, ["tbl"])
@@ -127,23 +131,24 @@ def greedy_column_match(t: Tables):
 
 @query(
     "list_difference",
-    """WITH a AS (SELECT DISTINCT c_name AS a FROM customer), b AS (SELECT DISTINCT c_name AS b FROM customer WHERE c_acctbal > 0)
-       SELECT a FROM a WHERE a NOT IN (SELECT b FROM b) AND NOT regexp_matches(a, '^(Customer#0000000|Customer#.*9$)')""",
+    """WITH a AS (SELECT DISTINCT c_name AS a FROM customer),
+       n AS (SELECT DISTINCT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS b FROM orders WHERE o_custkey IS NOT NULL)
+       SELECT a FROM a WHERE NOT EXISTS (SELECT 1 FROM n WHERE starts_with(a, b) OR starts_with(b, a))
+         AND NOT regexp_matches(a, '^(Customer#0000000|Customer#.*9$)')""",
 )
 def list_difference(t: Tables):
-    b = t.customer.filter("c_acctbal > 0").select(F.col("c_name").alias("b"))
+    b = t.orders.select(F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("b"))
     a = t.customer.select(F.col("c_name").alias("a"))
     return M.list_difference(a, b, "a", "b", "prefix", ["Customer#0000000", "Customer#.*9$"])
 
 
 @query(
     "list_difference_exact",
-    """SELECT DISTINCT p_brand AS a FROM part WHERE p_brand NOT IN
-       (SELECT p_brand FROM part WHERE p_type = 'ECONOMY' AND p_size > 40)""",
+    """SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS a FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""",
 )
 def list_difference_exact(t: Tables):
-    a = t.part.select(F.col("p_brand").alias("a"))
-    b = t.part.filter("p_type = 'ECONOMY' AND p_size > 40").select(F.col("p_brand").alias("b"))
+    a = t.customer.select(F.col("c_custkey").cast("string").alias("a"))
+    b = t.supplier.select(F.col("s_suppkey").cast("string").alias("b"))
     return M.list_difference(a, b, "a", "b", "exact")
 
 

@@ -149,8 +149,7 @@ def top_n(t: Tables):
     return pick("top", True).unionByName(pick("bottom", False))
 
 
-# Seeded sample: which rows are drawn depends on the hash, so only rows are checked.
-@query("sample_n")
+@query("sample_n", "SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '|42'), o_orderkey LIMIT 100")
 def sample_n(t: Tables):
     return O.sample_n(t.orders, 100, 42, ["o_orderkey"])
 

@@ -19,14 +19,13 @@ def is_prefix_either(t: Tables):
 
 @query(
     "ci_compare",
-    """SELECT doc_id, lower(substr(text, 1, 4)) = lower(upper(substr(text, 1, 4))) AS same, starts_with(lower(text), 'the') AS starts,
+    """SELECT doc_id, lower(text) = lower(upper(text)) AS same, starts_with(lower(text), 'the') AS starts,
        contains(lower(text), 'license') AS has FROM documents""",
 )
 def ci_compare(t: Tables):
-    head = F.substring("text", 1, 4)
     return t.documents.select(
         "doc_id",
-        text.ci_equals(head, F.upper(head)).alias("same"),
+        text.ci_equals(F.col("text"), F.upper("text")).alias("same"),
         text.ci_startswith(F.col("text"), F.lit("The")).alias("starts"),
         text.lower_contains(F.col("text"), "LICENSE").alias("has"),
     )

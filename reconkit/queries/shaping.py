@@ -235,7 +235,7 @@ def cast_by_source_type(t: Tables):
        SELECT column_name, data_type, CASE WHEN lo >= -128 AND hi < 128 THEN 'tinyint'
          WHEN lo >= -32768 AND hi < 32768 THEN 'smallint' WHEN lo >= -2147483648 AND hi < 2147483648 THEN 'int'
          ELSE data_type END AS narrow_type, false AS dictionary_candidate FROM c
-       UNION ALL SELECT column_name, 'double', CASE WHEN e <= 0.0005 THEN 'float' ELSE 'double' END, false FROM f
+       UNION ALL SELECT column_name, 'double', CASE WHEN e = 0 THEN 'float' ELSE 'double' END, false FROM f
        UNION ALL SELECT column_name, 'string', 'string', d < 1000 AND d * 1.0 / n < 0.5 FROM s
        UNION ALL SELECT 'l_shipdate', 'timestamp_ntz', 'timestamp_ntz', false""",
 )

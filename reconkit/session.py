@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -14,13 +15,21 @@ from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", name: str = "reconkit", **config: str) -> SparkSession:
-    """A session for tests and the local bench; clusters bring their own."""
+    """A session for tests and the local bench; clusters bring their own.
+
+    Stored copies go to a folder of its own below the system's temporary one, unless
+    ``spark.checkpoint.dir`` is given, and are removed with the tables that need them.
+    """
+    if "spark.checkpoint.dir" not in config:
+        config["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="reconkit-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.executorEnv.PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -31,12 +40,12 @@ def local_session(cores: str = "8", name: str = "reconkit", **config: str) -> Sp
 
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not root and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        # one process: its own temporary folder is shared by all tasks
+        root = tempfile.mkdtemp(prefix="reconkit-")
+        spark.sparkContext.setCheckpointDir(root)
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="reconkit-")
-    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -104,16 +104,6 @@ def manifest_cutoff(manifest: DataFrame, table_name: str | None = None) -> datet
     return manifest.agg(F.min("session_start")).first()[0]
 
 
-def cutoff_texts(cutoff: datetime) -> dict[str, str]:
-    """Cutoff as predicate texts at full precision."""
-    return {
-        "cutoff_date": cutoff.strftime("%Y-%m-%d"),
-        "cutoff_timestamp": cutoff.isoformat(),
-        "where_date": f"_upload_date <= '{cutoff.strftime('%Y-%m-%d')}'",
-        "where_timestamp": f"_upload_timestamp <= TIMESTAMP '{cutoff.isoformat(sep=' ')}'",
-    }
-
-
 def manifest_summary(manifest: DataFrame) -> DataFrame:
     return manifest.agg(
         F.count(F.lit(1)).alias("total_tables"),

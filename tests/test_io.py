@@ -29,8 +29,6 @@ def test_cutoff_keeps_its_own_second(spark, tmp_path):
     at = datetime(2024, 1, 1, 12, 0, 0, 123456)
     df = write.stamp_lineage(spark.range(3), at).unionByName(write.stamp_lineage(spark.range(2), datetime(2024, 1, 1, 12, 0, 0, 123457)))
     assert scan.cutoff_filter(df, at).count() == 3 and scan.cutoff_filter(df, None).count() == 5
-    texts = write.cutoff_texts(at)
-    assert df.filter(texts["where_timestamp"]).count() == 3 and df.filter(texts["where_date"]).count() == 5
 
 
 def test_cutoff_reaches_the_scan(spark, tmp_path):
@@ -100,3 +98,18 @@ def test_manifest_time_zone(spark, tmp_path):
     write.write_manifest(spark, [("t", "p", 1, 0.5, at, "2024-01-01", at, at)], str(tmp_path / "m"))
     got = write.read_manifest(spark, str(tmp_path / "m")).select(F.unix_micros("upload_timestamp")).first()[0]
     assert got == int(at.timestamp()) * 1_000_000 + 7
+
+
+def test_copies_lose_no_digits(spark, tmp_path):
+    from reconkit.operators.records import value_differences
+    from reconkit.plans.migrate import TableJob, migrate_table
+
+    df = spark.range(50).selectExpr("id AS k", "1000.01 + id / 7.0 AS price", "CAST(id AS double) AS whole")
+    path = migrate_table(TableJob("t", df, {}, {}), str(tmp_path), datetime(2024, 1, 1))
+    back = spark.read.parquet(path)
+    assert {r.column_name: r.different for r in value_differences(df, back, ["k"], ["price", "whole"]).collect()} == {"price": 0, "whole": 0}
+    assert dict(back.dtypes)["whole"] == "float"
+    more = spark.range(50, 60).selectExpr("id AS k", "2.5 AS price", "CAST(id AS double) AS whole")
+    migrate_table(TableJob("t", more, {}, {}), str(tmp_path), datetime(2024, 1, 2), mode="append")
+    again = spark.read.parquet(path)
+    assert again.count() == 60 and again.dtypes == back.dtypes and again.agg({"price": "min"}).first()[0] == 2.5

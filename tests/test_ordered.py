@@ -113,3 +113,21 @@ def test_sort_puts_nulls_last_both_ways(frame):
 def test_sample_is_stable(frame):
     a, b = (O.sample_n(frame, 50, 9, ["id"]).select("id").collect() for _ in range(2))
     assert a == b and len(a) == 50
+
+
+def test_ranks_of_large_integers_stay_apart(spark):
+    df = spark.createDataFrame([(2**53,), (2**53 + 1,), (5,)], "v bigint")
+    assert sorted(r["rank"] for r in V.rank_min(df, "v").collect()) == [1, 2, 3]
+
+
+def test_window_longer_than_a_chunk(spark):
+    df = spark.range(40).selectExpr("id", "CAST(id AS double) AS x")
+    got = {r["id"]: r["rolling"] for r in V.rolling_mean(df, "x", 12, ["id"], chunk=5).collect()}
+    assert got[10] is None and got[11] == 5.5 and got[39] == 33.5
+
+
+def test_transpose_beyond_five_hundred_rows(spark):
+    from reconkit.operators.reshape import transpose_full
+
+    row = transpose_full(spark.range(700).selectExpr("concat('r', id) AS name", "id * 2 AS v"), "name").collect()
+    assert len(row) == 1 and row[0]["key"] == "v" and row[0]["r699"] == 1398

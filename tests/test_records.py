@@ -21,11 +21,11 @@ def brute(a, b, tol=1e-6):
             continue
         out["pairs"] += 1
         out["s"] += p[1] != q[1]
-        out["d"] += p[3] != q[3]
-        if p[2] is None or q[2] is None:
-            out["x"] += (p[2] is None) != (q[2] is None)
-        else:
-            out["x"] += abs(p[2] - q[2]) > tol
+        for name, i in (("x", 2), ("d", 3)):
+            if p[i] is None or q[i] is None:
+                out[name] += (p[i] is None) != (q[i] is None)
+            else:
+                out[name] += abs(p[i] - q[i]) > tol
     return out
 
 
@@ -155,4 +155,64 @@ def test_validate_numeric_tolerances(spark):
     got = {r.test_name: r.passed for r in compare.validate_numeric(cases, 0.5).collect()}
     assert got == {"a": True, "b": True, "c": False}
     s = compare.validation_summary(compare.validate_numeric(cases, 0.1)).first()
-    assert (s.total_tests, s.passed, s.failed_tests) == (3, 1, "b; c")
+    assert (s.total_tests, s.passed, s.failed) == (3, 1, 2)
+    assert {r.test_name for r in compare.failed_tests(compare.validate_numeric(cases, 0.1)).collect()} == {"b", "c"}
+
+
+SPECIAL = [1.0, 1.0000001, float("nan"), float("inf"), float("-inf"), None, 2.0]
+
+
+def _differ(a, b):
+    missing = [x is None or x != x for x in (a, b)]
+    if any(missing):
+        return missing[0] != missing[1]
+    return a != b and not abs(a - b) <= 1e-6
+
+
+def test_special_values_alike_for_unique_and_repeated_keys(spark):
+    rows = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in SPECIAL for b in SPECIAL)]
+    s = spark.createDataFrame([(k, a) for k, a, _ in rows], "k bigint, v double")
+    t = spark.createDataFrame([(k, b) for k, _, b in rows], "k bigint, v double")
+    want = sum(_differ(a, b) for _, a, b in rows)
+    assert R.value_differences(s, t, ["k"]).first().different == want
+    one = lambda df: df.selectExpr("1 AS k", "v")
+    pairs = sum(_differ(a, b) for _, a, _ in rows for _, _, b in rows)
+    assert R.value_differences(one(s), one(t), ["k"]).first().different == pairs
+
+
+def test_sample_is_empty_only_if_nothing_differs(spark):
+    import random
+
+    rng = random.Random(1)
+    source = [(rng.randrange(30), rng.choice([1.0, 2.0, 2.0, None])) for _ in range(60)]
+    target = [(rng.randrange(30), rng.choice([1.0, 2.0, 2.0, None])) for _ in range(60)]
+    s, t = (spark.createDataFrame(x, "k bigint, v double") for x in (source, target))
+    found = {r.k for r in R.difference_rows(s, t, ["k"]).collect()}
+    assert found == {k for k, a in source for j, b in target if j == k and _differ(a, b)}
+
+
+def test_maps_and_decimals(spark):
+    s = spark.sql("SELECT 1 AS k, map('a', 1, 'b', 2) AS m, CAST(1.00 AS decimal(10,2)) AS d")
+    t = spark.sql("SELECT 1 AS k, map('b', 2, 'a', 1) AS m, CAST(1.0000001 AS decimal(10,7)) AS d")
+    assert {r.column_name: r.different for r in R.value_differences(s, t, ["k"]).collect()} == {"m": 0, "d": 0}
+    assert R.difference_rows(s, t, ["k"]).count() == 0
+
+
+def test_empty_and_null_sides_are_compared(spark):
+    a = spark.range(5).selectExpr("id AS k", "CAST(id AS double) AS v", "CAST(NULL AS double) AS w")
+    out = compare.compare_tables(a, a.filter("k < 0"), "t", ["k"]).summary.first()
+    assert out.match_status == "RECORD_COUNT_MISMATCH" and out.source_only == 5
+    assert compare.compare_tables(a, a, "t", ["k"]).summary.first().match_status == "MATCH"
+    part = compare.compare_tables(a, a, "t", ["k"], sample_size=2).summary.first()
+    assert (part.sampled_keys, part.source_count, part.common_keys) == (2, 5, 2)
+
+
+def test_nan_against_a_number_is_no_match(spark):
+    from reconkit.plans.align import column_multiset_compare
+
+    a = spark.createDataFrame([(1, float("nan")), (2, 1.0)], "k bigint, v double")
+    b = spark.createDataFrame([(1, 5.0), (2, 1.0)], "k bigint, v double")
+    matches = {r.column_name: r.values_match for r in column_multiset_compare(a, b).collect()}
+    assert matches == {"k": True, "v": False}
+    assert compare.validate_frames(a, b, ["k"], "x")[0].first().passed is False
+    assert compare.validate_frames(a, a, ["k"], "x")[0].first().passed is True

@@ -121,3 +121,9 @@ def test_array_bounds(spark):
         group.set(df, 3, F.lit(1))
     with pytest.raises(Exception, match="INVALID_ARRAY_INDEX"):
         df.select(group.get(3)).collect()
+
+
+def test_zones(spark):
+    zones = {"+18:00": True, "+18:59": False, "-03:30": True, "+25:00": False, "Mars/Phobos": False, "Europe/Paris": True, "UTC": True}
+    rows = spark.createDataFrame([(z,) for z in zones], "z string").select("z", dates.is_valid_zone(F.col("z")).alias("ok")).collect()
+    assert {r["z"]: r["ok"] for r in rows} == zones

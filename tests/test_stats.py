@@ -121,3 +121,29 @@ def test_univariate_adjustment_and_empty(spark):
 def test_having_rejects_unknown_function(spark):
     with pytest.raises(ValueError):
         A.group_by_having(spark.range(3), ["id"], {"id": "mode"})
+
+
+def test_margin_named_like_a_level_is_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    df = spark.createDataFrame([("Total", "A"), ("x", "Total"), ("x", "A")], "g string, v string")
+    with pytest.raises(PySparkException, match="named like the margin"):
+        A.proc_freq_by(df, "g", "v").collect()
+    rows = {r["g"]: r["All"] for r in A.crosstab_margins(df, "g", "v").collect()}
+    assert rows == {"Total": 1, "x": 2, "All": 3}
+
+
+def test_nan_is_missing_in_statistics(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", 4.0)], "g string, x double")
+    row = A.proc_means(df, ["x"], stats=("n", "mean", "max", "missing")).first()
+    assert (row["n"], round(row["mean"], 6), row["max"], row["missing"]) == (3, round(8 / 3, 6), 4.0, 1)
+    wide = {r["g"]: (r["x_median"], r["x_mean"]) for r in A.proc_means_wide(df, ["x"], ["g"], ("median", "mean")).collect()}
+    assert wide == {"a": (2.0, 2.0), "b": (4.0, 4.0)}
+    bins = A.histogram(df.union(spark.sql("SELECT 'c', double('infinity')")), "x", 3).orderBy("bin").collect()
+    assert [r["n"] for r in bins] == [1, 0, 2]
+
+
+def test_auc_with_one_class(spark):
+    from reconkit.operators.hypothesis import auc
+
+    assert auc(spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double"), "y", "s").first()["auc"] is None
