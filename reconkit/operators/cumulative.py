@@ -182,7 +182,7 @@ def bucket_window(order_by: Sequence[str], partition_by: Sequence[str] = ()):
 
 
 def with_position(
-    df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "pos"
+    df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "pos", keep_bucket: bool = False
 ) -> DataFrame:
     """1-based row position inside each group, like ``row_number`` but distributed."""
     out = carry(
@@ -192,6 +192,5 @@ def with_position(
         {"_skip": F.sum("_n")},
     )
     local = F.row_number().over(bucket_window(order_by, partition_by))
-    return out.withColumn(
-        name, (local + F.coalesce("_skip", F.lit(0))).cast("bigint")
-    ).drop("_skip", "_bucket")
+    placed = out.withColumn(name, (local + F.coalesce("_skip", F.lit(0))).cast("bigint")).drop("_skip")
+    return placed if keep_bucket else placed.drop("_bucket")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from reconkit.functions.dates import DAY_SECONDS, date_text
@@ -14,6 +12,7 @@ from reconkit.operators.shaping import without_lineage
 
 # Fixed value: tolerance between two statistics.
 STAT_TOLERANCE = 0.001
+DIGEST_FROM = 64  # characters from which a text is counted by its digest
 COMPARED = ("row_count", "null_count", "unique_count", "min_value", "max_value", "mean_value")
 
 
@@ -43,37 +42,42 @@ def _column_stats(field: T.StructField) -> dict:
     }
 
 
-def _value_counts(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
-    """(variable, value, n) over the non-null values of columns of one kind."""
-    cells = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
-    long = cells.unpivot([], columns, "variable", "value").filter("value IS NOT NULL")
-    return long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _distinct_and_median(df: DataFrame, fields: list[T.StructField], median: bool) -> DataFrame:
     """(column_name, unique_count, median_value) from the distinct values of each column.
 
-    Columns are grouped by kind so that every value is compared in a type that
-    holds it exactly.
+    One pass: every value goes to the slot of a type that holds it exactly, under its
+    column's number; long texts stand as digests.
     """
-    kinds = {"bigint": [], "double": [], "string": []}
-    for f in fields:
-        t = f.dataType
-        kind = "bigint" if isinstance(t, T.IntegralType) else "double" if isinstance(t, (T.DoubleType, T.FloatType)) else "string"
-        kinds[kind].append(f.name)
-    counts = {kind: _value_counts(df, names, kind) for kind, names in kinds.items() if names}
-    unique = reduce(
-        DataFrame.unionByName,
-        [c.groupBy("variable").agg(F.count(F.lit(1)).alias("unique_count")) for c in counts.values()],
-    )
-    numbers = [counts[k].withColumn("value", F.col("value").cast("double")) for k in ("bigint", "double") if k in counts]
-    decimals = [f.name for f in fields if isinstance(f.dataType, T.DecimalType)]
-    if decimals:
-        numbers.append(_value_counts(df, decimals, "double"))
+    slots, numbers = [], []
+    for i, f in enumerate(fields):
+        c, t = F.col(f.name), f.dataType
+        whole, fraction = isinstance(t, T.IntegralType), isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType))
+        text = c.cast("string")
+        if whole or isinstance(t, (T.DoubleType, T.FloatType)):
+            text = F.lit(None).cast("string")
+        elif isinstance(t, T.StringType):
+            text = F.when(F.length(c) > DIGEST_FROM, F.sha2(c, 256)).otherwise(c)
+        slots.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                (c if whole else F.lit(None)).cast("bigint").alias("b"),
+                (c if fraction else F.lit(None)).cast("double").alias("d"),
+                text.alias("s"),
+            )
+        )
+        if isinstance(t, T.NumericType):
+            numbers.append(i)
+    long = df.select(F.inline(F.array(*slots))).filter("b IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL")
+    counts = long.groupBy("i", "b", "d", "s").agg(F.count(F.lit(1)).alias("n"))
+    unique = counts.groupBy("i").agg(F.count(F.lit(1)).alias("unique_count"))
     if median and numbers:
-        mid = quantiles_of_counts(reduce(DataFrame.unionByName, numbers), {"median_value": 0.5})
-        unique = unique.join(F.broadcast(mid), "variable", "left")  # one row per column
-    return unique.withColumnRenamed("variable", "column_name")
+        value = F.coalesce(F.col("b").cast("double"), F.col("d"))
+        # the count in the condition keeps it above the aggregation, which both branches then share
+        mid = counts.select(F.col("i").alias("variable"), value.alias("value"), "n").filter(F.when(F.col("value").isNotNull(), F.col("n")) > 0)
+        mid = quantiles_of_counts(mid, {"median_value": 0.5}).withColumnRenamed("variable", "i")
+        unique = unique.join(F.broadcast(mid), "i", "left")  # one row per column
+    names = F.array(*[F.lit(f.name) for f in fields])
+    return unique.withColumn("column_name", F.get(names, F.col("i"))).drop("i")
 
 
 def column_profile(df: DataFrame, approx_distinct: bool = False, median: bool = True) -> DataFrame:

@@ -20,7 +20,6 @@ from reconkit.session import checkpointed, local_rows
 # Comparison tolerance and the number of sample rows per column.
 TOLERANCE = 1e-6
 SAMPLE_ROWS = 100
-HOT_KEYS = 1000
 
 
 def _comparable(a: T.DataType, b: T.DataType) -> bool:
@@ -132,14 +131,24 @@ def value_differences(
     columns = list(columns or _common_columns(source, target, keys))
     rows = both_sides(source, target, [*keys, *columns])
     kinds = {f.name: is_fractional(f.dataType) for f in rows.schema}
-    common = _per_key(rows, keys, columns).filter("s_rows > 0 AND t_rows > 0")
+    # Texts and the like go as two 64-bit hashes: fixed-width values are aggregated by
+    # hashing before the shuffle, texts would have to be sorted.
+    wide = [c for c in columns if not isinstance(rows.schema[c].dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    hashes = {c: [f"_h{i}_{c}" for i in range(2)] if c in wide else [c] for c in columns}
+    short = rows.withColumns({h: F.xxhash64(F.lit(i), c) for c in wide for i, h in enumerate(hashes[c])}).drop(*wide)
+    common = _per_key(short, keys, [h for c in columns for h in hashes[c]]).filter("s_rows > 0 AND t_rows > 0")
+
+    def unlike(c: str) -> Column:
+        parts = [differs(F.col(f"s_{h}"), F.col(f"t_{h}"), kinds[c] and c not in wide, tolerance) for h in hashes[c]]
+        return reduce(lambda a, b: a | b, parts)
+
     unique = (F.col("s_rows") == 1) & (F.col("t_rows") == 1)
 
     facts = common.agg(
         F.coalesce(F.sum(F.col("s_rows") * F.col("t_rows")), F.lit(0)).alias("pairs"),
         F.count_if(~unique).alias("repeated"),
         *[
-            F.count_if(unique & differs(F.col(f"s_{c}"), F.col(f"t_{c}"), kinds[c], tolerance)).alias(f"d_{c}")
+            F.count_if(unique & unlike(c)).alias(f"d_{c}")
             for c in columns
         ],
     ).first()
@@ -158,18 +167,10 @@ def value_differences(
 
 
 def _rows_of(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``wanted`` (one row per key, with its row counts).
-
-    Keys above 1/1000 of the wanted rows are at most 1000; those are broadcast,
-    so a hot key is filtered where its rows are instead of in one join task.
-    """
-    total = wanted.agg(F.sum(F.col("s_rows") + F.col("t_rows"))).scalar()
-    sized = wanted.withColumn("_hot", (F.col("s_rows") + F.col("t_rows")) * HOT_KEYS > total)
+    """Rows whose key is in ``wanted`` (one row per key); adaptive execution splits hot keys of a semi-join."""
     names = {k: f"_k_{k}" for k in keys}
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
-    hot = sized.filter("_hot").select(*[F.col(k).alias(names[k]) for k in keys])
-    cold = sized.filter("NOT _hot").select(*[F.col(k).alias(names[k]) for k in keys])
-    return rows.join(F.broadcast(hot), on, "left_semi").unionByName(rows.join(cold, on, "left_semi"))
+    return rows.join(wanted.select(*[F.col(k).alias(names[k]) for k in keys]), on, "left_semi")
 
 
 def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance) -> DataFrame:

@@ -85,10 +85,9 @@ def interpolate_linear(
     df: DataFrame, value: str, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "filled"
 ) -> DataFrame:
     """Fill nulls linearly by row position; trailing nulls repeat, leading stay null."""
-    placed = with_position(df, order_by, partition_by, "_pos")
+    placed = with_position(df, order_by, partition_by, "_pos", keep_bucket=True)
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(value).cast("double").alias("v")))
-    rows = range_buckets(placed.withColumn("_known", known), ["_pos"], partition_by)
-    rows = carry(rows, partition_by, {"_l": F.max("_known")}, {"_before": F.max("_l")})
+    rows = carry(placed.withColumn("_known", known), partition_by, {"_l": F.max("_known")}, {"_before": F.max("_l")})
     rows = carry(rows, partition_by, {"_f": F.min("_known")}, {"_after": F.min("_f")}, backwards=True)
     # Both frames grow from the bucket's edge; a frame that shrinks costs quadratic time.
     forward = W.partitionBy("_bucket", *partition_by).orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)

@@ -18,11 +18,12 @@ from reconkit.operators.schema import (
     schema_rows,
 )
 from reconkit.operators.temporal import date_histogram, temporal_differences, temporal_summary
-from reconkit.session import checkpointed, local_rows
+from reconkit.session import local_rows, scratch_path
 from reconkit.sources.write import REPORT_COLUMNS
 
 HISTOGRAM = "tbl string, date string, n_rows bigint"
 PLACEHOLDER = "no_server_provided"
+BATCH = 40  # tables whose histograms are one job
 
 
 @dataclass
@@ -43,16 +44,13 @@ class TablePair:
     source_types: Mapping[str, str] = field(default_factory=dict)
 
 
-def _stack(spark: SparkSession, frames: Sequence[DataFrame], schema: str) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames, local_rows(spark, [], schema))
-
-
 def _histograms(spark, pairs, side) -> DataFrame:
     """Date histograms of all tables of one side; rows without a date keep a null date.
 
-    Stored (a row per table and day), so that each table is read once.
+    Written (a row per table and day) in batches of tables, so that each table is read
+    once and no plan grows with their number.
     """
-    frames = []
+    path, frames = scratch_path(spark, "histograms"), [local_rows(spark, [], HISTOGRAM)]
     for p in pairs:
         df, column = getattr(p, side), getattr(p, f"{side}_date")
         if df is None:
@@ -63,7 +61,9 @@ def _histograms(spark, pairs, side) -> DataFrame:
             else df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("date", F.lit(None).cast("string"))
         )
         frames.append(h.withColumn("tbl", F.lit(p.tbl)))
-    return checkpointed(_stack(spark, frames, HISTOGRAM))
+    for first in range(0, len(frames), BATCH):
+        reduce(DataFrame.unionByName, frames[first : first + BATCH]).write.mode("append").parquet(path)
+    return spark.read.schema(HISTOGRAM).parquet(path)
 
 
 def _availability(spark: SparkSession, pairs: Sequence[TablePair]) -> DataFrame:

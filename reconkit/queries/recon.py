@@ -8,6 +8,7 @@ from reconkit.functions import text
 from reconkit.operators import profile as P, records as R, schema as S, temporal as D
 from reconkit.plans import align, analysis, compare
 from reconkit.queries import LINES, TARGET, Tables, altered_lineitem, altered_orders, query, rnd
+from reconkit.session import checkpointed
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -581,7 +582,7 @@ def _matrix_inputs(t: Tables):
     year = lambda h, side: h.groupBy("tbl", first.alias("date")).agg(
         F.sum("n_rows").alias("n")
     ).withColumn("side", F.lit(side))
-    counts = year(a, "source").unionByName(year(b, "target"))
+    counts = checkpointed(year(a, "source").unionByName(year(b, "target")))  # a row per table and year
     lists = counts.groupBy("tbl").agg(text.joined_list(F.col("date")).alias("mismatched_date"))
     return lists, counts
 
@@ -714,7 +715,7 @@ STATUS_SQL = f"""WITH {TARGET},
 )
 def compare_tables(t: Tables):
     out = compare.compare_tables(t.orders, altered_orders(t), "orders", ["o_orderkey"]).summary
-    return out.withColumn("match_rate", rnd("match_rate")).drop("execution_time", "min_ks_p")
+    return out.withColumn("match_rate", rnd("match_rate")).drop("execution_time", "min_ks_p", "sampled_keys")
 
 
 def _comparisons(t: Tables):
