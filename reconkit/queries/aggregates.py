@@ -272,7 +272,23 @@ def _quality(t: Tables):
     return t.labels.join(docs, "doc_id").join(words, "doc_id").select("doc_id", "quality", "kchars", "kwords")
 
 
-# Iterative fits have no SQL form; the tests check that the gradient vanishes.
+@query(
+    "proc_logistic_gradient",
+    """SELECT unnest(['Intercept', 'kchars', 'kwords']) AS term, 0.0::DOUBLE AS slope FROM (SELECT count(*) AS n FROM labels) WHERE n > 0""",
+)
+def proc_logistic_gradient(t: Tables):
+    """Slope of the penalised log likelihood at the fitted coefficients, per row: zero at the optimum."""
+    fit = G.proc_logistic(_quality(t), "quality", ["kchars", "kwords"])
+    gap = F.col("probability") - F.col("quality")
+    slopes = fit.predictions.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(gap).alias("Intercept"), *[F.sum(gap * F.col(c)).alias(c) for c in ("kchars", "kwords")]
+    ).unpivot(["n"], ["Intercept", "kchars", "kwords"], "term", "sum")
+    penalty = F.when(F.col("term") == "Intercept", 0.0).otherwise(F.col("estimate"))
+    slope = F.round(F.abs(F.col("sum") + penalty) / F.col("n"), 5)
+    return slopes.join(fit.coefficients, "term").select("term", slope.alias("slope"))
+
+
+# An iterative fit has no SQL form of its own; the query above checks that its gradient vanishes.
 @query("proc_logistic")
 def proc_logistic(t: Tables):
     return _round(G.proc_logistic(_quality(t), "quality", ["kchars", "kwords"]).coefficients, ["estimate"], 6)

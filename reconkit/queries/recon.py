@@ -831,8 +831,38 @@ def failed_tests(t: Tables):
     return compare.failed_tests(_shipping_tests(t))
 
 
-# The report combines everything above; its parts are checked by their own SQL.
-@query("run_analysis")
+def _days_sql(name: str, left: str, right: str, column: str) -> str:
+    """The listed days of ``column`` on which both tables hold different numbers of rows."""
+    days = "(SELECT strftime({c}, '%Y-%m-%d') AS d, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY 1)"
+    a, b = (days.format(c=column, t=t) for t in (left, right))
+    return f"""{name} AS (SELECT string_agg(coalesce(a.d, b.d), '; ' ORDER BY coalesce(a.d, b.d)) AS days
+      FROM {a} a FULL JOIN {b} b ON a.d = b.d WHERE a.n IS DISTINCT FROM b.n)"""
+
+
+def _report_sql(source, target, status, a, b, date, days, width, types="", unique="", uncaptured="", shown=True) -> str:
+    """One row of the report; counts and days are computed, what follows from the schemas is written out."""
+    rows = f"'source(' || {a} || ') : target(' || {b} || ')'" if shown else "''"
+    return f"""SELECT '' AS product, '{source}' AS source_table, '{target}' AS target_table, 'N' AS hydrated_only,
+      '{source.split(".")[0]}' AS source_service, '{status}' AS status, {f"{a} <> {b}" if shown else "false"} AS row_unmatch, {rows} AS row_details,
+      '{f"source({width}) : target({width})" if shown else ""}' AS col_details, {f"{days} IS NOT NULL" if days else "false"} AS time_unmatch,
+      '{date} : {date}' AS time_variable, {f"coalesce({days}, '')" if days else "''"} AS time_details, {str(bool(types)).lower()} AS type_unmatch,
+      '{types}' AS type_details, '{unique}' AS source_unique, '' AS target_unique, '{uncaptured}' AS uncaptured"""
+
+
+_ORDERS, _ALTERED = "(SELECT count(*) FROM orders)", "(SELECT count(*) FROM target)"
+_CUSTOMERS = "(SELECT count(*) FROM customer)"
+ANALYSIS = f"WITH {TARGET}, {LINES}, {_days_sql('od', 'orders', 'target', 'o_orderdate')}, {_days_sql('ld', 'lineitem', 'lines', 'l_shipdate')} " + " UNION ALL ".join([
+    _report_sql("svc.orders", "lake.orders", "Successful Data Access", _ORDERS, _ALTERED, "o_orderdate", "(SELECT days FROM od)", 6, "CLOB->string; NUMBER(19)->bigint"),
+    _report_sql("found.orders", "lake.orders2", "Column Mapping Not Provided", _ORDERS, _ALTERED, "o_orderdate", "(SELECT days FROM od)", 6, unique="O_ORDERPRIORITY",
+                uncaptured="O_CUSTKEY->o_custkey; O_ORDERDATE->o_orderdate; O_ORDERKEY->o_orderkey; O_ORDERSTATUS->o_orderstatus_cd; O_TOTALPRICE->o_totalprice"),
+    _report_sql("svc.lineitem", "lake.lineitem", "Successful Data Access", "(SELECT count(*) FROM lineitem)", "(SELECT count(*) FROM lines)", "l_shipdate",
+                "(SELECT days FROM ld)", 11, "CLOB->string; NUMBER(10)->int; NUMBER(19)->bigint"),
+    _report_sql("svc.customer", "lake.customer", "Nonexisting Date Variable in Source", _CUSTOMERS, _CUSTOMERS, "since", "", 5, uncaptured="Column Mapping Not Provided"),
+    _report_sql("svc.gone", "lake.gone", "Nonexisting Source Table", "0", "0", "d", "", 0, shown=False),
+])
+
+
+@query("run_analysis", ANALYSIS)
 def run_analysis(t: Tables):
     return analysis.run_analysis(t.spark, table_pairs(t), add_cols=["etl_date"])
 
