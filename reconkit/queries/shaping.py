@@ -98,6 +98,7 @@ def conditional_logic(t: Tables):
 )
 def case_bucket(t: Tables):
     x = F.col("c_acctbal")
+    # fixed values: the level names
     rules = [(x < 2000, "Low"), ((x >= 2000) & (x < 6000), "Medium"), (x >= 6000, "High")]
     return t.customer.groupBy(bins.case_bucket(x, rules).alias("level")).agg(F.count(F.lit(1)).alias("n"))
 

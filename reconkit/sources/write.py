@@ -16,6 +16,7 @@ MANIFEST = (
 )
 # Microseconds, so that a cutoff read back still covers its own upload.
 MANIFEST_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# Fixed value: the report's columns in their order.
 REPORT_COLUMNS = [
     "product", "source_table", "target_table", "hydrated_only", "source_service", "status",
     "row_unmatch", "row_details", "col_details", "time_unmatch", "time_variable", "time_details",
@@ -32,6 +33,7 @@ def stamp_lineage(df: DataFrame, at: datetime) -> DataFrame:
     """Upload time, date and batch id, equal for all rows of a run."""
     return df.withColumns(
         {
+            # fixed values: the lineage names
             "_upload_timestamp": F.lit(at).cast("timestamp"),
             "_upload_date": F.lit(at.strftime("%Y-%m-%d")),
             "_upload_batch_id": F.lit(at.strftime("%Y%m%d_%H%M%S")),
