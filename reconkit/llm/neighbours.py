@@ -17,6 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reconkit.llm.common import stored
+
 TREES = 48
 BITS = 20  # of a hash string
 BLOCK = 8192  # vectors in a block
@@ -102,7 +104,8 @@ def search(
     Rows with unusable vectors or a null id take no part; of rows that repeat an id the
     smallest vector counts.  Vectors meet queries of their own length only.
     """
-    base, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
+    # stored, as both are counted before they are dealt
+    base, asked = (stored(usable(x, id_col, vector_col), "vectors") for x in (vectors, queries))
     rows, questions = (x.agg(F.count("*")).head()[0] for x in (base, asked))
     blocks, parts = max(1, -(-rows // BLOCK)), max(1, -(-questions // QUERIES))
     # random dealing: blocks stay near their mean size

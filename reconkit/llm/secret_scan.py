@@ -172,7 +172,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE, id_col="doc_id", text_col=
     rows = stored(marked(docs, id_col, text_col), "marked")
     limits = rejected_upto(rows.select(F.explode("candidates").alias("c")).select("c.group", "c.bin"), rate)
     # one map of at most one entry per length group
-    limit = F.broadcast(limits.agg(F.map_from_entries(F.collect_list(F.struct("group", "last_bin"))).alias("limits")))
+    limit = limits.agg(F.map_from_entries(F.collect_list(F.struct("group", "last_bin"))).alias("limits")).scalar()
 
     def named(kind: str, spans: Column) -> Column:
         order = KINDS.index(kind)
@@ -180,8 +180,7 @@ def find_secrets(docs: DataFrame, rate: float = RATE, id_col="doc_id", text_col=
 
     random = F.filter("candidates", lambda x: x["bin"] > F.coalesce(F.col("limits")[x["group"]], F.lit(-1)))
     every = F.array_sort(F.concat(*[named(k, F.col(k)) for k in KINDS[:3]], named("random", random)))
-    joined = rows.join(limit)
-    return joined.select("doc_id", F.transform(every, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("found"))
+    return rows.withColumn("limits", limit).select("doc_id", F.transform(every, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("found"))
 
 
 def digest(spans: Column) -> Column:
