@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from reconkit.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _PRIME = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2**64
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 

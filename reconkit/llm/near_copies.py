@@ -23,7 +23,7 @@ RADIUS = 20  # bits
 SIMILARITY = 0.8
 SLACK = 0.2  # the share of equal MinHash values may fall this much short: over four standard deviations
 BANDS, ROWS = 16, 5  # a pair of similarity 0.8 shares no band with chance 0.002
-GROUP = 2048  # texts compared with each other in one cell of a larger group
+GROUP = 1024  # texts compared with each other in one cell of a larger group
 ANCHORS = 128  # texts of a larger group that every cell of it holds
 _FACTORS = mixed(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
@@ -72,20 +72,24 @@ def holding(prints: np.ndarray, values: np.ndarray, radius: int = RADIUS, simila
         return x
 
     planes, found = planes_of(prints), []
-    for first in range(0, len(prints), 64):
-        a, b = near(prints, planes, prints[first : first + 64], radius)
+    for first in range(0, len(prints), 16):
+        a, b = near(prints, planes, prints[first : first + 16], radius)
         keep = b < a + first
         a, b = a[keep] + first, b[keep]
-        alike = (values[a] == values[b]).mean(axis=1)
-        keep = alike >= similarity - SLACK
-        found.append(np.column_stack([alike[keep], a[keep], b[keep]]))
-    pairs, out = np.concatenate(found), []
-    for i in np.lexsort((pairs[:, 2], pairs[:, 1], -pairs[:, 0])).tolist():
-        a, b = int(pairs[i, 1]), int(pairs[i, 2])
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            out.append((a, b))
+        alike = (values[a] == values[b]).sum(axis=1, dtype=np.uint16)
+        keep = alike >= (similarity - SLACK) * values.shape[1]
+        found.append((alike[keep], a[keep].astype(np.uint16), b[keep].astype(np.uint16)))
+    alike, left, right = (np.concatenate(x) for x in zip(*found))
+    out = []
+    for level in np.unique(alike)[::-1]:
+        at = np.flatnonzero(alike == level)
+        for a, b in zip(left[at].tolist(), right[at].tolist()):
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((a, b))
+        if len(out) == len(prints) - 1:
+            break
     return out
 
 
@@ -125,7 +129,8 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
         if len(keys) > 1:
             yield flush()
 
-    ordered = dealt.repartition("band", "cell").sortWithinPartitions("band", "cell", "key")
+    parts = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: few bytes take long to compare
+    ordered = dealt.repartition(parts, "band", "cell").sortWithinPartitions("band", "cell", "key")
     return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -154,9 +159,10 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
     rows that repeat id and text one stays.
     """
     keyed = docs.withColumn("__key", text_key(F.col(text_col)))
-    slim = stored(
-        keyed.groupBy("__key", F.col(id_col).alias("id")).agg(F.count("*").alias("n")).withColumnRenamed("__key", "key"), "texts"
-    )
+    # one row per text: its smallest id and how many rows hold that id
+    first = F.min_by(F.struct("id", "n"), F.struct(F.col("id").isNull(), "id"))
+    each = keyed.groupBy(F.col("__key").alias("key"), F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
+    slim = stored(each.groupBy("key").agg(first.alias("first")).select("key", "first.id", "first.n"), "texts")
     sketched = stored(sketches(keyed.select(F.col("__key").alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))).dropDuplicates(["key"]), "sketches")
     candidates = stored(candidate_links(sketched, radius), "candidates")
     ends = candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct()

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reconkit.llm.common import id_and_text, slices, stored, with_fields
-from reconkit.llm.tokens import encoder
+from reconkit.llm.tokens import TEXT_BYTES, encoder
 
 CAPACITY = 4096
 
@@ -30,7 +30,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
     def run(batches):
         own = encoder(tokenizer, False)
         end = np.array([end_id], "<u4")
-        for part in slices(batches):
+        for part in slices(batches, limit=TEXT_BYTES):
             columns = [[], [], [], [], []]
             for doc, ids in zip(part["doc_id"].to_pylist(), own.encode(part["text"].to_pylist())):
                 ids = np.concatenate([ids.astype("<u4"), end])
@@ -40,6 +40,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids"])
+        own.forget()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 

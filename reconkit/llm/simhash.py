@@ -175,7 +175,8 @@ def links(distinct: DataFrame, group: int = GROUP) -> DataFrame:
             yield flush()
 
     few = sized.filter(F.col("n") <= group).select("key", "fingerprint")
-    small = few.repartition("key").sortWithinPartitions("key", "fingerprint").mapInArrow(compare, "a long, b long")
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: few bytes take long to compare
+    small = few.repartition(parts, "key").sortWithinPartitions("key", "fingerprint").mapInArrow(compare, "a long, b long")
     # the rest: each value under itself and under every value one bit away
     flips = [F.lit(0).cast("long")] + [F.lit(-(1 << 63) if i == 63 else 1 << i).cast("long") for i in range(BITS)]
     many = sized.filter(F.col("n") > group).select("fingerprint").distinct()

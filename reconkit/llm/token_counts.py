@@ -183,6 +183,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, id_col="doc_
         for part in slices(batches):
             size = pc.cast(pc.binary_length(part["text"]), pa.int64())
             yield pa.RecordBatch.from_arrays([part["doc_id"], size, pa.array(own.counts(part["text"].to_pylist()))], ["doc_id", "n_bytes", "n_tokens"])
+        if len(own.emitted) > CACHE_PIECES // 2:
+            own.emitted.clear()  # workers outlive their tasks
 
     counted = id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
