@@ -8,15 +8,15 @@ counts of the whole input; decoding looks up ``LIMIT`` bits at once in a table.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reconkit.llm.common import id_and_text, slices, stored
-from reconkit.llm.tokens import encoder
+from reconkit.llm.tokens import TEXT_BYTES, encoder
 from reconkit.session import local_rows
 
 LIMIT = 18  # longest code in bits
@@ -35,7 +35,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", tex
     def run(batches):
         own = encoder(tokenizer, True)
         end = np.array([end_id], "<u2").tobytes()
-        for part in slices(batches):
+        for part in slices(batches, limit=TEXT_BYTES):
             ids = [x.tobytes() + end for x in own.encode(part["text"].to_pylist())]
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -138,10 +138,15 @@ class Decoder:
         return out.T[np.arange(longest) < n[:, None]]
 
 
+def place(doc_id: int | None, tie: int) -> tuple[bool, int, int]:
+    """Sort key of a document, null ids first."""
+    return doc_id is not None, doc_id or 0, tie
+
+
 def write_token_file(tokens: DataFrame, path: str) -> None:
     """Write ``doc_id, ids`` to the folder ``path`` in ascending order of doc_id, nulls first, equal ids by content.
 
-    ``tokens`` is read three times, so it should be stored.  No ids at all make empty tables.
+    ``tokens`` is read three times, so it should be stored, with ``tie = xxhash64(ids)`` for the order of equal ids.  No ids at all make empty tables.
     """
     spark = tokens.sparkSession
     counts = np.zeros(1 << 16, np.int64)
@@ -152,6 +157,15 @@ def write_token_file(tokens: DataFrame, path: str) -> None:
     used = np.flatnonzero(lengths)
     local_rows(spark, [(int(i), int(lengths[i])) for i in used], "id long, bits long").coalesce(1).write.parquet(f"{path}/code")
 
+    # stretches of ascending (doc_id, tie), found on the keys alone: a range shuffle of the
+    # codes would make them twice, once for its sample
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.asc_nulls_first("doc_id"), F.col("tie").asc()]
+    keyed = tokens if "tie" in tokens.columns else tokens.withColumn("tie", F.xxhash64("ids"))
+    spread = keyed.select("doc_id", "tie").repartitionByRange(4 * parts, *order).withColumn("p", F.spark_partition_id())
+    # one row per stretch
+    starts_of = sorted(place(*r[0]) for r in spread.groupBy("p").agg(F.min(F.struct("doc_id", "tie")).alias("m")).select("m").collect())
+
     def code(batches):
         for part in slices(batches, "ids", 1 << 20):
             rows = part["ids"].to_pylist()
@@ -160,33 +174,36 @@ def write_token_file(tokens: DataFrame, path: str) -> None:
             bits = [data[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
             cuts = np.concatenate([[0], np.cumsum(n)]).tolist()
             marks = [inside[a:b:CHECKPOINT_IDS].astype("<i8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-            own = [pa.array(n), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["tie"], *own], ["doc_id", "tie", "n", "bits", "marks"])
+            keys = zip(part["doc_id"].to_pylist(), part["tie"].to_pylist())
+            stretch = [bisect_right(starts_of, place(*key)) - 1 for key in keys]
+            own = [pa.array(n), pa.array(bits, pa.binary()), pa.array(marks, pa.binary()), pa.array(stretch, pa.int32())]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["tie"], *own], ["doc_id", "tie", "n", "bits", "marks", "stretch"])
 
     def block(batches):
-        part, number, first = TaskContext.get().partitionId(), 0, 0
-        for rows in slices(batches, "bits", BLOCK_BYTES):
-            n, bits = rows["n"].to_numpy(), rows["bits"].to_pylist()
-            at = np.concatenate([[0], np.cumsum([len(b) for b in bits])])[:-1]
-            marks = [np.frombuffer(m, "<i8") + 8 * a for m, a in zip(rows["marks"].to_pylist(), at)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([first], pa.int64()),
-                    pa.array([int(n.sum())], pa.int64()), pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
-                    pa.array([n.tolist()], pa.list_(pa.int64())), pa.array([[len(b) for b in bits]], pa.list_(pa.int64())),
-                    pa.array([np.concatenate(marks).astype("<i8").tobytes()], pa.binary()), pa.array([b"".join(bits)], pa.binary()),
-                ],
-                ["part", "block", "first_id", "n_ids", "doc_ids", "lengths", "doc_bytes", "checkpoints", "payload"],
-            )
-            number, first = number + 1, first + int(n.sum())
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded = tokens.select("doc_id", F.xxhash64("ids").alias("tie"), "ids").mapInArrow(
-        code, "doc_id long, tie long, n long, bits binary, marks binary"
-    )
-    ordered = coded.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "tie").sortWithinPartitions(
-        F.asc_nulls_first("doc_id"), "tie"
-    )
+        part = number = first = 0
+        for some in slices(batches, "bits", BLOCK_BYTES):
+            stretch = some["stretch"].to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), len(stretch)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                rows = some.slice(a, b - a)
+                if stretch[a] != part:
+                    part, number, first = int(stretch[a]), 0, 0
+                n, bits = rows["n"].to_numpy(), rows["bits"].to_pylist()
+                at = np.concatenate([[0], np.cumsum([len(x) for x in bits])])[:-1]
+                marks = [np.frombuffer(m, "<i8") + 8 * x for m, x in zip(rows["marks"].to_pylist(), at)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([first], pa.int64()),
+                        pa.array([int(n.sum())], pa.int64()), pa.array([rows["doc_id"].to_pylist()], pa.list_(pa.int64())),
+                        pa.array([n.tolist()], pa.list_(pa.int64())), pa.array([[len(x) for x in bits]], pa.list_(pa.int64())),
+                        pa.array([np.concatenate(marks).astype("<i8").tobytes()], pa.binary()), pa.array([b"".join(bits)], pa.binary()),
+                    ],
+                    ["part", "block", "first_id", "n_ids", "doc_ids", "lengths", "doc_bytes", "checkpoints", "payload"],
+                )
+                number, first = number + 1, first + int(n.sum())
+
+    coded = keyed.mapInArrow(code, "doc_id long, tie long, n long, bits binary, marks binary, stretch int")
+    ordered = coded.repartition(parts, "stretch").sortWithinPartitions("stretch", *order)
     ordered.mapInArrow(block, _BLOCK).write.parquet(f"{path}/blocks")
 
 
@@ -196,7 +213,7 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     for row in spark.read.parquet(f"{path}/code").collect():  # at most one row per id of the vocabulary
         lengths[row["id"]] = row["bits"]
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
-    # one row per part, of which there are as many as shuffle partitions when it was written
+    # one row per stretch, of which there are four for each shuffle partition when it was written
     totals = sorted(tuple(r) for r in blocks.groupBy("part").agg(F.sum("n_ids")).collect())
     before, seen = {}, 0
     for part, n in totals:
@@ -228,6 +245,6 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
 def token_round_trip(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col="doc_id", text_col="text") -> DataFrame:
     """Encode all texts, write the token file and read it back."""
-    tokens = stored(token_ids(docs, tokenizer, end_id, id_col, text_col), "token-ids")
+    tokens = stored(token_ids(docs, tokenizer, end_id, id_col, text_col).withColumn("tie", F.xxhash64("ids")), "token-ids")
     write_token_file(tokens, path)
     return read_token_file(docs.sparkSession, path)

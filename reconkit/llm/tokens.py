@@ -7,6 +7,7 @@ the library's BPE model directly, all others through its whole pipeline.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
@@ -14,7 +15,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 350_000  # of the newer table; as many older entries are kept beside it
+TEXT_BYTES = 4 << 20  # of texts encoded at once: the more, the fewer pieces are looked up twice
 _BLANK_GAPS = tuple(a + " " for a in " \t\n\r\x0b\x0c")
 _ANY_GAP = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
@@ -33,6 +35,18 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class Table(dict):
+    """A dict with a bounded past: when full, its entries become the older ones; those that are used again return."""
+
+    def __init__(self) -> None:
+        self.older: dict[str, bytes] = {}
+
+    def renew(self, size: int) -> None:
+        if size > CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
 class PieceEncoder:
     """Ids of whole texts as the library gives them without added special tokens.
 
@@ -48,46 +62,66 @@ class PieceEncoder:
         self.model = self.library.model
         self.spaces = spaces
         self.lead = " " if spaces else ""
-        self.kept: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.forget()
         self.tails: dict[str, bytes] = {}
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
-    def _model(self, letters: str) -> bytes:
-        """Ids of a space (if they count) and letters up to U+00FF: one pre-token, no change in normal form."""
+    def _model(self, letters: str, lead: str) -> bytes:
+        """Ids of ``lead`` and letters up to U+00FF: one pre-token, no change in normal form."""
         text = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_LETTERS)
-        tokens = self.model.tokenize(_LETTERS[32] + text if self.spaces else text)
-        if len(self.letters) >= CACHE_PIECES:
-            self.letters.clear()
-        self.letters[letters] = ids = array("H", [t.id for t in tokens]).tobytes()
-        return ids
+        return array("H", [t.id for t in self.model.tokenize(_LETTERS[32] + text if lead else text)]).tobytes()
 
     def _tail(self, marks: str) -> bytes:
         if marks not in self.tails:
             self.tails[marks] = self._whole([marks])[0]
         return self.tails[marks]
 
+    def _plain(self, piece: str, lead: str) -> bytes | None:
+        """Ids of letters and closing marks after ``lead``; None for any other piece."""
+        body = piece.rstrip(_MARKS)
+        letters, known = body if self.spaces else body.lower(), self.letters if lead else self.bare
+        ids = known.get(letters)
+        if ids is None:
+            ids = known.older.get(letters)
+            if ids is None:
+                if not body.isalpha() or not body.isascii() and max(body) > "ÿ":
+                    return None
+                ids = self._model(letters, lead)
+            known[letters] = ids
+        if len(body) == len(piece):
+            return ids
+        marks = piece[len(body) :]
+        return ids + (self.tails.get(marks) or self._tail(marks))
+
     def _learn(self, pieces: set[str]) -> None:
-        missing = [p for p in pieces if p not in self.kept]
-        if len(self.kept) + len(missing) > CACHE_PIECES:
-            self.kept = {p: self.kept[p] for p in pieces if p in self.kept}
-        odd = []
-        known, kept = self.letters, self.kept
+        odd, kept, plain, lead = [], self.kept, self._plain, self.lead
+        missing = [p for p in pieces if p not in kept]
+        kept.renew(len(kept) + len(missing))
+        if not kept:
+            missing = pieces
+        for table in (self.letters, self.bare):
+            table.renew(len(table))
+        older = kept.older
         for p in missing:
-            body = p.rstrip(_MARKS)
-            if not body.isalpha() or not body.isascii() and max(body) > "ÿ":
-                odd.append(p)
+            if (ids := older.get(p)) is not None or (ids := plain(p, lead)) is not None:
+                kept[p] = ids
                 continue
-            letters = body if self.spaces else body.lower()
-            if (ids := known.get(letters)) is None:
-                ids = self._model(letters)
-            kept[p] = ids + self._tail(p[len(body) :]) if len(body) < len(p) else ids
+            head, line, rest = p.partition("\n")
+            if line and (first := plain(head, lead)) is not None and (second := plain(rest, "")) is not None:
+                kept[p] = first + self._tail("\n") + second  # a line feed between words is a pre-token
+            else:
+                odd.append(p)
         for first in range(0, len(odd), 4096):
             some = odd[first : first + 4096]
-            self.kept.update(zip(some, self._whole([self.lead + p for p in some])))
+            kept.update(zip(some, self._whole([lead + p for p in some])))
+
+    def _first(self, piece: str) -> bytes:
+        """Ids of the first piece of a text, which has no space before it."""
+        ids = self._plain(piece, "")
+        return self._whole([piece])[0] if ids is None else ids
 
     def _pieces(self, text: str) -> list[str]:
         if self.spaces:
@@ -97,14 +131,25 @@ class PieceEncoder:
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids (unsigned, 16 bits) of each text."""
-        cut = [self._pieces(t) for t in texts]
-        firsts = [b""] * len(cut)
-        if self.spaces:  # the first piece has no space before it
-            firsts = self._whole([c[0] if c else "" for c in cut])
-            cut = [c[1:] for c in cut]
-        self._learn(set().union(*cut))
-        get = self.kept.__getitem__
-        return [np.frombuffer(f + b"".join(map(get, c)), "<u2") for f, c in zip(firsts, cut)]
+        collecting = gc.isenabled()
+        gc.disable()  # millions of small objects and no cycles
+        try:
+            cut = [self._pieces(t) for t in texts]
+            firsts = [b""] * len(cut)
+            if self.spaces:  # the first piece has no space before it
+                firsts = [self._first(c[0]) for c in cut]
+                cut = [c[1:] for c in cut]
+            self._learn(set().union(*cut))
+            get = self.kept.__getitem__
+            return [np.frombuffer(f + b"".join(map(get, c)), "<u2") for f, c in zip(firsts, cut)]
+        finally:
+            if collecting:
+                gc.enable()
+
+    def forget(self) -> None:
+        """Free the tables when a task ends; workers outlive their tasks."""
+        self.kept, self.letters = Table(), Table()
+        self.bare = Table() if self.spaces else self.letters
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}

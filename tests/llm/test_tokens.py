@@ -38,7 +38,7 @@ def test_table_of_pieces_is_bounded(monkeypatch):
     for i in range(10):
         text = " ".join(f"w{i}x{j}" for j in range(15))
         assert own.encode([text])[0].tolist() == library_ids(BYTES, text)
-        assert len(own.kept) <= 35
+        assert len(own.kept) <= 35 and len(own.letters) <= 35
 
 
 def test_token_counts_of_awkward_texts(spark, awkward, nothing, rows_of):
