@@ -11,7 +11,7 @@ import gc
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 
@@ -36,15 +36,20 @@ _LETTERS = _byte_letters()
 
 
 class Table(dict):
-    """A dict with a bounded past: when full, its entries become the older ones; those that are used again return."""
+    """A dict that makes what it lacks, with a bounded past: when full, its entries become the older ones."""
 
-    def __init__(self) -> None:
-        self.older: dict[str, bytes] = {}
+    def __init__(self, make: Callable[[str], bytes | None]) -> None:
+        self.make, self.older = make, {}
 
-    def renew(self, size: int) -> None:
-        if size > CACHE_PIECES:
+    def __missing__(self, key: str) -> bytes | None:
+        if len(self) >= CACHE_PIECES:
             self.older = dict(self)
             self.clear()
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self[key] = ids
+        return ids
 
 
 class PieceEncoder:
@@ -63,64 +68,41 @@ class PieceEncoder:
         self.spaces = spaces
         self.lead = " " if spaces else ""
         self.forget()
-        self.tails: dict[str, bytes] = {}
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
-    def _model(self, letters: str, lead: str) -> bytes:
-        """Ids of ``lead`` and letters up to U+00FF: one pre-token, no change in normal form."""
-        text = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_LETTERS)
-        return array("H", [t.id for t in self.model.tokenize(_LETTERS[32] + text if lead else text)]).tobytes()
-
-    def _tail(self, marks: str) -> bytes:
-        if marks not in self.tails:
-            self.tails[marks] = self._whole([marks])[0]
-        return self.tails[marks]
-
-    def _plain(self, piece: str, lead: str) -> bytes | None:
-        """Ids of letters and closing marks after ``lead``; None for any other piece."""
+    def _model(self, letters: str, lead: str) -> bytes | None:
+        """Ids of ``lead`` and letters up to U+00FF (one pre-token, no change in normal form); None for other texts."""
+        if not letters.isalpha():
+            return None
+        if not letters.isascii():
+            if max(letters) > "ÿ":
+                return None
+            letters = letters.encode().decode("latin-1").translate(_LETTERS)
+        return array("H", [t.id for t in self.model.tokenize(_LETTERS[32] + letters if lead else letters)]).tobytes()
+
+    def _plain(self, piece: str, known: Table) -> bytes | None:
+        """Ids of letters and closing marks; None for any other piece."""
         body = piece.rstrip(_MARKS)
-        letters, known = body if self.spaces else body.lower(), self.letters if lead else self.bare
-        ids = known.get(letters)
-        if ids is None:
-            ids = known.older.get(letters)
-            if ids is None:
-                if not body.isalpha() or not body.isascii() and max(body) > "ÿ":
-                    return None
-                ids = self._model(letters, lead)
-            known[letters] = ids
-        if len(body) == len(piece):
+        ids = known[body if self.spaces else body.lower()]
+        if ids is None or len(body) == len(piece):
+            return ids
+        return ids + self.tails[piece[len(body) :]]
+
+    def _learn(self, piece: str) -> bytes:
+        ids = self._plain(piece, self.letters)
+        if ids is not None:
             return ids
-        marks = piece[len(body) :]
-        return ids + (self.tails.get(marks) or self._tail(marks))
-
-    def _learn(self, pieces: set[str]) -> None:
-        odd, kept, plain, lead = [], self.kept, self._plain, self.lead
-        missing = [p for p in pieces if p not in kept]
-        kept.renew(len(kept) + len(missing))
-        if not kept:
-            missing = pieces
-        for table in (self.letters, self.bare):
-            table.renew(len(table))
-        older = kept.older
-        for p in missing:
-            if (ids := older.get(p)) is not None or (ids := plain(p, lead)) is not None:
-                kept[p] = ids
-                continue
-            head, line, rest = p.partition("\n")
-            if line and (first := plain(head, lead)) is not None and (second := plain(rest, "")) is not None:
-                kept[p] = first + self._tail("\n") + second  # a line feed between words is a pre-token
-            else:
-                odd.append(p)
-        for first in range(0, len(odd), 4096):
-            some = odd[first : first + 4096]
-            kept.update(zip(some, self._whole([lead + p for p in some])))
+        head, line, rest = piece.partition("\n")
+        if line and (first := self._plain(head, self.letters)) is not None and (second := self._plain(rest, self.bare)) is not None:
+            return first + self.tails["\n"] + second  # a line feed between words is a pre-token
+        return self._whole([self.lead + piece])[0]
 
     def _first(self, piece: str) -> bytes:
         """Ids of the first piece of a text, which has no space before it."""
-        ids = self._plain(piece, "")
+        ids = self._plain(piece, self.bare)
         return self._whole([piece])[0] if ids is None else ids
 
     def _pieces(self, text: str) -> list[str]:
@@ -139,7 +121,6 @@ class PieceEncoder:
             if self.spaces:  # the first piece has no space before it
                 firsts = [self._first(c[0]) for c in cut]
                 cut = [c[1:] for c in cut]
-            self._learn(set().union(*cut))
             get = self.kept.__getitem__
             return [np.frombuffer(f + b"".join(map(get, c)), "<u2") for f, c in zip(firsts, cut)]
         finally:
@@ -148,8 +129,10 @@ class PieceEncoder:
 
     def forget(self) -> None:
         """Free the tables when a task ends; workers outlive their tasks."""
-        self.kept, self.letters = Table(), Table()
-        self.bare = Table() if self.spaces else self.letters
+        self.kept = Table(self._learn)
+        self.letters = Table(lambda letters: self._model(letters, self.lead))
+        self.bare = Table(lambda letters: self._model(letters, "")) if self.spaces else self.letters
+        self.tails = Table(lambda marks: self._whole([marks])[0])
 
 
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
