@@ -5,7 +5,8 @@ too many for keys made of the bits.  So candidates meet under bands of MinHash v
 the same shingles; inside a group the bit-sliced comparison of ``simhash`` keeps what is
 within the radius.  Of these pairs only a forest that holds the group together goes on,
 pairs with the most equal MinHash values first, and each of its links is verified on the
-texts themselves.  Equal texts are one text from the start.
+texts themselves.  Pairs of large groups that lie in different components after that are
+compared block by block and verified as well.  Equal texts are one text from the start.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
     """``a, b``: keys of texts within the radius that share a band; links, not all pairs.
 
     Groups above ``group`` texts are dealt to cells by hash; some ``ANCHORS`` of them are in
-    every cell, so that a group around common texts holds together.
+    every cell, so that most of a group holds together.  ``open_links`` has the pairs left.
     """
     listed = sketched.select("key", F.explode("bands").alias("band"))
     sizes = listed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
@@ -134,6 +135,82 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
     return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def undecided(sketched: DataFrame, groups: DataFrame, group: int = GROUP) -> DataFrame:
+    """``band, key, component, n, most``: groups above ``group`` texts that lie in several components.
+
+    ``groups`` are the components so far (``node, component``); a text in none is its own.
+    ``n`` texts are in the group, ``most.n`` of them in the component ``most.component``.
+    """
+    own = F.coalesce("component", "key").alias("component")
+    named = sketched.join(groups, sketched["key"] == groups["node"], "left").select("key", own, "bands")
+    listed = named.select("key", "component", F.explode("bands").alias("band"))
+    counts = listed.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most")).filter("n > most.n")
+    return listed.join(sizes.filter(F.col("n") > group), "band")
+
+
+def hub_links(apart: DataFrame, groups: DataFrame, good: DataFrame) -> DataFrame:
+    """``a, b``: each text outside its group's largest component with that component's best linked text."""
+    degrees = good.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    best = groups.join(degrees, "node").groupBy("component").agg(F.max(F.struct("links", "node")).alias("best"))
+    hubs = best.select(F.col("component").alias("home"), F.col("best.node").alias("hub"))
+    asking = apart.filter(F.col("component") != F.col("most.component")).select("key", F.col("most.component").alias("home")).distinct()
+    return asking.join(hubs, "home").select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()
+
+
+def open_links(apart: DataFrame, sketched: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
+    """``a, b``: all candidate pairs of the ``undecided`` groups that lie in different components.
+
+    Texts outside a group's largest component meet all its texts: every block of the former
+    is compared with every block of the latter in a cell of its own, so no pair is left out.
+    """
+    blocks = F.ceil(F.col("n") / group).cast("int")
+    sides = F.ceil((F.col("n") - F.col("most.n")) / group).cast("int")
+    rest = F.col("component") != F.col("most.component")
+    asked = F.transform(F.sequence(F.lit(0), sides - 1), lambda i: F.struct(i.alias("side"), F.pmod(F.xxhash64("key"), blocks).cast("int").alias("block"), F.lit(False).alias("asks")))
+    asking = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.pmod(F.xxhash64("key"), sides).cast("int").alias("side"), i.alias("block"), F.lit(True).alias("asks")))
+    cell = F.explode(F.when(rest, F.concat(asked, asking)).otherwise(asked)).alias("cell")
+    dealt = apart.select("band", "key", "component", rest.alias("rest"), cell).select("band", "cell.*", "key", "component", "rest")
+    dealt = dealt.join(sketched.select("key", "fingerprint", "values"), "key")
+
+    def compare(batches):
+        mark, rows = None, []
+
+        def flush():
+            number = {}
+            keys = [r[0] for r in rows]
+            part = np.array([number.setdefault(r[1], len(number)) for r in rows])
+            beyond, asks = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+            prints = np.array([r[4] for r in rows], np.int64).view(np.uint64)
+            values = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(len(rows), -1)
+            place = {k: i for i, k in enumerate(sorted(set(keys)))}
+            order = np.array([place[k] for k in keys])
+            other, some = np.flatnonzero(~asks), np.flatnonzero(asks)
+            for first in range(0, len(some), 16):
+                x = some[first : first + 16]
+                # two texts of the rest ask each other: once is enough
+                fit = (part[x][:, None] != part[other]) & (~beyond[other] | (order[x][:, None] > order[other]))
+                fit &= np.bitwise_count(prints[x][:, None] ^ prints[other]) <= radius
+                i, j = np.nonzero(fit)
+                keep = (values[x[i]] == values[other[j]]).sum(axis=1) >= (similarity - SLACK) * values.shape[1]
+                ends = [pa.array([keys[k] for k in at], pa.binary()) for at in (x[i[keep]], other[j[keep]])]
+                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            for band, side, block, *row in zip(*(batch[c].to_pylist() for c in ("band", "side", "block", "key", "component", "rest", "asks", "fingerprint", "values"))):
+                if (band, side, block) != mark:
+                    if rows:
+                        yield from flush()
+                    mark, rows = (band, side, block), []
+                rows.append(row)
+        if rows:
+            yield from flush()
+
+    parts = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = dealt.repartition(parts, "band", "side", "block").sortWithinPartitions("band", "side", "block", "key")
+    return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def verified(links: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The links whose texts' shingle sets have at least that Jaccard similarity."""
     left = links.join(texts.select(F.col("key").alias("a"), F.col("text").alias("x")), "a")
@@ -152,7 +229,7 @@ def verified(links: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
 
 
-def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col="doc_id", text_col="text") -> DataFrame:
+def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col="doc_id", text_col="text", group: int = GROUP) -> DataFrame:
     """One row of each group of near copies: that with the smallest id (nulls last); all columns stay.
 
     Null texts are empty ones; texts without words are copies only of equal texts.  Of
@@ -164,10 +241,24 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
     each = keyed.groupBy(F.col("__key").alias("key"), F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
     slim = stored(each.groupBy("key").agg(first.alias("first")).select("key", "first.id", "first.n"), "texts")
     sketched = stored(sketches(keyed.select(F.col("__key").alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))).dropDuplicates(["key"]), "sketches")
-    candidates = stored(candidate_links(sketched, radius), "candidates")
-    ends = candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = keyed.join(ends, keyed["__key"] == ends["key"], "left_semi").groupBy(F.col("__key").alias("key")).agg(F.first(text_col).alias("text"))
-    groups = components(stored(verified(candidates, stored(texts, "ends"), similarity), "verified"))
+    candidates = stored(candidate_links(sketched, radius, group), "candidates")
+
+    def proven(pairs):
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        texts = keyed.join(ends, keyed["__key"] == ends["key"], "left_semi").groupBy(F.col("__key").alias("key")).agg(F.first(text_col).alias("text"))
+        return stored(verified(pairs, stored(texts, "ends"), similarity), "verified")
+
+    good = proven(candidates)
+    groups = stored(components(good), "components")
+    apart = stored(undecided(sketched, groups, group), "undecided")
+    if not apart.isEmpty():
+        # most of what is left belongs to a hub; then all pairs of different components that were not tried
+        hubs = stored(hub_links(apart, groups, good).join(candidates, ["a", "b"], "left_anti"), "hubs")
+        good, tried = good.unionByName(proven(hubs)), candidates.unionByName(hubs)
+        groups = stored(components(good), "components")
+        apart = stored(undecided(sketched, groups, group), "undecided")
+        left = stored(open_links(apart, sketched, radius, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
+        groups = components(good.unionByName(proven(left)))
     named = slim.join(groups, slim["key"] == groups["node"], "left").withColumn("component", F.coalesce("component", "key"))
     best = F.min_by(F.struct("key", "id", "n"), F.struct(F.col("id").isNull(), "id", "key"))
     kept = named.groupBy("component").agg(best.alias("best")).select(F.col("best.key").alias("__kept"), F.col("best.id").alias("__id"), F.col("best.n").alias("__n"))

@@ -138,6 +138,24 @@ def test_large_groups_are_dealt_to_cells(spark, words):
     assert len({bytes(r["component"]) for r in found}) == 1 and len(found) == 300
 
 
+def star(own, n, changed, rng):
+    """A text and copies of it, each with other words at some five-word stretches of its own."""
+    out = [" ".join(own)]
+    for i in range(n):
+        copy = list(own)
+        for at in rng.sample(range(0, len(own), 5), changed):
+            copy[at] = f"w{i}x{at}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_large_stars_hold_together(spark, words):
+    """Copies close to one text only, in groups above the size of a cell: each must meet that text."""
+    texts = star(random.Random(12).choices(words, k=200), 400, 4, random.Random(14))  # all share a band with the first
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert [r["doc_id"] for r in near_copies.deduplicated(docs, group=32).collect()] == [0]
+
+
 def test_contained_items(spark, words, awkward, nothing, rows_of):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choices(words, k=k))) for i, k in enumerate([3, 5, 6, 9, 14, 30, 59, 120])] + [(50, None), (51, " !"), (52, "same TEXT, here"), (None, "only here it has a null id")]
