@@ -5,8 +5,9 @@ too many for keys made of the bits.  So candidates meet under bands of MinHash v
 the same shingles; inside a group the bit-sliced comparison of ``simhash`` keeps what is
 within the radius.  Of these pairs only a forest that holds the group together goes on,
 pairs with the most equal MinHash values first, and each of its links is verified on the
-texts themselves.  Pairs of large groups that lie in different components after that are
-compared block by block and verified as well.  Equal texts are one text from the start.
+texts themselves.  Texts of a group that lie in different components after that are compared
+block by block: each such pair is verified as well, so a link that failed hides no true
+one.  Equal texts are one text from the start.
 """
 
 from __future__ import annotations
@@ -135,8 +136,8 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
     return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def undecided(sketched: DataFrame, groups: DataFrame, group: int = GROUP) -> DataFrame:
-    """``band, key, component, n, most``: groups above ``group`` texts that lie in several components.
+def undecided(sketched: DataFrame, groups: DataFrame) -> DataFrame:
+    """``band, key, component, n, most``: groups of texts that share a band and lie in several components.
 
     ``groups`` are the components so far (``node, component``); a text in none is its own.
     ``n`` texts are in the group, ``most.n`` of them in the component ``most.component``.
@@ -146,7 +147,7 @@ def undecided(sketched: DataFrame, groups: DataFrame, group: int = GROUP) -> Dat
     listed = named.select("key", "component", F.explode("bands").alias("band"))
     counts = listed.groupBy("band", "component").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most")).filter("n > most.n")
-    return listed.join(sizes.filter(F.col("n") > group), "band")
+    return listed.join(sizes, "band")
 
 
 def hub_links(apart: DataFrame, groups: DataFrame, good: DataFrame) -> DataFrame:
@@ -250,13 +251,13 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
 
     good = proven(candidates)
     groups = stored(components(good), "components")
-    apart = stored(undecided(sketched, groups, group), "undecided")
+    apart = stored(undecided(sketched, groups), "undecided")
     if not apart.isEmpty():
         # most of what is left belongs to a hub; then all pairs of different components that were not tried
         hubs = stored(hub_links(apart, groups, good).join(candidates, ["a", "b"], "left_anti"), "hubs")
         good, tried = good.unionByName(proven(hubs)), candidates.unionByName(hubs)
         groups = stored(components(good), "components")
-        apart = stored(undecided(sketched, groups, group), "undecided")
+        apart = stored(undecided(sketched, groups), "undecided")
         left = stored(open_links(apart, sketched, radius, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
         groups = components(good.unionByName(proven(left)))
     named = slim.join(groups, slim["key"] == groups["node"], "left").withColumn("component", F.coalesce("component", "key"))

@@ -149,11 +149,12 @@ def star(own, n, changed, rng):
     return out
 
 
-def test_large_stars_hold_together(spark, words):
-    """Copies close to one text only, in groups above the size of a cell: each must meet that text."""
+@pytest.mark.parametrize("group", [32, near_copies.GROUP])
+def test_large_stars_hold_together(spark, words, group):
+    """Copies close to one text only, in groups above and below the size of a cell: each must meet that text."""
     texts = star(random.Random(12).choices(words, k=200), 400, 4, random.Random(14))  # all share a band with the first
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    assert [r["doc_id"] for r in near_copies.deduplicated(docs, group=32).collect()] == [0]
+    assert [r["doc_id"] for r in near_copies.deduplicated(docs, group=group).collect()] == [0]
 
 
 def test_contained_items(spark, words, awkward, nothing, rows_of):
