@@ -6,8 +6,8 @@ the same shingles; inside a group the bit-sliced comparison of ``simhash`` keeps
 within the radius.  Of these pairs only a forest that holds the group together goes on,
 pairs with the most equal MinHash values first, and each of its links is verified on the
 texts themselves.  Texts of a group that lie in different components after that are compared
-block by block: each such pair is verified as well, so a link that failed hides no true
-one.  Equal texts are one text from the start.
+block by block, whatever their distance in bits: each such pair with enough equal MinHash
+values is verified as well, so neither the radius nor a link that failed hides a true one.  Equal texts are one text from the start.
 """
 
 from __future__ import annotations
@@ -159,11 +159,12 @@ def hub_links(apart: DataFrame, groups: DataFrame, good: DataFrame) -> DataFrame
     return asking.join(hubs, "home").select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()
 
 
-def open_links(apart: DataFrame, sketched: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
+def open_links(apart: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
     """``a, b``: all candidate pairs of the ``undecided`` groups that lie in different components.
 
     Texts outside a group's largest component meet all its texts: every block of the former
     is compared with every block of the latter in a cell of its own, so no pair is left out.
+    Only MinHash values count here: few shingles may differ in more bits than any radius.
     """
     blocks = F.ceil(F.col("n") / group).cast("int")
     sides = F.ceil((F.col("n") - F.col("most.n")) / group).cast("int")
@@ -172,7 +173,7 @@ def open_links(apart: DataFrame, sketched: DataFrame, radius: int = RADIUS, simi
     asking = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.pmod(F.xxhash64("key"), sides).cast("int").alias("side"), i.alias("block"), F.lit(True).alias("asks")))
     cell = F.explode(F.when(rest, F.concat(asked, asking)).otherwise(asked)).alias("cell")
     dealt = apart.select("band", "key", "component", rest.alias("rest"), cell).select("band", "cell.*", "key", "component", "rest")
-    dealt = dealt.join(sketched.select("key", "fingerprint", "values"), "key")
+    dealt = dealt.join(sketched.select("key", "values"), "key")
 
     def compare(batches):
         mark, rows = None, []
@@ -182,8 +183,7 @@ def open_links(apart: DataFrame, sketched: DataFrame, radius: int = RADIUS, simi
             keys = [r[0] for r in rows]
             part = np.array([number.setdefault(r[1], len(number)) for r in rows])
             beyond, asks = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-            prints = np.array([r[4] for r in rows], np.int64).view(np.uint64)
-            values = np.frombuffer(b"".join(r[5] for r in rows), "<u2").reshape(len(rows), -1)
+            values = np.frombuffer(b"".join(r[4] for r in rows), "<u2").reshape(len(rows), -1)
             place = {k: i for i, k in enumerate(sorted(set(keys)))}
             order = np.array([place[k] for k in keys])
             other, some = np.flatnonzero(~asks), np.flatnonzero(asks)
@@ -191,14 +191,13 @@ def open_links(apart: DataFrame, sketched: DataFrame, radius: int = RADIUS, simi
                 x = some[first : first + 16]
                 # two texts of the rest ask each other: once is enough
                 fit = (part[x][:, None] != part[other]) & (~beyond[other] | (order[x][:, None] > order[other]))
-                fit &= np.bitwise_count(prints[x][:, None] ^ prints[other]) <= radius
                 i, j = np.nonzero(fit)
                 keep = (values[x[i]] == values[other[j]]).sum(axis=1) >= (similarity - SLACK) * values.shape[1]
                 ends = [pa.array([keys[k] for k in at], pa.binary()) for at in (x[i[keep]], other[j[keep]])]
                 yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
         for batch in batches:
-            for band, side, block, *row in zip(*(batch[c].to_pylist() for c in ("band", "side", "block", "key", "component", "rest", "asks", "fingerprint", "values"))):
+            for band, side, block, *row in zip(*(batch[c].to_pylist() for c in ("band", "side", "block", "key", "component", "rest", "asks", "values"))):
                 if (band, side, block) != mark:
                     if rows:
                         yield from flush()
@@ -258,7 +257,7 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
         good, tried = good.unionByName(proven(hubs)), candidates.unionByName(hubs)
         groups = stored(components(good), "components")
         apart = stored(undecided(sketched, groups), "undecided")
-        left = stored(open_links(apart, sketched, radius, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
+        left = stored(open_links(apart, sketched, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
         groups = components(good.unionByName(proven(left)))
     named = slim.join(groups, slim["key"] == groups["node"], "left").withColumn("component", F.coalesce("component", "key"))
     best = F.min_by(F.struct("key", "id", "n"), F.struct(F.col("id").isNull(), "id", "key"))

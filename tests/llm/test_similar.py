@@ -157,6 +157,24 @@ def test_large_stars_hold_together(spark, words, group):
     assert [r["doc_id"] for r in near_copies.deduplicated(docs, group=group).collect()] == [0]
 
 
+def test_short_near_copies_far_apart_in_bits(spark):
+    """Four of five shingles in common, over RADIUS bits apart."""
+    rng = random.Random(21)
+    texts = []
+    while len(texts) < 40:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        pair = [" ".join(own), " ".join(own[:8])]
+        a, b = (simhash.majority(np.unique(decontaminate.text_shingles(pa.array([t]))[0])) for t in pair)
+        if (a ^ b).bit_count() > near_copies.RADIUS:
+            texts += pair
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sketched = near_copies.sketches(docs.selectExpr("cast(text as binary) as key", "text")).collect()
+    bands = {bytes(r["key"]).decode(): set(r["bands"]) for r in sketched}
+    met = [i for i in range(0, 40, 2) if bands[texts[i]] & bands[texts[i + 1]]]
+    kept = {r["doc_id"] for r in near_copies.deduplicated(docs).collect()}
+    assert len(met) >= 18 and kept == set(range(40)) - {i + 1 for i in met}
+
+
 def test_contained_items(spark, words, awkward, nothing, rows_of):
     rng = random.Random(9)
     items = [(i, " ".join(rng.choices(words, k=k))) for i, k in enumerate([3, 5, 6, 9, 14, 30, 59, 120])] + [(50, None), (51, " !"), (52, "same TEXT, here"), (None, "only here it has a null id")]
