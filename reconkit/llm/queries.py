@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm import decontaminate, licenses, neighbours, packing, quality, secret_scan, simhash, token_counts, token_output, toxicity
+from reconkit.llm import (
+    decontaminate, hard_negatives, importance, licenses, neighbours, packing, quality, secret_scan, simhash, token_counts, token_output, toxicity, warc,
+)
 from reconkit.llm.common import held_out
 from reconkit.session import scratch_path
 
@@ -25,6 +27,16 @@ def query(fn):
     return fn
 
 
+def checked(sql: str):
+    """Register a query with its SQL."""
+
+    def add(fn):
+        ORACLE[fn.__name__] = sql
+        return query(fn)
+
+    return add
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -105,3 +117,75 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("found")).alias("spans")
     )
+
+
+@checked("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS last FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+  CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN last <> page_id THEN last END AS refers_to
+FROM p LEFT JOIN g ON p.html = g.html""")
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@checked("""
+WITH RECURSIVE crc(i, step, c) AS (
+  SELECT i, 0, i::BIGINT FROM range(256) r(i) UNION ALL
+  SELECT i, step + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM crc WHERE step < 8),
+byte_table AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE step = 8),
+w AS (
+  SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM documents UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) FROM benchmark),
+words AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM w),
+bytes AS (SELECT word, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM words),
+hashed AS (
+  SELECT word, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[xor(a, x) % 256 + 1]), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS bucket
+  FROM bytes, byte_table),
+f AS (SELECT side, id, bucket, count(*) AS n FROM w JOIN hashed USING (word) GROUP BY ALL),
+totals AS (SELECT sum(n) FILTER (side = 'd') AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM f),
+each AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM f GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((each.t + 1)::DOUBLE * (totals.s + 10000)::DOUBLE) / ((each.s + 1)::DOUBLE * (totals.t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM each, totals),
+weights AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM f JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+noise AS (SELECT doc_id, (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS u FROM documents),
+scored AS (
+  SELECT noise.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln(u))))::BIGINT AS score
+  FROM noise LEFT JOIN weights ON noise.doc_id = weights.id),
+pool AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN pool USING (doc_id)""")
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@checked("""
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM positives JOIN pairs USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3""")
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end")
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("id") % 50 == 0, label)
