@@ -64,3 +64,56 @@ def kolmogorov_sf(x: float) -> float:
         return 1.0
     total = sum((-1) ** (k - 1) * math.exp(-2 * (k * x) ** 2) for k in range(1, 101))
     return min(1.0, max(0.0, 2 * total))
+
+
+# Sizes up to which the exact laws are used.
+EXACT_KS_CELLS = 10_000  # n1 * n2
+EXACT_MW_SIDE, EXACT_MW_CELLS = 8, 10_000  # the smaller side, n1 * n2
+
+
+def ks_exact_sf(n1: int, n2: int, d: float) -> float:
+    """P(D >= d) of the two-sided two-sample statistic, by walks over the (n1, n2) grid.
+
+    All orders of the pooled values are equally likely, so one is a walk that steps to
+    either side with the share that is left there.  What leaves the band |i/n1 - j/n2| < d
+    is added up, so small probabilities stay accurate.
+    """
+    limit = round(d * n1 * n2)  # distances are multiples of 1 / (n1 n2)
+    if limit <= 0:
+        return 1.0
+    inside, out = {0: 1.0}, 0.0  # steps to the first side so far -> probability
+    for s in range(n1 + n2):
+        after: dict[int, float] = {}
+        for i, p in inside.items():
+            left = n1 + n2 - s
+            for to, share in ((i + 1, (n1 - i) / left), (i, (n2 - s + i) / left)):
+                if not share:
+                    continue
+                if abs(to * n2 - (s + 1 - to) * n1) >= limit:
+                    out += p * share
+                else:
+                    after[to] = after.get(to, 0.0) + p * share
+        inside = after
+    return min(1.0, out)
+
+
+def rank_set_counts(m: int, n: int) -> list[int]:
+    """For each U from 0 to m n, how many of the choices of m among m + n ranks give it.
+
+    These are the partitions of U into at most m parts of at most n, whose counts are the
+    coefficients of a product of (1 - x^(n + i)) / (1 - x^i).
+    """
+    counts = [1] + [0] * (m * n)
+    for i in range(1, m + 1):
+        for u in range(m * n, n + i - 1, -1):
+            counts[u] -= counts[u - n - i]
+        for u in range(i, m * n + 1):
+            counts[u] += counts[u - i]
+    return counts
+
+
+def mw_exact_two_sided(n1: int, n2: int, u: float) -> float:
+    """Two-sided p-value of U without ties."""
+    counts = rank_set_counts(min(n1, n2), max(n1, n2))
+    larger = round(max(u, n1 * n2 - u))
+    return min(1.0, 2 * sum(counts[larger:]) / sum(counts))

@@ -12,7 +12,7 @@ from reconkit.operators.cumulative import cumulative
 from reconkit.operators.quantiles import long_values
 from reconkit.session import local_rows
 
-RANK_STATS = "variable string, n1 bigint, n2 bigint, ks_d double, ks_p double, u double, mw_p double"
+RANK_STATS = "variable string, n1 bigint, n2 bigint, ks_d double, ks_p double, u double, mw_p double, note string"
 
 
 def _sides(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,11 +44,15 @@ def rank_statistics(first: DataFrame, second: DataFrame, columns: Sequence[str])
     )
 
 
-def _ks_p(n1: float, n2: float, d: float) -> float:
+def _ks_p(n1: int, n2: int, d: float) -> float:
+    if n1 * n2 <= pvalues.EXACT_KS_CELLS:
+        return pvalues.ks_exact_sf(n1, n2, d)
     return pvalues.kolmogorov_sf(math.sqrt(n1 * n2 / (n1 + n2)) * d)
 
 
-def _mw_p(n1: float, n2: float, u: float, ties: float) -> float:
+def _mw_p(n1: int, n2: int, u: float, ties: float) -> float:
+    if not ties and min(n1, n2) <= pvalues.EXACT_MW_SIDE and n1 * n2 <= pvalues.EXACT_MW_CELLS:
+        return pvalues.mw_exact_two_sided(n1, n2, u)
     n = n1 + n2
     spread = math.sqrt(max(0.0, n1 * n2 / 12 * (n + 1 - ties / (n * (n - 1)))))
     if spread == 0:
@@ -57,15 +61,23 @@ def _mw_p(n1: float, n2: float, u: float, ties: float) -> float:
 
 
 def distribution_tests(first: DataFrame, second: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """KS and Mann-Whitney with asymptotic p-values, one row per column.
+    """KS and Mann-Whitney, one row per column in the order given.
 
-    Only the finished statistics, one row per tested column, reach the driver.  A column
-    without values on a side has no row.
+    Small sides get the exact laws (limits in ``pvalues``; Mann-Whitney without ties only),
+    others the asymptotic ones.  A column without values on a side can't be tested: its row
+    has the counts, no statistics, and says so in ``note``.  Only the finished statistics,
+    one row per tested column, reach the driver.
     """
-    tested = [r for r in rank_statistics(first, second, columns).collect() if r.n1 and r.n2]
-    rows = [
-        (r.variable, r.n1, r.n2, r.ks_d, _ks_p(r.n1, r.n2, r.ks_d), r.u, _mw_p(r.n1, r.n2, r.u, r.ties)) for r in tested
-    ]
+    found = {r.variable: r for r in rank_statistics(first, second, columns).collect()}
+    rows = []
+    for c in columns:
+        r = found.get(c)
+        n1, n2 = (r.n1, r.n2) if r else (0, 0)
+        if n1 and n2:
+            rows.append((c, n1, n2, r.ks_d, _ks_p(n1, n2, r.ks_d), r.u, _mw_p(n1, n2, r.u, r.ties), None))
+        else:
+            sides = "either side" if not (n1 or n2) else "the first side" if not n1 else "the second side"
+            rows.append((c, n1, n2, None, None, None, None, f"no values on {sides}"))
     return local_rows(first.sparkSession, rows, RANK_STATS)
 
 

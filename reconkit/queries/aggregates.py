@@ -185,6 +185,84 @@ def mann_whitney(t: Tables):
     return H.distribution_tests(*_returned(t), ["l_extendedprice"]).select("variable", "u")
 
 
+BALANCES = """balances AS (
+  SELECT n_regionkey, c_nationkey, sum(c_acctbal) AS balance, CAST(count(*) AS DOUBLE) AS customers
+  FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
+f AS (SELECT * FROM balances WHERE n_regionkey = 0), s AS (SELECT * FROM balances WHERE n_regionkey <> 0)"""
+
+
+def _balances(t: Tables):
+    """Customers' balances per nation: those of one region against all others."""
+    joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    per_nation = joined.groupBy("n_regionkey", "c_nationkey").agg(
+        F.sum("c_acctbal").alias("balance"), F.count(F.lit(1)).cast("double").alias("customers")
+    )
+    return per_nation.filter("n_regionkey = 0"), per_nation.filter("n_regionkey <> 0")
+
+
+def _ks_exact_sql(c: str) -> str:
+    """Distance, then walks over the grid as lists: one step of the pooled order a row."""
+    return f"""
+    {c}_v AS (SELECT DISTINCT {c} AS v FROM balances),
+    {c}_d AS (
+      SELECT (SELECT count(*) FROM f) AS n1, (SELECT count(*) FROM s) AS n2,
+        max(abs((SELECT count(*) FROM f WHERE {c} <= v) / (SELECT count(*) FROM f)
+              - (SELECT count(*) FROM s WHERE {c} <= v) / (SELECT count(*) FROM s))) AS d
+      FROM {c}_v),
+    {c}_w(step, p, n1, n2, d) AS (
+      SELECT 0, list_transform(range(n1 + 2), lambda i: CASE WHEN i = 1 THEN 1.0::DOUBLE ELSE 0 END), n1, n2, d FROM {c}_d
+      UNION ALL
+      SELECT step + 1, list_transform(range(n1 + 2), lambda i: CASE
+          WHEN i = 0 OR abs((i - 1) * n2 - (step + 2 - i) * n1) >= round(d * n1 * n2) THEN 0
+          ELSE (p[i] * (n1 - i + 2) + p[i + 1] * (n2 - step + i - 1)) / (n1 + n2 - step) END), n1, n2, d
+      FROM {c}_w WHERE step < n1 + n2)"""
+
+
+@query(
+    "ks_exact",
+    f"""WITH RECURSIVE {BALANCES}, {_ks_exact_sql("balance")}, {_ks_exact_sql("customers")}
+    SELECT 'balance' AS variable, n1, n2, round(d, 9) AS ks_d, round(1 - p[n1 + 2], 9) AS ks_p FROM balance_w WHERE step = n1 + n2
+    UNION ALL SELECT 'customers', n1, n2, round(d, 9), round(1 - p[n1 + 2], 9) FROM customers_w WHERE step = n1 + n2""",
+)
+def ks_exact(t: Tables):
+    """Exact law for a region's five nations against all others."""
+    out = H.distribution_tests(*_balances(t), ["balance", "customers"])
+    return out.select("variable", "n1", "n2", rnd("ks_d", 9).alias("ks_d"), rnd("ks_p", 9).alias("ks_p"))
+
+
+@query(
+    "mann_whitney_exact",
+    f"""WITH RECURSIVE {BALANCES},
+    u AS (SELECT (SELECT count(*) FROM f) AS n1, (SELECT count(*) FROM s) AS n2,
+            (SELECT sum(CASE WHEN f.balance > s.balance THEN 1 WHEN f.balance = s.balance THEN 0.5 ELSE 0 END) FROM f, s) AS u),
+    sets(rank, chosen, total, n1, n) AS (
+      SELECT 0, 0, 0, n1, n1 + n2 FROM u UNION ALL
+      SELECT rank + 1, chosen + take, total + take * (rank + 1 - chosen - 1), n1, n
+      FROM sets, (VALUES (0), (1)) t(take) WHERE rank < n AND chosen + take <= n1 AND chosen + take + n - rank - 1 >= n1),
+    law AS (SELECT total AS u, count(*) AS n FROM sets WHERE rank = n AND chosen = n1 GROUP BY 1)
+    SELECT 'balance' AS variable, n1, n2, CAST(u.u AS DOUBLE) AS u,
+      round(least(1, 2 * (SELECT sum(n) FROM law WHERE law.u >= greatest(u.u, n1 * n2 - u.u)) / (SELECT sum(n) FROM law)), 9) AS mw_p FROM u""",
+)
+def mann_whitney_exact(t: Tables):
+    """Exact law for a region's five nations against all others; balances have no ties."""
+    out = H.distribution_tests(*_balances(t), ["balance"])
+    return out.select("variable", "n1", "n2", "u", rnd("mw_p", 9).alias("mw_p"))
+
+
+@query(
+    "untestable_columns",
+    """WITH c AS (SELECT count(c_acctbal) AS n FROM customer)
+    SELECT 'balance' AS variable, n AS n1, 0::BIGINT AS n2, 'no values on the second side' AS note FROM c
+    UNION ALL SELECT 'nothing', 0, 0, 'no values on either side' FROM c
+    UNION ALL SELECT 'known', n, n, NULL FROM c""",
+)
+def untestable_columns(t: Tables):
+    """A column that is empty on a side keeps its row."""
+    a = t.customer.select(F.col("c_acctbal").alias("balance"), F.lit(None).cast("double").alias("nothing"), F.col("c_acctbal").alias("known"))
+    b = a.withColumn("balance", F.lit(None).cast("double"))
+    return H.distribution_tests(a, b, ["balance", "nothing", "known"]).select("variable", "n1", "n2", "note")
+
+
 @query(
     "ttest_two_sample",
     """WITH g AS (SELECT l_linestatus AS k, count(l_quantity) AS n, avg(l_quantity) AS m, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),

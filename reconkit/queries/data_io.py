@@ -23,7 +23,7 @@ from reconkit.queries.recon import PROFILE_PAIR, _profiles, table_pairs
 from reconkit.operators.profile import profile_report
 from reconkit.queries.shaping import BATCHES, MAPPING, stamped_batches
 from reconkit.session import scratch_path
-from reconkit.sources import scan, write
+from reconkit.sources import batches, scan, write
 
 
 @query(
@@ -269,3 +269,37 @@ def size_estimate(t: Tables):
     return write.size_estimate(t.spark, path).select(
         (F.col("files") > 0).alias("has_files"), (F.col("size_mb") > 0).alias("has_size")
     )
+
+
+@query(
+    "append_twice",
+    """SELECT o_orderstatus AS batch_id, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus IN ('O', 'F') GROUP BY 1""",
+)
+def append_twice(t: Tables):
+    """One batch is written twice, one once, and one is staged but never committed."""
+    path = scratch_path(t.spark, "batches")
+    rows = lambda status: t.orders.filter(F.col("o_orderstatus") == status)
+    batches.write_batch(rows("O").limit(10), path, "O")
+    batches.write_batch(rows("F"), path, "F")
+    batches.stage_batch(rows("P"), path, "P")
+    batches.write_batch(rows("O"), path, "O")
+    out = batches.read_committed(t.spark, path)
+    return out.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), rnd(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query(
+    "resumed_copy",
+    """SELECT strftime(l_shipdate, '%Y') AS batch_id, count(*) AS row_count, true AS same FROM lineitem GROUP BY 1""",
+)
+def resumed_copy(t: Tables):
+    """A copy by year that stops half-way and goes on; its commits are held against what is read back."""
+    path = scratch_path(t.spark, "batches")
+    year = F.date_format("l_shipdate", "yyyy")
+    lines = t.lineitem.withColumn("month", F.month("l_shipdate"))
+    years = sorted(r[0] for r in lines.select(year).distinct().collect())
+    of = lambda y: lines.filter(year == y)
+    batches.copy_batches(t.spark, path, years[: len(years) // 2], of, ["month"])
+    batches.copy_batches(t.spark, path, years, of, ["month"])
+    back = batches.read_committed(t.spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("read"))
+    commits = batches.committed_batches(t.spark, path).select("batch_id", "row_count")
+    return commits.join(back, "batch_id").select("batch_id", "row_count", (F.col("read") == F.col("row_count")).alias("same"))

@@ -105,6 +105,21 @@ def prefix_match_join(t: Tables):
     return M.prefix_match_join(a, b, "a", "b")
 
 
+@query(
+    "prefix_match_long",
+    """WITH a AS (SELECT DISTINCT text AS a FROM documents),
+       b AS (SELECT DISTINCT CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 60) ELSE text END AS b FROM documents)
+       SELECT md5(a) AS a, md5(b) AS b FROM a JOIN b ON substr(a, 1, 10) = substr(b, 1, 10) AND (starts_with(a, b) OR starts_with(b, a))
+       UNION ALL SELECT md5(a), md5(b) FROM a JOIN b ON length(a) > 0 AND length(b) > 0 AND least(length(a), length(b)) < 10 AND (starts_with(a, b) OR starts_with(b, a))
+         AND substr(a, 1, 10) <> substr(b, 1, 10)""",
+)
+def prefix_match_long(t: Tables):
+    """Whole texts against texts and beginnings of texts."""
+    a = t.documents.select(F.col("text").alias("a"))
+    b = t.documents.select(F.expr("if(doc_id % 3 = 0, substr(text, 1, 60), text)").alias("b"))
+    return M.prefix_match_join(a, b, "a", "b").select(F.md5("a").alias("a"), F.md5("b").alias("b"))
+
+
 def _brand_lists(t: Tables):
     """Brand codes and their first seven letters per part type, in name order."""
     from pyspark.sql import Window as W

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reconkit.functions import text
-from reconkit.operators import profile as P, records as R, schema as S, temporal as D
-from reconkit.plans import align, analysis, compare
-from reconkit.queries import LINES, TARGET, Tables, altered_lineitem, altered_orders, query, rnd
-from reconkit.session import checkpointed
+from reconkit.operators import profile as P, records as R, schema as S, sketches as K, temporal as D
+from reconkit.operators.quantiles import long_values
+from reconkit.plans import align, analysis, compare, versions as V
+from reconkit.queries import LINES, ORACLE, TARGET, Tables, altered_lineitem, altered_orders, query, rnd
+from reconkit.session import checkpointed, scratch_path
 
 KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -86,6 +87,49 @@ def value_differences_duplicate_keys(t: Tables):
     return R.value_differences(t.lineitem, altered_lineitem(t), KEYS, columns)
 
 
+def _versions(t: Tables) -> tuple[str, str]:
+    """``orders`` and its altered copy as stored versions with the same key ranges."""
+    source = V.write_version(t.orders, scratch_path(t.spark, "version"), ["o_orderkey"], leaves=256)
+    return source, V.write_version(altered_orders(t), scratch_path(t.spark, "version"), ["o_orderkey"], like=source)
+
+
+@query("value_differences_by_digest", ORACLE["value_differences"])
+def value_differences_by_digest(t: Tables):
+    return V.value_differences_by_digest(t.spark, *_versions(t))
+
+
+@query("value_differences_by_digest_duplicate_keys", ORACLE["value_differences_duplicate_keys"])
+def value_differences_by_digest_duplicate_keys(t: Tables):
+    """The hot first key of a two-part key is spread over ranges by the whole key."""
+    source = V.write_version(t.lineitem, scratch_path(t.spark, "version"), KEYS, leaves=256)
+    target = V.write_version(altered_lineitem(t), scratch_path(t.spark, "version"), KEYS, like=source)
+    return V.value_differences_by_digest(t.spark, source, target, ["l_partkey", "l_discount", "l_returnflag"])
+
+
+@query(
+    "column_compare_by_digest",
+    """WITH n AS (SELECT count(*) AS n, count_if(o_totalprice >= 450000) AS changed FROM orders)
+       SELECT c AS column_name, n AS source_values, n AS target_values, true AS type_match, c <> 'o_totalprice' OR changed = 0 AS values_match
+       FROM n, unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) x(c)""",
+)
+def column_compare_by_digest(t: Tables):
+    """Only the column whose digests differ is read and compared."""
+    price = F.col("o_totalprice")
+    target = t.orders.withColumn("o_totalprice", F.when(price >= 450000, price * 2).otherwise(price))
+    source = V.write_version(t.orders, scratch_path(t.spark, "version"), ["o_orderkey"], leaves=256)
+    target = V.write_version(target, scratch_path(t.spark, "version"), ["o_orderkey"], like=source)
+    return V.column_compare_by_digest(t.spark, source, target).drop("unequal")
+
+
+@query(
+    "unmatched_records_by_digest",
+    f"""{MATCHED} SELECT coalesce(s.o_orderkey, g.o_orderkey) AS o_orderkey, coalesce(s.n, 0) AS s_rows,
+        coalesce(g.n, 0) AS t_rows FROM s FULL JOIN g ON s.o_orderkey = g.o_orderkey WHERE s.n IS DISTINCT FROM g.n""",
+)
+def unmatched_records_by_digest(t: Tables):
+    return V.unmatched_records_by_digest(t.spark, *_versions(t))
+
+
 @query(
     "difference_sample",
     f"""WITH {TARGET}, j AS (SELECT s.o_orderkey, s.o_orderstatus AS a2, t.o_orderstatus AS b2,
@@ -491,6 +535,52 @@ def column_profile_nulls(t: Tables):
     return _rounded(P.column_profile(altered_orders(t)))
 
 
+@query(
+    "profile_from_sketches",
+    f"""SELECT column_name, data_type, row_count, null_count, min_value, max_value, mean_value, std_value, min_length, max_length, avg_length,
+        min_date, max_date, date_range_days, null_percentage, true AS median_close, true AS distinct_close
+        FROM ({_profile_sql('lineitem', LINE_COLUMNS)})""",
+)
+def profile_from_sketches(t: Tables):
+    """Monthly sketches, stored and merged; estimates are held against exact ranks and counts."""
+    path = scratch_path(t.spark, "sketches")
+    K.column_sketches(t.lineitem, F.date_format("l_shipdate", "yyyy-MM")).write.parquet(path)
+    profile = checkpointed(K.profile_from_sketches(K.merge_sketches(t.spark.read.parquet(path))))
+    medians = profile.filter("median_value IS NOT NULL").select(F.col("column_name").alias("variable"), "median_value")
+    long = long_values(t.lineitem, [c for c, kind, _ in LINE_COLUMNS if kind == "n"]).join(F.broadcast(medians), "variable")  # one row a column
+    below, upto = (F.count_if(c) / F.count(F.lit(1)) for c in (F.col("value") < F.col("median_value"), F.col("value") <= F.col("median_value")))
+    close = (below <= 0.5 + K.RANK_ERROR) & (upto >= 0.5 - K.RANK_ERROR)
+    ranks = long.groupBy(F.col("variable").alias("column_name")).agg(close.alias("median_close"))
+    exact = P.column_profile(t.lineitem, median=False).select("column_name", F.col("unique_count").alias("exact"))
+    met = profile.join(ranks, "column_name", "left").join(exact, "column_name")
+    met = met.withColumns(
+        {
+            "median_close": F.coalesce("median_close", F.lit(True)),
+            "distinct_close": F.abs(F.col("unique_count") - F.col("exact")) <= 0.08 * F.col("exact"),
+            "mean_value": rnd("mean_value", 4), "std_value": rnd("std_value", 4), "avg_length": rnd("avg_length"), "null_percentage": rnd("null_percentage", 4),
+        }
+    )
+    return met.drop("exact", "unique_count", "unique_percentage", "median_value")
+
+
+@query(
+    "profile_of_period",
+    f"""WITH days AS (SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-04-01')
+        SELECT column_name, row_count, null_count, min_value, max_value, mean_value, std_value, max_length, min_date, max_date
+        FROM ({_profile_sql('days', LINE_COLUMNS)})""",
+)
+def profile_of_period(t: Tables):
+    """The profile of a month from the sketches of its days."""
+    path = scratch_path(t.spark, "sketches")
+    K.column_sketches(t.lineitem, F.to_date("l_shipdate")).write.parquet(path)
+    month = t.spark.read.parquet(path).filter("period >= DATE'1997-03-01' AND period < DATE'1997-04-01'")
+    out = K.profile_from_sketches(K.merge_sketches(month))
+    rounded = {c: rnd(c, 4) for c in ("mean_value", "std_value")}
+    return out.withColumns(rounded).select(
+        "column_name", "row_count", "null_count", "min_value", "max_value", "mean_value", "std_value", "max_length", "min_date", "max_date"
+    )
+
+
 PROFILE_PAIR = f"""WITH {TARGET}, a AS ({_profile_sql('orders', ORDER_COLUMNS)}), b AS ({_profile_sql('target', ORDER_COLUMNS)}),
  j AS (SELECT a.column_name, b.row_count - a.row_count AS rd, b.null_count - a.null_count AS nd, b.unique_count - a.unique_count AS ud,
    b.min_value - a.min_value AS mind, b.max_value - a.max_value AS maxd FROM a JOIN b USING (column_name))

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from reconkit.functions.types import cast_by_source_type, type_compatible
@@ -137,3 +138,29 @@ def test_run_analysis(spark):
     assert got["nodate"].status == S.STATUS["no_target_date"] and got["nodate"].col_details == ""
     only = {r.target_table: r.time_unmatch for r in analysis.run_analysis(spark, pairs, "mismatch").collect()}
     assert only["l.rows"] and not only["l.dates"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.text("ab", max_size=7) | st.none()), max_size=40),
+    st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.text("ab", max_size=7) | st.none()), max_size=40),
+    st.integers(1, 9),
+)
+def test_prefix_sweep_over_many_ranges(spark, left, right, parts):
+    a = spark.createDataFrame(left, "g int, a string")
+    b = spark.createDataFrame(right, "g int, b string")
+    got = [tuple(r) for r in M.prefix_match_join(a, b, "a", "b", ["g"], parts=parts).collect()]
+    want = {(g, x, y) for g, x in left for h, y in right if g is not None and g == h and x and y and (x.startswith(y) or y.startswith(x))}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_prefix_sweep_of_nested_and_long_texts(spark):
+    """Every text starts with all shorter ones, across many range limits; none is written out prefix by prefix."""
+    texts = [("é" * n,) for n in range(1, 60)] + [("b" * 200_000,), ("b" * 199_999 + "c",), ("b" * 100_000,)]
+    a, b = spark.createDataFrame(texts, "a string"), spark.createDataFrame(texts, "b string")
+    got = M.prefix_match_join(a, b, "a", "b", parts=12).select(F.length("a"), F.length("b")).collect()
+    want = [(i, j) for i in range(1, 60) for j in range(1, 60)] + [(200_000, 200_000)] * 2 + [(100_000, 100_000)]
+    want += [(200_000, 100_000)] * 2 + [(100_000, 200_000)] * 2
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    joined = M.short_prefix_join(a.filter("length(a) < 60"), b.filter("length(b) < 60"), "a", "b")
+    assert joined.count() == 59 * 59

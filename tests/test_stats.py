@@ -1,5 +1,6 @@
 """Tests, regressions and probabilities against direct computation."""
 
+import itertools
 import math
 
 import numpy as np
@@ -38,6 +39,51 @@ def test_rank_tests_against_pairs(spark):
     assert same.ks_d == 0 and same.ks_p == 1.0 and same.mw_p == 1.0
 
 
+def _all_orders(n1, n2):
+    """(KS distance, U) of every way to pick which of the pooled ranks are the first side's."""
+    for first in itertools.combinations(range(n1 + n2), n1):
+        mine, i, d = set(first), 0, 0.0
+        for r in range(n1 + n2):
+            i += r in mine
+            d = max(d, abs(i / n1 - (r + 1 - i) / n2))
+        yield d, sum(r - k for k, r in enumerate(first))
+
+
+@pytest.mark.parametrize("n1, n2", [(1, 1), (1, 6), (6, 5), (3, 7), (4, 4), (8, 2)])
+def test_exact_laws_by_enumeration(n1, n2):
+    found = list(_all_orders(n1, n2))
+    for d in {round(x, 12) for x, _ in found}:
+        want = sum(x >= d - 1e-9 for x, _ in found) / len(found)
+        assert P.ks_exact_sf(n1, n2, d) == pytest.approx(want, abs=1e-12)
+    counts = P.rank_set_counts(min(n1, n2), max(n1, n2))
+    assert counts == [sum(u == v for _, v in found) for u in range(n1 * n2 + 1)]
+    for u in range(n1 * n2 + 1):
+        want = min(1.0, 2 * sum(v >= max(u, n1 * n2 - u) for _, v in found) / len(found))
+        assert P.mw_exact_two_sided(n1, n2, u) == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_laws_known_values():
+    assert P.ks_exact_sf(6, 5, 0.5) == pytest.approx(0.357142857, abs=1e-9)
+    assert P.mw_exact_two_sided(6, 5, 6) == pytest.approx(0.125541126, abs=1e-9)
+    assert P.ks_exact_sf(50, 40, 1.0) == pytest.approx(2 / math.comb(90, 40), rel=1e-9)  # small ones stay accurate
+    assert P.ks_exact_sf(5, 9, 0.0) == 1.0
+    # close to the asymptotic law where sides are large
+    assert P.ks_exact_sf(100, 100, 0.2) == pytest.approx(P.kolmogorov_sf(math.sqrt(50) * 0.2), abs=0.01)
+
+
+def test_small_sides_and_untestable_columns(spark):
+    schema = "v double, w double, only double, none double"
+    a = spark.createDataFrame([(float(x), 1.0, 1.0, None) for x in (1, 2, 3, 4, 5, 11)], schema)
+    b = spark.createDataFrame([(x, float(x > 7), None, None) for x in (3.5, 6.0, 7.0, 8.0, 9.0)], schema)
+    got = H.distribution_tests(a, b, ["v", "w", "only", "none"]).collect()
+    assert [r.variable for r in got] == ["v", "w", "only", "none"]
+    v, w, only, none = got
+    assert v.ks_p == pytest.approx(P.ks_exact_sf(6, 5, v.ks_d)) and v.mw_p == pytest.approx(P.mw_exact_two_sided(6, 5, v.u))
+    assert w.mw_p == pytest.approx(H._mw_p(6, 5, w.u, 528)) and w.note is None  # tied values: asymptotic
+    assert (only.n1, only.n2, only.ks_p, only.mw_p, only.note) == (6, 0, None, None, "no values on the second side")
+    assert (none.n1, none.n2, none.u, none.note) == (0, 0, None, "no values on either side")
+
+
 def test_t_tests(spark):
     rng = np.random.default_rng(6)
     a, b = rng.normal(5, 2, 40), rng.normal(6, 2, 40)
