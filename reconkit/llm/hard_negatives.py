@@ -87,7 +87,7 @@ class Block:
         focus = np.argsort(-np.abs(unit), kind="stable")[:FOCUS]
         low, high = feasible(unit[focus], t)
         cut = [(np.searchsorted(self.values[:, f], a, "left"), np.searchsorted(self.values[:, f], b, "right"), f) for f, a, b in zip(focus, low, high)]
-        if min(b - a for a, b, _ in cut) * 2 > len(self.ids):
+        if math.prod((b - a) / len(self.ids) for a, b, _ in cut) > 0.5:
             return None
         seen = np.zeros(len(self.ids), np.uint8)
         for a, b, f in cut:

@@ -263,31 +263,33 @@ class _Walk:
     """Cuts the bytes of one file into records."""
 
     def __init__(self, file: str) -> None:
-        self.file, self.held, self.need, self.head = file, bytearray(), 0, None
+        self.file, self.parts, self.size, self.need, self.head = file, [], 0, 0, None
 
     def feed(self, data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-        self.held += data
+        self.parts.append(data)
+        self.size += len(data)
+        if self.head is not None and self.size < self.need:
+            return  # bytes are joined once a record is whole
+        held, at = b"".join(self.parts), 0
         while True:
             if self.head is None:
-                blank = len(self.held) - len(self.held.lstrip(LINE))
-                if blank:
-                    del self.held[:blank]
-                at = self.held.find(END)
-                if at < 0:
-                    return
-                if not self.held.startswith(b"WARC/"):
+                while held[at : at + 2] == LINE:
+                    at += 2
+                stop = held.find(END, at)
+                if stop < 0:
+                    break
+                if not held.startswith(b"WARC/", at):
                     raise ValueError(f"no record where one should start in {self.file}")
-                self.head = _fields(bytes(self.held[:at]))
-                self.need = int(self.head["content-length"])
-                del self.held[: at + 4]
-            if len(self.held) < self.need:
-                return
-            yield self.head, bytes(self.held[: self.need])
-            del self.held[: self.need]
-            self.head = None
+                self.head = _fields(held[at:stop])
+                self.need, at = int(self.head["content-length"]), stop + 4
+            if len(held) - at < self.need:
+                break
+            yield self.head, held[at : at + self.need]
+            self.head, at = None, at + self.need
+        self.parts, self.size = [held[at:]], len(held) - at
 
     def close(self) -> None:
-        if self.head is not None or self.held.strip(LINE):
+        if self.head is not None or b"".join(self.parts).strip(LINE):
             raise ValueError(f"the last record of {self.file} is cut short")
 
 
@@ -305,8 +307,8 @@ def read_records(spark: SparkSession, path: str, whole_files: bool = False) -> D
     Files are gzip (``.gz``), which Spark never splits.  For other files set ``whole_files``:
     each is then one row, so it must fit in memory.
     """
-    reader = spark.read.option("wholetext", "true") if whole_files else spark.read.option("lineSep", END.decode())
-    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
+    lines = spark.read.text(path, wholetext=True) if whole_files else spark.read.text(path, lineSep=END.decode())
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("value"))
     schema = _arrow(RECORD)
 
     def number(text):
