@@ -7,7 +7,10 @@ within the radius.  Of these pairs only a forest that holds the group together g
 pairs with the most equal MinHash values first, and each of its links is verified on the
 texts themselves.  Texts of a group that lie in different components after that are compared
 block by block, whatever their distance in bits: each such pair with enough equal MinHash
-values is verified as well, so neither the radius nor a link that failed hides a true one.  Equal texts are one text from the start.
+values is compared in its cell, on sorted 32-bit hashes of the shingles, and only what
+passes there goes on to the texts.  So neither the radius nor a link that failed hides a
+true one, and texts of one boilerplate send no pairs out of their cells.  Equal texts are
+one text from the start.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ SIMILARITY = 0.8
 SLACK = 0.2  # the share of equal MinHash values may fall this much short: over four standard deviations
 BANDS, ROWS = 16, 5  # a pair of similarity 0.8 shares no band with chance 0.002
 GROUP = 1024  # texts compared with each other in one cell of a larger group
+CELL_BYTES = 4 << 20  # shingle hashes of a block of such texts
+SPARE = 2  # shingles that 32-bit hashes may fall short by
 ANCHORS = 128  # texts of a larger group that every cell of it holds
 _FACTORS = mixed(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
@@ -37,7 +42,7 @@ def text_key(text: Column) -> Column:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``key, fingerprint, bands, values`` of each text (``key, text``) that has a word; values are 16 bits of each MinHash."""
+    """``key, size, fingerprint, bands, values`` of each text (``key, text``) that has a word; values are 16 bits of each MinHash."""
 
     def run(batches):
         for part in slices(batches):
@@ -53,14 +58,28 @@ def sketches(texts: DataFrame) -> DataFrame:
                 for r in range(ROWS):
                     bands[b] = mixed(bands[b] * np.uint64(31) + values[b * ROWS + r])
                 bands[b] ^= np.uint64(b)
-            prints = np.array([majority(np.unique(hashes[cuts[i] : cuts[i + 1]])) for i in rows], np.uint64)
+            different = [np.unique(hashes[cuts[i] : cuts[i + 1]]) for i in rows]
+            prints = np.array([majority(x) for x in different], np.uint64)
+            sizes = pa.array([len(x) for x in different], pa.int32())
             listed = pa.array(list(np.ascontiguousarray(bands.T).view(np.int64)), pa.list_(pa.int64()))
             own = part["key"].take(pa.array(rows))
             kept = [v.tobytes() for v in np.ascontiguousarray(mixed(values).T).astype("<u2")]
-            columns = [own, pa.array(prints.view(np.int64)), listed, pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "fingerprint", "bands", "values"])
+            columns = [own, sizes, pa.array(prints.view(np.int64)), listed, pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "size", "fingerprint", "bands", "values"])
 
-    return texts.mapInArrow(run, "key binary, fingerprint long, bands array<long>, values binary")
+    return texts.mapInArrow(run, "key binary, size int, fingerprint long, bands array<long>, values binary")
+
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """``key, shingles``: sorted upper halves of each text's different shingle hashes, four bytes each."""
+
+    def run(batches):
+        for part in slices(batches):
+            hashes, cuts = text_shingles(part["text"])
+            sets = [(np.unique(hashes[a:b]) >> np.uint64(32)).astype("<u4") for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([part["key"], pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "shingles"])
+
+    return texts.mapInArrow(run, "key binary, shingles binary")
 
 
 def holding(prints: np.ndarray, values: np.ndarray, radius: int = RADIUS, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -137,17 +156,18 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
 
 
 def undecided(sketched: DataFrame, groups: DataFrame) -> DataFrame:
-    """``band, key, component, n, most``: groups of texts that share a band and lie in several components.
+    """``at, band, key, component, n, bytes, most``: groups of texts that share a band and lie in several components.
 
     ``groups`` are the components so far (``node, component``); a text in none is its own.
-    ``n`` texts are in the group, ``most.n`` of them in the component ``most.component``.
+    ``n`` texts are in the group, ``most.n`` of them in the component ``most.component``;
+    their shingle hashes take ``bytes``.
     """
     own = F.coalesce("component", "key").alias("component")
-    named = sketched.join(groups, sketched["key"] == groups["node"], "left").select("key", own, "bands")
-    listed = named.select("key", "component", F.explode("bands").alias("band"))
-    counts = listed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("band").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most")).filter("n > most.n")
-    return listed.join(sizes, "band")
+    named = sketched.join(groups, sketched["key"] == groups["node"], "left").select("key", own, "size", "bands")
+    listed = named.select("key", "component", "size", F.posexplode("bands").alias("at", "band"))
+    counts = listed.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum(F.col("size") * 4).alias("bytes"))
+    sizes = counts.groupBy("band").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.max(F.struct("n", "component")).alias("most"))
+    return listed.drop("size").join(sizes.filter("n > most.n"), "band")
 
 
 def hub_links(apart: DataFrame, groups: DataFrame, good: DataFrame) -> DataFrame:
@@ -159,45 +179,58 @@ def hub_links(apart: DataFrame, groups: DataFrame, good: DataFrame) -> DataFrame
     return asking.join(hubs, "home").select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()
 
 
-def open_links(apart: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
-    """``a, b``: all candidate pairs of the ``undecided`` groups that lie in different components.
+def open_links(apart: DataFrame, sketched: DataFrame, sets: DataFrame, similarity: float = SIMILARITY, group: int = GROUP) -> DataFrame:
+    """``a, b``: pairs of the ``undecided`` groups that lie in different components and are near copies by their hashes.
 
     Texts outside a group's largest component meet all its texts: every block of the former
     is compared with every block of the latter in a cell of its own, so no pair is left out.
-    Only MinHash values count here: few shingles may differ in more bits than any radius.
+    Only MinHash values and ``shingle_sets`` count here: few shingles may differ in more
+    bits than any radius.  A pair is compared under the first band that both texts have.
     """
-    blocks = F.ceil(F.col("n") / group).cast("int")
-    sides = F.ceil((F.col("n") - F.col("most.n")) / group).cast("int")
+    blocks = F.ceil(F.greatest(F.col("n") / group, F.col("bytes") / CELL_BYTES)).cast("int")
+    sides = F.ceil(blocks * (F.col("n") - F.col("most.n")) / F.col("n")).cast("int")
     rest = F.col("component") != F.col("most.component")
     asked = F.transform(F.sequence(F.lit(0), sides - 1), lambda i: F.struct(i.alias("side"), F.pmod(F.xxhash64("key"), blocks).cast("int").alias("block"), F.lit(False).alias("asks")))
     asking = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(F.pmod(F.xxhash64("key"), sides).cast("int").alias("side"), i.alias("block"), F.lit(True).alias("asks")))
     cell = F.explode(F.when(rest, F.concat(asked, asking)).otherwise(asked)).alias("cell")
-    dealt = apart.select("band", "key", "component", rest.alias("rest"), cell).select("band", "cell.*", "key", "component", "rest")
-    dealt = dealt.join(sketched.select("key", "values"), "key")
+    dealt = apart.select("at", "band", "key", "component", rest.alias("rest"), cell).select("at", "band", "cell.*", "key", "component", "rest")
+    dealt = dealt.join(sketched.select("key", "size", "bands", "values").join(sets, "key"), "key")
+    told = ["at", "key", "component", "rest", "asks", "size", "bands", "values", "shingles"]
 
     def compare(batches):
         mark, rows = None, []
 
         def flush():
             number = {}
-            keys = [r[0] for r in rows]
-            part = np.array([number.setdefault(r[1], len(number)) for r in rows])
-            beyond, asks = np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
-            values = np.frombuffer(b"".join(r[4] for r in rows), "<u2").reshape(len(rows), -1)
+            at, keys = rows[0][0], [r[1] for r in rows]
+            part = np.array([number.setdefault(r[2], len(number)) for r in rows])
+            beyond, asks = np.array([r[3] for r in rows]), np.array([r[4] for r in rows])
+            sizes, bands = np.array([r[5] for r in rows]), np.array([r[6] for r in rows])
+            values = np.frombuffer(b"".join(r[7] for r in rows), "<u2").reshape(len(rows), -1)
+            held = [np.frombuffer(r[8], "<u4") for r in rows]
             place = {k: i for i, k in enumerate(sorted(set(keys)))}
             order = np.array([place[k] for k in keys])
             other, some = np.flatnonzero(~asks), np.flatnonzero(asks)
+            found = []
             for first in range(0, len(some), 16):
                 x = some[first : first + 16]
                 # two texts of the rest ask each other: once is enough
                 fit = (part[x][:, None] != part[other]) & (~beyond[other] | (order[x][:, None] > order[other]))
-                i, j = np.nonzero(fit)
-                keep = (values[x[i]] == values[other[j]]).sum(axis=1) >= (similarity - SLACK) * values.shape[1]
-                ends = [pa.array([keys[k] for k in at], pa.binary()) for at in (x[i[keep]], other[j[keep]])]
-                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+                less, more = np.minimum(sizes[x][:, None], sizes[other]), np.maximum(sizes[x][:, None], sizes[other])
+                i, j = np.nonzero(fit & (less >= similarity * more))
+                i, j = x[i], other[j]
+                keep = (values[i] == values[j]).sum(axis=1) >= (similarity - SLACK) * values.shape[1]
+                i, j = i[keep], j[keep]
+                keep = ~(bands[i, :at] == bands[j, :at]).any(axis=1)
+                for a, b in zip(i[keep].tolist(), j[keep].tolist()):
+                    same = len(np.intersect1d(held[a], held[b])) + SPARE
+                    if same >= similarity * (sizes[a] + sizes[b] - same):
+                        found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in end], pa.binary()) for end in zip(*found)], ["a", "b"])
 
         for batch in batches:
-            for band, side, block, *row in zip(*(batch[c].to_pylist() for c in ("band", "side", "block", "key", "component", "rest", "asks", "values"))):
+            for band, side, block, *row in zip(*(batch[c].to_pylist() for c in ("band", "side", "block", *told))):
                 if (band, side, block) != mark:
                     if rows:
                         yield from flush()
@@ -257,7 +290,10 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
         good, tried = good.unionByName(proven(hubs)), candidates.unionByName(hubs)
         groups = stored(components(good), "components")
         apart = stored(undecided(sketched, groups), "undecided")
-        left = stored(open_links(apart, sketched, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
+        wanted = apart.select("key").distinct()
+        texts = keyed.join(wanted, keyed["__key"] == wanted["key"], "left_semi").select(F.col("__key").alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
+        sets = stored(shingle_sets(texts).dropDuplicates(["key"]), "shingles")
+        left = stored(open_links(apart, sketched, sets, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
         groups = components(good.unionByName(proven(left)))
     named = slim.join(groups, slim["key"] == groups["node"], "left").withColumn("component", F.coalesce("component", "key"))
     best = F.min_by(F.struct("key", "id", "n"), F.struct(F.col("id").isNull(), "id", "key"))
