@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reconkit.llm.common import id_and_text, slices, stored
+from reconkit.llm.common import id_and_text, slices, stored, tidy
 from reconkit.llm.tokens import TEXT_BYTES, encoder
 from reconkit.session import local_rows
 
@@ -31,28 +31,42 @@ _BLOCK = (
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, ids`` (unsigned 16 bits, little-endian), ``end_id`` after each document; null text is empty."""
+    return counted_token_ids(docs, tokenizer, end_id, id_col, text_col).filter("counts is null").drop("counts")
+
+
+def counted_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
+    """``token_ids`` with a column ``counts``: null but for one row a task, which has no ids but counts those of the task's others."""
 
     def run(batches):
-        own = encoder(tokenizer, True)
-        end = np.array([end_id], "<u2").tobytes()
+        own, total = encoder(tokenizer, True), np.zeros(1 << 16, np.int64)
+        end = np.array([end_id], "<u2")
+        names = ["doc_id", "ids", "counts"]
         for part in slices(batches, limit=TEXT_BYTES):
-            ids = [x.tobytes() + end for x in own.encode(part["text"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            found = own.encode(part["text"].to_pylist())
+            for ids in found:
+                total += np.bincount(ids, minlength=1 << 16) if len(ids) > 1 << 14 else 0
+            short = [ids for ids in found if len(ids) <= 1 << 14]
+            total += np.bincount(np.concatenate([*short, np.repeat(end, len(found))]), minlength=1 << 16)
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([x.tobytes() + end.tobytes() for x in found], pa.binary()), pa.nulls(len(found), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids binary, counts binary")
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
-    """How often each id occurs: one row per id and task before the shuffle."""
+    """How often each id occurs, from the ``counts`` rows of ``counted_token_ids`` or else the ids themselves."""
+    given = "counts" in tokens.columns
 
     def run(batches):
         total = np.zeros(1 << 16, np.int64)
-        for part in slices(batches, "ids"):
-            total += np.bincount(np.frombuffer(b"".join(part["ids"].to_pylist()), "<u2"), minlength=1 << 16)
+        for part in slices(batches, "told"):
+            held = part["told"].to_pylist()
+            total += sum(np.frombuffer(x, "<i8") for x in held) if given else np.bincount(np.frombuffer(b"".join(held), "<u2"), minlength=1 << 16)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    told = F.col("counts" if given else "ids").alias("told")
+    return tokens.select(told).filter("told is not null").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -146,7 +160,9 @@ def place(doc_id: int | None, tie: int) -> tuple[bool, int, int]:
 def write_token_file(tokens: DataFrame, path: str) -> None:
     """Write ``doc_id, ids`` to the folder ``path`` in ascending order of doc_id, nulls first, equal ids by content.
 
-    ``tokens`` is read three times, so it should be stored, with ``tie = xxhash64(ids)`` for the order of equal ids.  No ids at all make empty tables.
+    ``tokens`` is read several times, so it should be stored, with ``tie = xxhash64(ids)`` for the
+    order of equal ids and the ``counts`` of ``counted_token_ids``; what is missing is made.
+    No ids at all make empty tables.
     """
     spark = tokens.sparkSession
     counts = np.zeros(1 << 16, np.int64)
@@ -161,6 +177,7 @@ def write_token_file(tokens: DataFrame, path: str) -> None:
     # codes would make them twice, once for its sample
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.asc_nulls_first("doc_id"), F.col("tie").asc()]
+    tokens = tokens.filter("ids is not null")
     keyed = tokens if "tie" in tokens.columns else tokens.withColumn("tie", F.xxhash64("ids"))
     spread = keyed.select("doc_id", "tie").repartitionByRange(4 * parts, *order).withColumn("p", F.spark_partition_id())
     # one row per stretch
@@ -245,6 +262,6 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
 
 def token_round_trip(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col="doc_id", text_col="text") -> DataFrame:
     """Encode all texts, write the token file and read it back."""
-    tokens = stored(token_ids(docs, tokenizer, end_id, id_col, text_col).withColumn("tie", F.xxhash64("ids")), "token-ids")
+    tokens = stored(counted_token_ids(docs, tokenizer, end_id, id_col, text_col).withColumn("tie", F.xxhash64("ids")), "token-ids")
     write_token_file(tokens, path)
     return read_token_file(docs.sparkSession, path)

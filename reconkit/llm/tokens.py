@@ -14,7 +14,10 @@ from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+SEEN_PIECES = 1_000_000  # kept as Arrow strings, some 40 bytes each
 CACHE_PIECES = 350_000  # of the newer table; as many older entries are kept beside it
 TEXT_BYTES = 4 << 20  # of texts encoded at once: the more, the fewer pieces are looked up twice
 _BLANK_GAPS = tuple(a + " " for a in " \t\n\r\x0b\x0c")
@@ -52,6 +55,38 @@ class Table(dict):
         return ids
 
 
+class Seen:
+    """Pieces met before as one Arrow array, with their ids end to end; at most ``SEEN_PIECES``, the newer half stays."""
+
+    def __init__(self) -> None:
+        self.pieces, self.bounds, self.ids = pa.array([], pa.large_string()), np.zeros(1, np.int64), np.zeros(0, "<u2")
+
+    def look_up(self, wanted: pa.Array, make: Callable[[list[str]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``ids`` each of the (different) pieces starts and how many ids it has; new ones are made."""
+        at = pc.fill_null(pc.index_in(wanted, value_set=self.pieces), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = wanted.take(pa.array(new))
+            made = make(fresh.to_pylist())
+            keep = len(self.pieces)
+            if keep + len(new) > SEEN_PIECES:
+                # what this call needs is made again if it is among the older half
+                drop = min(keep, max(keep // 2, keep + len(new) - SEEN_PIECES))
+                lost = np.flatnonzero((at >= 0) & (at < drop))
+                if len(lost):
+                    again = wanted.take(pa.array(lost))
+                    fresh, made = pa.concat_arrays([again, fresh]), make(again.to_pylist()) + made
+                    new = np.concatenate([lost, new])
+                self.pieces, self.ids, self.bounds = self.pieces.slice(drop), self.ids[self.bounds[drop] :], self.bounds[drop:] - self.bounds[drop]
+                at -= drop
+            sizes = np.fromiter(map(len, made), np.int64, len(made)) // 2
+            at[new] = len(self.pieces) + np.arange(len(new))
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(made), "<u2")])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+        return self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+
+
 class PieceEncoder:
     """Ids of whole texts as the library gives them without added special tokens.
 
@@ -64,6 +99,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        if self.library.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path} has {self.library.get_vocab_size()} ids; 16 bits hold 65536")
         self.model = self.library.model
         self.spaces = spaces
         self.lead = " " if spaces else ""
@@ -74,41 +111,45 @@ class PieceEncoder:
         return [np.array(e.ids, "<u2").tobytes() for e in found]
 
     def _model(self, letters: str, lead: str) -> bytes | None:
-        """Ids of ``lead`` and letters up to U+00FF (one pre-token, no change in normal form); None for other texts."""
-        if not letters.isalpha():
-            return None
+        """Ids of ``lead`` and letters up to U+00FF (one pre-token, no change in normal form); None for other letters."""
         if not letters.isascii():
             if max(letters) > "ÿ":
                 return None
             letters = letters.encode().decode("latin-1").translate(_LETTERS)
         return array("H", [t.id for t in self.model.tokenize(_LETTERS[32] + letters if lead else letters)]).tobytes()
 
-    def _plain(self, piece: str, known: Table) -> bytes | None:
-        """Ids of letters and closing marks; None for any other piece."""
+    def _plain(self, piece: str, known: Table, lead: str) -> bytes | None:
+        """Ids of letters and closing marks; None for any other piece.  ``known`` holds pieces after ``lead``."""
         body = piece.rstrip(_MARKS)
-        ids = known[body if self.spaces else body.lower()]
+        if not body.isalpha():
+            return None
+        letters = body if self.spaces else body.lower()
+        ids = self._model(letters, lead) if letters == piece else known[letters] if letters.isascii() or max(letters) <= "ÿ" else None
         if ids is None or len(body) == len(piece):
             return ids
         return ids + self.tails[piece[len(body) :]]
 
-    def _learn(self, piece: str) -> bytes:
-        ids = self._plain(piece, self.letters)
+    def _parts(self, piece: str) -> bytes | None:
+        """Ids of words with marks and line feeds between them; None for anything else."""
+        ids = self._plain(piece, self.kept, self.lead)
         if ids is not None:
             return ids
         head, line, rest = piece.partition("\n")
-        if line and (first := self._plain(head, self.letters)) is not None and (second := self._plain(rest, self.bare)) is not None:
+        if line and (first := self._plain(head, self.kept, self.lead)) is not None and (second := self._plain(rest, self.bare, "")) is not None:
             return first + self.tails["\n"] + second  # a line feed between words is a pre-token
-        return self._whole([self.lead + piece])[0]
+        return None
+
+    def _learn(self, piece: str) -> bytes:
+        ids = self._parts(piece)
+        return self._whole([self.lead + piece])[0] if ids is None else ids
 
     def _first(self, piece: str) -> bytes:
-        """Ids of the first piece of a text, which has no space before it."""
-        ids = self._plain(piece, self.bare)
+        """Ids of a piece that has no space before it, like the first of a text."""
+        ids = self._plain(piece, self.bare, "")
         return self._whole([piece])[0] if ids is None else ids
 
     def _pieces(self, text: str) -> list[str]:
-        if self.spaces:
-            gap = any(g in text for g in _BLANK_GAPS) if text.isascii() else _ANY_GAP.search(text)
-            return _CUT.split(text) if gap else text.split(" ")
+        """Words of a text, where blanks are dropped."""
         return [p for p in _SPLIT.split(text) if p] if _CONTROL.search(text) else text.split()
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
@@ -116,22 +157,63 @@ class PieceEncoder:
         collecting = gc.isenabled()
         gc.disable()  # millions of small objects and no cycles
         try:
-            cut = [self._pieces(t) for t in texts]
-            firsts = [b""] * len(cut)
-            if self.spaces:  # the first piece has no space before it
-                firsts = [self._first(c[0]) for c in cut]
-                cut = [c[1:] for c in cut]
-            get = self.kept.__getitem__
-            return [np.frombuffer(f + b"".join(map(get, c)), "<u2") for f, c in zip(firsts, cut)]
+            if not self.spaces:
+                get = self.kept.__getitem__
+                return [np.frombuffer(b"".join(map(get, self._pieces(t))), "<u2") for t in texts]
+            return self._encode_cut(texts)
         finally:
             if collecting:
                 gc.enable()
 
+    def _fresh(self, pieces: list[str]) -> list[bytes]:
+        """Ids of new pieces, each after a space; what only the whole library can tell is asked of it at once."""
+        tokenize, space, out, asked = self.model.tokenize, _LETTERS[32], [], []
+        for p in pieces:
+            if p.isascii() and p.isalpha():
+                out.append(array("H", [t.id for t in tokenize(space + p)]).tobytes())
+                continue
+            ids = self._parts(p)
+            if ids is None:
+                asked.append(len(out))
+            out.append(ids)
+        for i, ids in zip(asked, self._whole([self.lead + pieces[i] for i in asked])):
+            out[i] = ids
+        return out
+
+    def _encode_cut(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Cut at single spaces and look up each different piece of all texts once, in Arrow; gather ids in numpy."""
+        gap = [any(g in t for g in _BLANK_GAPS) if t.isascii() else _ANY_GAP.search(t) for t in texts]
+        if any(gap):
+            lists = pa.array([_CUT.split(t) if g else t.split(" ") for t, g in zip(texts, gap)], pa.large_list(pa.large_string()))
+        else:
+            lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        offsets = lists.offsets.to_numpy()
+        coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        at, offsets = coded.indices.to_numpy().copy(), offsets - offsets[0]
+        different = coded.dictionary
+        # the first piece of a text has no space before it, so it is looked up apart
+        firsts = [self.bare[p] for p in different.take(pa.array(at[offsets[:-1]])).to_pylist()]
+        at[offsets[:-1]] = len(different) + np.arange(len(firsts))
+        used = np.zeros(len(different) + len(firsts), bool)
+        used[at] = True
+        wanted = np.flatnonzero(used[: len(different)])
+        start, size = self.seen.look_up(different.take(pa.array(wanted)), self._fresh)
+        starts, sizes = np.zeros(len(used), np.int64), np.zeros(len(used), np.int64)
+        starts[wanted], sizes[wanted] = start, size
+        sizes[len(different) :] = np.fromiter(map(len, firsts), np.int64, len(firsts)) // 2
+        starts[len(different) :] = len(self.seen.ids) + np.cumsum(sizes[len(different) :]) - sizes[len(different) :]
+        flat = np.concatenate([self.seen.ids, np.frombuffer(b"".join(firsts), "<u2")])
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[offsets]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
     def forget(self) -> None:
         """Free the tables when a task ends; workers outlive their tasks."""
         self.kept = Table(self._learn)
-        self.letters = Table(lambda letters: self._model(letters, self.lead))
-        self.bare = Table(lambda letters: self._model(letters, "")) if self.spaces else self.letters
+        self.bare = Table(self._first) if self.spaces else self.kept
+        self.seen = Seen()
         self.tails = Table(lambda marks: self._whole([marks])[0])
 
 

@@ -34,11 +34,12 @@ def test_ids_and_counts_equal_the_library(texts):
 
 def test_table_of_pieces_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 20)
+    monkeypatch.setattr(tokens, "SEEN_PIECES", 20)
     own = tokens.PieceEncoder(BYTES, True)
     for i in range(10):
-        text = " ".join(f"w{i}x{j}" for j in range(15))
+        text = " ".join(["again", "w0x1", *(f"w{i}x{j}." for j in range(15)), "and", f"w{i - 1}x14.", "again"])
         assert own.encode([text])[0].tolist() == library_ids(BYTES, text)
-        assert len(own.kept) <= 35 and len(own.letters) <= 35
+        assert len(own.kept) <= 35 and len(own.bare) <= 35 and len(own.seen.pieces) <= 35
 
 
 def test_token_counts_of_awkward_texts(spark, awkward, nothing, rows_of):
