@@ -128,15 +128,16 @@ def cumulative(
 def range_buckets(
     df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows stored in ``_bucket`` ranges of (partition_by, order_by).
+    """Rows stored in ``_bucket`` ranges of (partition_by, order_by), in that order, with their place ``_at``.
 
     ``order_by`` should end in a unique column.  The stored copy pins the bucket
-    numbers: a second evaluation could sample other range limits.
+    numbers: a second evaluation could sample other range limits.  ``_at`` grows
+    along the whole order and by one from row to row inside a bucket.
     """
     spark = df.sparkSession
     keys = [F.col(c).asc_nulls_last() for c in [*partition_by, *order_by]]
-    ranged = df.repartitionByRange(parallelism(spark, MAX_ROW_BUCKETS), *keys)
-    return checkpointed(ranged.withColumn("_bucket", F.spark_partition_id()))
+    ranged = df.repartitionByRange(parallelism(spark, MAX_ROW_BUCKETS), *keys).sortWithinPartitions(*keys)
+    return checkpointed(ranged.withColumns({"_bucket": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
 
 
 def carry(
@@ -174,23 +175,57 @@ def carry(
     )
 
 
-def bucket_window(order_by: Sequence[str], partition_by: Sequence[str] = ()):
+def bucket_window(partition_by: Sequence[str] = ()):
     """Window over one bucket's share of a group, in row order."""
-    return W.partitionBy("_bucket", *partition_by).orderBy(
-        *[F.col(c).asc_nulls_last() for c in order_by]
-    )
+    return W.partitionBy("_bucket", *partition_by).orderBy("_at")
 
 
 def with_position(
     df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "pos", keep_bucket: bool = False
 ) -> DataFrame:
-    """1-based row position inside each group, like ``row_number`` but distributed."""
-    out = carry(
-        range_buckets(df, order_by, partition_by),
-        partition_by,
-        {"_n": F.count(F.lit(1))},
-        {"_skip": F.sum("_n")},
-    )
-    local = F.row_number().over(bucket_window(order_by, partition_by))
-    placed = out.withColumn(name, (local + F.coalesce("_skip", F.lit(0))).cast("bigint")).drop("_skip")
-    return placed if keep_bucket else placed.drop("_bucket")
+    """1-based row position inside each group, like ``row_number`` but distributed.
+
+    Without groups a row's place in its bucket and the sizes of the buckets before it
+    say where it is, so the stored rows are not shuffled again.
+    """
+    rows = range_buckets(df, order_by, partition_by)
+    if partition_by:
+        out = carry(rows, partition_by, {"_n": F.count(F.lit(1))}, {"_skip": F.sum("_n")})
+        local = F.row_number().over(bucket_window(partition_by))
+        placed = out.withColumn(name, (local + F.coalesce("_skip", F.lit(0))).cast("bigint")).drop("_skip")
+    else:
+        sizes = rows.groupBy(F.col("_bucket").alias("_b")).agg(F.min("_at").alias("_low"), F.count(F.lit(1)).alias("_n"))
+        earlier = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # one row a bucket
+        skips = sizes.select("_b", "_low", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"))
+        met = rows.join(F.broadcast(skips), F.col("_bucket") == F.col("_b"))
+        placed = met.withColumn(name, F.col("_at") - F.col("_low") + F.col("_skip") + 1).drop("_b", "_low", "_skip")
+    return placed if keep_bucket else placed.drop("_bucket", "_at")
+
+
+def with_halo(rows: DataFrame, size: int, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``range_buckets`` rows, each bucket's preceded by the ``size - 1`` rows before it in its group, one partition a bucket.
+
+    Only these few rows are copied to another bucket (``_halo`` marks the copies); a window
+    partitioned by bucket and group needs no further shuffle.
+    """
+    groups = list(partition_by)
+    per = rows.groupBy("_bucket", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    in_group = W.partitionBy(*groups)
+    upto = F.sum("_n").over(in_group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0))
+    runs = per.select("*", upto.alias("_end"), F.lead("_bucket").over(in_group.orderBy("_bucket")).alias("_to"))
+    # the next bucket needs the rows of all buckets that end less than ``size - 1`` rows before it begins
+    near = in_group.orderBy("_end").rangeBetween(-max(size - 2, 0), 0)
+    sources = F.collect_list(F.struct("_bucket", "_first", "_n", "_end")).over(near)
+    asked = runs.withColumn("_sources", sources).filter("_to is not null")
+    asked = asked.select("_to", F.col("_end").alias("_begin"), *[F.col(g).alias(f"w_{g}") for g in groups], F.explode("_sources").alias("s"))
+    skipped = F.col("s._n") - (size - 1) + (F.col("_begin") - F.col("s._end"))
+    wanted = asked.select(F.col("s._bucket").alias("_of"), "_to", (F.col("s._first") + F.greatest(skipped, F.lit(0))).alias("_least"), *[f"w_{g}" for g in groups])
+    # at most one group crosses each limit, so there are few more rows than buckets
+    own = (F.col("_bucket") == F.col("_of")) & (F.col("_at") >= F.col("_least")) & _same_all(groups, "w_")
+    halo = rows.join(F.broadcast(wanted), own).withColumn("_bucket", F.col("_to")).select(rows.columns)
+    both = rows.withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)))
+    return both.repartitionById(parallelism(rows.sparkSession, MAX_ROW_BUCKETS), "_bucket")
+
+
+def _same_all(groups: Sequence[str], prefix: str) -> Column:
+    return _same(groups, prefix) if groups else F.lit(True)

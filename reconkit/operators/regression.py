@@ -1,4 +1,4 @@
-"""Linear and logistic regression on Spark ML, with the usual fit statistics."""
+"""Linear regression on Spark ML and logistic regression by Newton steps, with the usual fit statistics."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import RFormula, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import RFormula
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -16,6 +16,10 @@ from reconkit.functions import pvalues
 from reconkit.operators.hypothesis import auc, classification_report, confusion_matrix
 from reconkit.session import local_rows
 
+MAX_STEPS = 60
+FLAT = 1e-8  # curvature, against that at the start, below which there is no top
+CLOSE_ENOUGH = 1e-12  # expected gain of a Newton step, against the likelihood
+
 
 @dataclass
 class LinearFit:
@@ -76,31 +80,96 @@ class LogisticFit:
     auc: DataFrame
     confusion: DataFrame
     report: DataFrame
+    steps: int  # Newton steps
+    converged: bool
+
+
+def _logistic_sums(data: DataFrame, features: Sequence[str], beta: np.ndarray) -> np.ndarray:
+    """Log likelihood, gradient and the lower half of the Gram matrix at ``beta``, summed over all rows.
+
+    A task adds up its rows and sends one list as long as the square of the features.
+    """
+    k = len(features) + 1
+    low = np.tril_indices(k)
+
+    def run(batches):
+        total = np.zeros(1 + k + len(low[0]))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([np.ones(batch.num_rows), *(batch[f"x{i}"].to_numpy() for i in range(k - 1))])
+            y, z = batch["_y"].to_numpy(), x @ beta
+            p = np.exp(-np.logaddexp(0, -z))
+            total[0] += (y * z - np.logaddexp(0, z)).sum()
+            total[1 : 1 + k] += x.T @ (y - p)
+            total[1 + k :] += ((x * (p * (1 - p))[:, None]).T @ x)[low]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["i", "v"])
+
+    parts = data.mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
+    out = np.zeros(1 + k + len(low[0]))
+    for i, v in parts.collect():
+        out[i] = v
+    return out
+
+
+def _logistic_newton(data: DataFrame, features: Sequence[str], penalty: float) -> tuple[np.ndarray, int, bool]:
+    """Coefficients (intercept first), Newton steps taken, and whether they converged.
+
+    Each step is one aggregate over the rows and one small system on the driver, whose size
+    the features bound.  A step that lowers the likelihood is halved.
+    """
+    k = len(features) + 1
+    low, weight = np.tril_indices(k), np.r_[0.0, np.full(k - 1, penalty)]
+    beta, step, best, first = np.zeros(k), np.zeros(k), -math.inf, 0.0
+    for n in range(MAX_STEPS):
+        sums = _logistic_sums(data, features, beta)
+        value = sums[0] - (weight * beta * beta).sum() / 2
+        if value < best - 1e-9 * abs(best):
+            step /= 2
+            beta = beta - step
+            continue
+        gram = np.zeros((k, k))
+        gram[low] = sums[1 + k :]
+        gram = gram + np.tril(gram, -1).T
+        curved, gram = np.trace(gram), gram + np.diag(weight)
+        first = first or curved
+        slope = sums[1 : 1 + k] - weight * beta
+        step, best = np.linalg.lstsq(gram, slope, rcond=None)[0], value
+        beta = beta + step
+        if slope @ step < CLOSE_ENOUGH * (1 + abs(value)):
+            # separated classes without a penalty: the likelihood has no top, it only flattens
+            return beta, n + 1, bool(penalty or curved > FLAT * first)
+    return beta, MAX_STEPS, False
 
 
 def proc_logistic(df: DataFrame, target: str, features: Sequence[str], c: float = 1.0) -> LogisticFit:
-    """Logistic regression with an L2 penalty of strength 1/c, intercept not penalised."""
-    data = df.dropna(subset=[target, *features]).withColumn("_y", F.col(target).cast("double"))
-    design = VectorAssembler(inputCols=list(features), outputCol="_x").transform(data)
-    n = design.count()
-    if n == 0:
+    """Logistic regression with an L2 penalty of strength 1/c (none for an infinite c), intercept not penalised.
+
+    Rows with a null or NaN in the target or a feature take no part; the target is 0 or 1.
+    ``converged`` is false if no finite best fit was found, as for separated classes without a penalty.
+    """
+    features = list(features)
+    rows = df.dropna(subset=[target, *features])
+    data = rows.select(F.col(target).cast("double").alias("_y"), *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    kinds = data.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_y").isin(0.0, 1.0)).alias("odd")).first()
+    if not kinds["n"]:
         raise ValueError("no complete rows")
-    model = LogisticRegression(
-        featuresCol="_x", labelCol="_y", regParam=1.0 / (n * c), elasticNetParam=0.0,
-        standardization=False, maxIter=500, tol=1e-12,
-    ).fit(design)
-    scored = (
-        model.transform(design)
-        .withColumn("probability", vector_to_array("probability")[1])
-        .withColumn("prediction", F.col("prediction").cast("int"))
-        .drop("_x", "rawPrediction")
-    )
-    actual = scored.withColumn("_y", F.col("_y").cast("int"))
-    rows = [("Intercept", float(model.intercept))] + [(f, float(b)) for f, b in zip(features, model.coefficients)]
+    if kinds["odd"]:
+        raise ValueError(f"{target} must be 0 or 1")
+    beta, steps, converged = _logistic_newton(data, features, 0.0 if math.isinf(c) else 1.0 / c)
+    score = F.lit(float(beta[0]))
+    for f, b in zip(features, beta[1:]):
+        score = score + F.lit(float(b)) * F.col(f).cast("double")
+    scored = rows.withColumn("probability", 1 / (1 + F.exp(-score)))
+    scored = scored.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+    actual = scored.withColumn("_y", F.col(target).cast("int"))
+    terms = [("Intercept", float(beta[0]))] + [(f, float(b)) for f, b in zip(features, beta[1:])]
     return LogisticFit(
-        local_rows(df.sparkSession, rows, "term string, estimate double"),
-        scored.drop("_y"),
+        local_rows(df.sparkSession, terms, "term string, estimate double"),
+        scored,
         auc(actual, "_y", "probability"),
         confusion_matrix(actual, "_y", "prediction").withColumnRenamed("_y", "actual"),
         classification_report(actual, "_y", "prediction"),
+        steps,
+        converged,
     )

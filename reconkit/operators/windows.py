@@ -6,11 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from reconkit.operators.cumulative import bucket_window, carry, cumulative, range_buckets, with_position
+from reconkit.operators.cumulative import bucket_window, carry, cumulative, range_buckets, with_halo, with_position
 from reconkit.operators.quantiles import exact_quantiles
 
-CHUNK_ROWS = 100_000
-
 
 def pct_of_group(df: DataFrame, by: Sequence[str], value: str, name: str = "share") -> DataFrame:
     """value / group sum.  Sums are pre-aggregated and joined back."""
@@ -20,32 +18,19 @@ def pct_of_group(df: DataFrame, by: Sequence[str], value: str, name: str = "shar
 
 
 def rolling_mean(
-    df: DataFrame,
-    value: str,
-    size: int,
-    order_by: Sequence[str],
-    partition_by: Sequence[str] = (),
-    name: str = "rolling",
-    chunk: int = CHUNK_ROWS,
+    df: DataFrame, value: str, size: int, order_by: Sequence[str], partition_by: Sequence[str] = (), name: str = "rolling"
 ) -> DataFrame:
     """Mean of the last ``size`` rows, null until ``size`` values are there.
 
-    Rows are framed in chunks of ``chunk`` positions, at least a window long; each also receives
-    the ``size - 1`` rows before it, so no frame crosses a chunk.
+    Rows stay in the range that holds them; only the last ``size - 1`` rows before a range
+    limit are copied across it.
     """
     if size < 1:
         raise ValueError("window size must be positive")
-    chunk = max(chunk, size)
-    placed = with_position(df, order_by, partition_by, "_pos")
-    at = F.col("_pos") - 1
-    home = F.floor(at / chunk)
-    tail = at % chunk >= chunk - (size - 1)
-    copies = placed.withColumn("_home", home).withColumn(
-        "_chunk", F.explode(F.when(tail, F.array(home, home + 1)).otherwise(F.array(home)))
-    )
-    w = W.partitionBy(*partition_by, "_chunk").orderBy("_pos").rowsBetween(1 - size, 0)
+    rows = with_halo(range_buckets(df, order_by, partition_by), size, partition_by)
+    w = bucket_window(partition_by).rowsBetween(1 - size, 0)
     mean = F.when(F.count(value).over(w) == size, F.avg(value).over(w))
-    return copies.withColumn(name, mean).filter("_chunk = _home").drop("_home", "_chunk", "_pos")
+    return rows.withColumn(name, mean).filter("not _halo").drop("_halo", "_bucket", "_at")
 
 
 def expanding_sum(
@@ -53,13 +38,13 @@ def expanding_sum(
 ) -> DataFrame:
     """Running sum in row order."""
     rows = carry(range_buckets(df, order_by, partition_by), partition_by, {"_s": F.sum(value)}, {"_earlier": F.sum("_s")})
-    upto = bucket_window(order_by, partition_by).rowsBetween(W.unboundedPreceding, 0)
+    upto = bucket_window(partition_by).rowsBetween(W.unboundedPreceding, 0)
     inside = F.sum(value).over(upto)
     total = F.when(
         inside.isNotNull() | F.col("_earlier").isNotNull(),
         F.coalesce(inside, F.lit(0)) + F.coalesce("_earlier", F.lit(0)),
     )
-    return rows.withColumn(name, total).drop("_earlier", "_bucket")
+    return rows.withColumn(name, total).drop("_earlier", "_bucket", "_at")
 
 
 def rank_min(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
@@ -104,7 +89,7 @@ def interpolate_linear(
         .otherwise(between)
     )
     return rows.withColumn(name, filled).drop(
-        "_pos", "_known", "_before", "_after", "_left", "_right", "_bucket"
+        "_pos", "_known", "_before", "_after", "_left", "_right", "_bucket", "_at"
     )
 
 

@@ -366,8 +366,30 @@ def proc_logistic_gradient(t: Tables):
     return slopes.join(fit.coefficients, "term").select("term", slope.alias("slope"))
 
 
-# An iterative fit has no SQL form of its own; the query above checks that its gradient vanishes.
-@query("proc_logistic")
+QUALITY_ROWS = """SELECT quality::DOUBLE AS y, n_chars / 1000 AS x1, len(string_split(text, ' ')) / 1000 AS x2
+  FROM labels JOIN documents USING (doc_id) WHERE quality IS NOT NULL AND n_chars IS NOT NULL AND text IS NOT NULL"""
+
+
+def _newton_sql(rows: str, steps: int = 14) -> str:
+    """Newton steps from zero with a unit penalty on the slopes: 3 x 3 systems by Cramer's rule."""
+    det = lambda m: f"({m[0]} * ({m[4]} * {m[8]} - {m[5]} * {m[7]}) - {m[1]} * ({m[3]} * {m[8]} - {m[5]} * {m[6]}) + {m[2]} * ({m[3]} * {m[7]} - {m[4]} * {m[6]}))"
+    gram = ["h00", "h01", "h02", "h01", "h11", "h12", "h02", "h12", "h22"]
+    solved = []
+    for i in range(3):
+        part = list(gram)
+        part[i], part[3 + i], part[6 + i] = "g0", "g1", "g2"
+        solved.append(f"b{i} + {det(part)} / {det(gram)} AS b{i}")
+    return f"""WITH RECURSIVE d AS ({rows}), fit(step, b0, b1, b2) AS (
+      SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE UNION ALL
+      SELECT step + 1, {', '.join(solved)} FROM (
+        SELECT step, b0, b1, b2, sum(y - p) AS g0, sum((y - p) * x1) - b1 AS g1, sum((y - p) * x2) - b2 AS g2,
+          sum(w) AS h00, sum(w * x1) AS h01, sum(w * x2) AS h02, sum(w * x1 * x1) + 1 AS h11, sum(w * x1 * x2) AS h12, sum(w * x2 * x2) + 1 AS h22
+        FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM fit, d WHERE step < {steps}))
+        GROUP BY step, b0, b1, b2))
+    SELECT unnest(['Intercept', 'kchars', 'kwords']) AS term, unnest([round(b0, 6), round(b1, 6), round(b2, 6)]) AS estimate FROM fit WHERE step = {steps}"""
+
+
+@query("proc_logistic", _newton_sql(QUALITY_ROWS))
 def proc_logistic(t: Tables):
     return _round(G.proc_logistic(_quality(t), "quality", ["kchars", "kwords"]).coefficients, ["estimate"], 6)
 

@@ -40,7 +40,7 @@ def test_position_in_skewed_groups(frame, skewed):
 
 
 def test_rolling_crosses_chunks(frame, skewed):
-    got = _by_id(V.rolling_mean(frame, "x", 3, ["t", "id"], ["g"], chunk=5))
+    got = _by_id(V.rolling_mean(frame, "x", 3, ["t", "id"], ["g"]))
     ordered = skewed.sort_values(["t", "id"])
     want = ordered.groupby("g")["x"].transform(lambda s: s.rolling(3).mean()).sort_index()
     assert len(got) == len(skewed)
@@ -122,7 +122,7 @@ def test_ranks_of_large_integers_stay_apart(spark):
 
 def test_window_longer_than_a_chunk(spark):
     df = spark.range(40).selectExpr("id", "CAST(id AS double) AS x")
-    got = {r["id"]: r["rolling"] for r in V.rolling_mean(df, "x", 12, ["id"], chunk=5).collect()}
+    got = {r["id"]: r["rolling"] for r in V.rolling_mean(df, "x", 12, ["id"]).collect()}
     assert got[10] is None and got[11] == 5.5 and got[39] == 33.5
 
 
@@ -131,3 +131,30 @@ def test_transpose_beyond_five_hundred_rows(spark):
 
     row = transpose_full(spark.range(700).selectExpr("concat('r', id) AS name", "id * 2 AS v"), "name").collect()
     assert len(row) == 1 and row[0]["key"] == "v" and row[0]["r699"] == 1398
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([None, "a", "b"]), st.floats(-5, 5) | st.none()), min_size=1, max_size=60), st.integers(1, 25), st.booleans())
+def test_rolling_mean_across_many_limits(spark, rows, size, grouped):
+    """Windows longer than a range take rows from several ranges before."""
+    df = spark.createDataFrame([(i, g, x) for i, (g, x) in enumerate(rows)], "id long, g string, x double").repartition(3)
+    got = {r["id"]: r["rolling"] for r in V.rolling_mean(df, "x", size, ["id"], ["g"] if grouped else []).collect()}
+    assert len(got) == len(rows)
+    seen = {}
+    for i, (g, x) in enumerate(rows):
+        own = seen.setdefault(g if grouped else 0, [])
+        own.append(x)
+        last = own[-size:]
+        want = sum(last) / size if len(last) == size and None not in last else None
+        assert (got[i] is None) == (want is None) and (want is None or abs(got[i] - want) < 1e-9)
+
+
+def test_rows_move_once_after_they_are_stored(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 7).cast("double").alias("x"))
+    whole = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    rolled = whole(V.rolling_mean(df, "x", 5, ["id"]))
+    # one exchange of the rows, by the number of their range; the window above it needs none
+    assert rolled.count("shufflepartitionidpassthrough") == 1 and rolled.count("_halo") and "_chunk" not in rolled
+    above = rolled[: rolled.index("shufflepartitionidpassthrough")]
+    assert "Window" in above and "hashpartitioning" not in above
+    assert "row_number" not in whole(with_position(df, ["id"]))

@@ -193,3 +193,30 @@ def test_auc_with_one_class(spark):
     from reconkit.operators.hypothesis import auc
 
     assert auc(spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double"), "y", "s").first()["auc"] is None
+
+
+def test_logistic_by_newton_steps(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(400, 2)) * [1, 200]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(0.4 + x @ [1.5, -0.01])))).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"y": y, "a": x[:, 0], "b": x[:, 1]})).repartition(3)
+    fit = G.proc_logistic(df, "y", ["a", "b"], math.inf)
+    beta, z = np.zeros(3), np.column_stack([np.ones(400), x])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-z @ beta))
+        beta += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z, z.T @ (y - p))
+    got = {r.term: r.estimate for r in fit.coefficients.collect()}
+    assert [got["Intercept"], got["a"], got["b"]] == pytest.approx(beta.tolist(), rel=1e-6) and fit.converged and fit.steps < 12
+    strong = G.proc_logistic(df, "y", ["a", "b"], 1e-9).coefficients.collect()
+    assert abs(strong[1].estimate) < 1e-6 and strong[0].estimate == pytest.approx(math.log(y.mean() / (1 - y.mean())), abs=0.05)
+
+
+def test_logistic_of_separated_classes_and_odd_targets(spark):
+    df = spark.createDataFrame([(0, -2.0), (0, -1.0), (1, 1.0), (1, 3.0), (None, 9.0), (1, None)], "y int, x double")
+    assert not G.proc_logistic(df, "y", ["x"], math.inf).converged
+    fit = G.proc_logistic(df, "y", ["x"])
+    assert fit.converged and fit.auc.first().auc == 1.0 and fit.predictions.count() == 4
+    with pytest.raises(ValueError, match="0 or 1"):
+        G.proc_logistic(df.withColumn("y", df.y + 1), "y", ["x"])
+    with pytest.raises(ValueError, match="no complete"):
+        G.proc_logistic(df.filter("x is null"), "y", ["x"])
