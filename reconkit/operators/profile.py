@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reconkit.functions.dates import DAY_SECONDS, date_text
 from reconkit.functions.missing import nan_to_null
@@ -42,38 +44,55 @@ def _column_stats(field: T.StructField) -> dict:
     }
 
 
+def _fixed_width(c: Column, t: T.DataType) -> Column | None:
+    """A whole number that stands for the value one to one; None for texts, fractions and decimals."""
+    if isinstance(t, T.IntegralType):
+        return c.cast("bigint")
+    if isinstance(t, T.BooleanType):
+        return c.cast("int").cast("bigint")
+    if isinstance(t, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(t, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c)
+    return None
+
+
 def _distinct_and_median(df: DataFrame, fields: list[T.StructField], median: bool) -> DataFrame:
     """(column_name, unique_count, median_value) from the distinct values of each column.
 
-    One pass: every value goes to the slot of a type that holds it exactly, under its
-    column's number; long texts stand as digests.
+    Every value goes to the slot of a type that holds it exactly, under its column's number.
+    Numbers, dates and marks have fixed width, so they are counted apart from texts, whose
+    long ones stand as digests.
     """
-    slots, numbers = [], []
+    fixed, texts, numbers = [], [], []
     for i, f in enumerate(fields):
         c, t = F.col(f.name), f.dataType
-        whole, fraction = isinstance(t, T.IntegralType), isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType))
-        text = c.cast("string")
-        if whole or isinstance(t, (T.DoubleType, T.FloatType)):
-            text = F.lit(None).cast("string")
-        elif isinstance(t, T.StringType):
-            text = F.when(F.length(c) > DIGEST_FROM, F.sha2(c, 256)).otherwise(c)
-        slots.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                (c if whole else F.lit(None)).cast("bigint").alias("b"),
-                (c if fraction else F.lit(None)).cast("double").alias("d"),
-                text.alias("s"),
-            )
-        )
+        whole, fraction = _fixed_width(c, t), isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType))
+        if whole is not None or (fraction and not isinstance(t, T.DecimalType)):
+            b, d = (whole, F.lit(None)) if whole is not None else (F.lit(None), c)
+            fixed.append(F.struct(F.lit(i).alias("i"), b.cast("bigint").alias("b"), d.cast("double").alias("d")))
+        else:
+            text = F.when(F.length(c) > DIGEST_FROM, F.sha2(c, 256)).otherwise(c) if isinstance(t, T.StringType) else c.cast("string")
+            d = c.cast("double") if fraction else F.lit(None).cast("double")
+            texts.append(F.struct(F.lit(i).alias("i"), text.alias("s"), d.alias("d")))
         if isinstance(t, T.NumericType):
             numbers.append(i)
-    long = df.select(F.inline(F.array(*slots))).filter("b IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL")
-    counts = long.groupBy("i", "b", "d", "s").agg(F.count(F.lit(1)).alias("n"))
-    unique = counts.groupBy("i").agg(F.count(F.lit(1)).alias("unique_count"))
+    one = F.count(F.lit(1)).alias("n")
+    value = F.coalesce(F.col("d"), F.col("b").cast("double")).alias("value")
+    counts = []
+    if fixed:
+        long = df.select(F.inline(F.array(*fixed))).filter("b IS NOT NULL OR d IS NOT NULL")
+        counts.append(long.groupBy("i", "b", "d").agg(one).select("i", value, "n"))
+    if texts:
+        long = df.select(F.inline(F.array(*texts))).filter("s IS NOT NULL")
+        counts.append(long.groupBy("i", "s").agg(F.first("d").alias("value"), one).select("i", "value", "n"))
+    unique = reduce(DataFrame.unionByName, [c.groupBy("i").agg(F.count(F.lit(1)).alias("unique_count")) for c in counts])
     if median and numbers:
-        value = F.coalesce(F.col("b").cast("double"), F.col("d"))
         # the count in the condition keeps it above the aggregation, which both branches then share
-        mid = counts.select(F.col("i").alias("variable"), value.alias("value"), "n").filter(F.when(F.col("value").isNotNull(), F.col("n")) > 0)
+        mid = reduce(DataFrame.unionByName, counts).select(F.col("i").alias("variable"), "value", "n")
+        mid = mid.filter(F.col("variable").isin(numbers) & (F.when(F.col("value").isNotNull(), F.col("n")) > 0))
         mid = quantiles_of_counts(mid, {"median_value": 0.5}).withColumnRenamed("variable", "i")
         unique = unique.join(F.broadcast(mid), "i", "left")  # one row per column
     names = F.array(*[F.lit(f.name) for f in fields])

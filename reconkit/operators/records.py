@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reconkit.operators.cumulative import cumulative
@@ -20,6 +22,7 @@ from reconkit.session import checkpointed, local_rows
 # Comparison tolerance and the number of sample rows per column.
 TOLERANCE = 1e-6
 SAMPLE_ROWS = 100
+SWEPT_ROWS = 10_000  # rows of a key, both sides, that are paired in one place
 
 
 def _comparable(a: T.DataType, b: T.DataType) -> bool:
@@ -147,6 +150,7 @@ def value_differences(
     facts = common.agg(
         F.coalesce(F.sum(F.col("s_rows") * F.col("t_rows")), F.lit(0)).alias("pairs"),
         F.count_if(~unique).alias("repeated"),
+        F.count_if(~unique & (F.col("s_rows") + F.col("t_rows") > SWEPT_ROWS)).alias("large"),
         *[
             F.count_if(unique & unlike(c)).alias(f"d_{c}")
             for c in columns
@@ -161,7 +165,7 @@ def value_differences(
     if not facts["repeated"]:
         return direct
     repeated = common.filter(~unique).select(*keys, "s_rows", "t_rows")
-    extra = _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance)
+    extra = _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance, bool(facts["large"]))
     more = (F.col("different") + F.coalesce("more", F.lit(0))).cast("bigint")
     return direct.join(extra, "column_name", "left").select("column_name", "compared", more.alias("different"))
 
@@ -173,11 +177,94 @@ def _rows_of(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFra
     return rows.join(wanted.select(*[F.col(k).alias(names[k]) for k in keys]), on, "left_semi")
 
 
-def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance) -> DataFrame:
-    """(column_name, more): differing pairs among keys that occur more than once on a side."""
+def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance, large: bool) -> DataFrame:
+    """(column_name, more): differing pairs among keys that occur more than once on a side.
+
+    Keys of up to ``SWEPT_ROWS`` rows are swept where a shuffle by key puts them; the pairs of
+    larger ones are counted from values ranked across the cluster.
+    """
     repeated = checkpointed(repeated)
-    chosen = checkpointed(_rows_of(rows, repeated, keys))
     pairs = repeated.agg(F.sum(F.col("s_rows") * F.col("t_rows")).alias("pairs")).scalar()
+    size = F.col("s_rows") + F.col("t_rows")
+    few = _rows_of(rows, repeated.filter(size <= SWEPT_ROWS) if large else repeated, keys)
+    equal = [_swept_pairs(few, keys, columns, kinds, tolerance)]
+    if large:
+        many = _rows_of(rows, repeated.filter(size > SWEPT_ROWS), keys)
+        equal += _ranked_pairs(checkpointed(many), keys, columns, kinds, tolerance)
+    total = reduce(DataFrame.unionByName, equal).groupBy("column_name").agg(F.sum("same").alias("same"))
+    return total.select("column_name", (pairs - F.col("same")).alias("more"))
+
+
+def _equal_pairs(group: np.ndarray, source: np.ndarray, codes: Sequence[np.ndarray]) -> int:
+    """Pairs of a source and a target row of one group whose codes are all equal."""
+    order = np.lexsort([*codes, group])
+    fresh = np.ones(len(group), bool)
+    if len(group):
+        fresh[1:] = np.any([c[order][1:] != c[order][:-1] for c in (group, *codes)], axis=0)
+    run = np.cumsum(fresh) - 1
+    mine = np.bincount(run, source[order], minlength=1)
+    return int((mine * (np.bincount(run, minlength=1) - mine)).sum())
+
+
+def _close_pairs(group: np.ndarray, source: np.ndarray, values: np.ndarray, tolerance: float) -> int:
+    """Pairs of a source and a target value of one group no further apart than the tolerance."""
+    theirs, mine = ~source, source
+    at = np.concatenate([values[theirs], values[mine] - tolerance, values[mine] + tolerance])
+    of = np.concatenate([group[theirs], group[mine], group[mine]])
+    # at equal values: lower ends, then target values, then upper ends
+    kind = np.repeat([1, 0, 2], [theirs.sum(), mine.sum(), mine.sum()])
+    order = np.lexsort([kind, at, of])
+    seen, kind = np.cumsum(kind[order] == 1), kind[order]
+    return int(seen[kind == 2].sum() - seen[kind == 0].sum())
+
+
+def _swept_pairs(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], kinds: dict, tolerance: float) -> DataFrame:
+    """(column_name, same): equal pairs of keys whose rows fit in one place, after one shuffle of narrow rows."""
+    marked = [x for k in keys for x in (F.col(k).isNull(), F.col(k))]
+    exact = [c for c in columns if not kinds[c]]
+    fractional = [c for c in columns if kinds[c]]
+    # a key and a value that is compared exactly stand as 128 bits each
+    cells = [F.xxhash64(F.lit(i), *marked).alias(f"k{i}") for i in range(2)] + [(F.col("_s") > 0).alias("source")]
+    cells += [F.xxhash64(F.lit(j), F.col(c).isNull(), c).alias(f"e{i}_{j}") for i, c in enumerate(exact) for j in range(2)]
+    cells += [F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(fractional)]
+    ordered = rows.select(*cells).repartition("k0", "k1").sortWithinPartitions("k0", "k1")
+
+    def run(batches):
+        same, held = np.zeros(len(columns), np.int64), None
+
+        def count(part: pa.Table) -> None:
+            k0, k1 = part["k0"].to_numpy(), part["k1"].to_numpy()
+            fresh = np.ones(len(k0), bool)
+            fresh[1:] = (k0[1:] != k0[:-1]) | (k1[1:] != k1[:-1])
+            group, source = np.cumsum(fresh), part["source"].to_numpy().astype(bool)
+            for i, c in enumerate(exact):
+                same[columns.index(c)] += _equal_pairs(group, source, [part[f"e{i}_{j}"].to_numpy() for j in range(2)])
+            for i, c in enumerate(fractional):
+                values = part[f"f{i}"].to_numpy()
+                gone = np.isnan(values)
+                same[columns.index(c)] += _equal_pairs(group[gone], source[gone], [])
+                same[columns.index(c)] += _close_pairs(group[~gone], source[~gone], values[~gone], tolerance)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            k0, k1 = table["k0"].to_numpy(), table["k1"].to_numpy()
+            last = np.flatnonzero((k0 != k0[-1]) | (k1 != k1[-1]))
+            whole = int(last[-1]) + 1 if len(last) else 0  # the last key may go on in the next batch
+            if whole:
+                count(table.slice(0, whole))
+            held = table.slice(whole)
+        if held is not None:
+            count(held)
+        yield pa.RecordBatch.from_arrays([pa.array(columns, pa.string()), pa.array(same)], ["column_name", "same"])
+
+    return ordered.mapInArrow(run, "column_name string, same long")
+
+
+def _ranked_pairs(chosen: DataFrame, keys: Sequence[str], columns: Sequence[str], kinds: dict, tolerance: float) -> list[DataFrame]:
+    """(column_name, same) of very frequent keys, from value multiplicities and running totals."""
     s, t = F.sum("_s").alias("s"), F.sum("_t").alias("t")
     equal = []
     exact = [c for c in columns if not kinds[c]]
@@ -193,8 +280,7 @@ def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance) -> D
         nulls = long.filter("v IS NULL").groupBy(*keys, "column_name").agg(s, t)
         equal.append(nulls.groupBy("column_name").agg(F.sum(F.col("s") * F.col("t")).alias("same")))
         equal.append(_pairs_within(long.filter("v IS NOT NULL"), keys, tolerance))
-    total = reduce(DataFrame.unionByName, equal).groupBy("column_name").agg(F.sum("same").alias("same"))
-    return total.select("column_name", (pairs - F.col("same")).alias("more"))
+    return equal
 
 
 def _pairs_within(long: DataFrame, keys: Sequence[str], tolerance: float) -> DataFrame:

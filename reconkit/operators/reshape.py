@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from reconkit.operators.cumulative import with_position
 from reconkit.operators.shaping import numeric_columns
 
 
@@ -44,6 +45,45 @@ def transpose_full(df: DataFrame, index: str, values: Sequence | None = None) ->
     return long.groupBy("key").pivot(index, [str(v) for v in values] if values else None).agg(once)
 
 
+def transpose_blocks(df: DataFrame, index: str, width: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Rows to columns for any number of rows, as blocks of at most ``width`` columns.
+
+    Returns (cells, labels).  ``cells`` has ``key`` (the old column), ``block`` and ``values``, an
+    array with the block's new columns in order of ``index``; ``labels`` has the index values
+    of each block.  A cell group is one old column of one block, so no task holds a whole
+    row of the result.  Values of different types become text; nulls of ``index`` come last;
+    repeated index values keep a column each.
+    """
+    if width < 1:
+        raise ValueError("a block has at least one column")
+    cells = [c for c in df.columns if c != index]
+    mixed = len({f.dataType for f in df.schema if f.name != index}) > 1
+    placed = with_position(df, [index], name="_pos")
+    at = F.col("_pos") - 1
+    placed = placed.withColumns({"block": F.floor(at / width), "_slot": (at % width).cast("int")})
+
+    def in_order(value: str) -> Column:
+        listed = F.array_sort(F.collect_list(F.struct("_slot", F.struct(F.col(value).alias("v")).alias("c"))))
+        return F.transform(listed, lambda x: x["c"]["v"])
+
+    labels = placed.groupBy("block").agg(in_order(index).alias("labels"))
+    if mixed:
+        placed = placed.withColumns({c: F.col(c).cast("string") for c in cells})
+    long = placed.unpivot(["block", "_slot"], cells, "key", "_v")
+    return long.groupBy("key", "block").agg(in_order("_v").alias("values")), labels
+
+
+def block_table(cells: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """One block of ``transpose_blocks`` as a table: ``key`` and a column for each index value (a repeated one gets a number)."""
+    names, seen = [], {}
+    for label in labels.filter(F.col("block") == block).first()["labels"]:  # at most a block's width
+        name = str(label)
+        seen[name] = seen.get(name, 0) + 1
+        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    mine = cells.filter(F.col("block") == block)
+    return mine.select("key", *[F.get("values", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
 def pivot_sum(df: DataFrame, by: Sequence[str], columns: str, value: str, values: Sequence) -> DataFrame:
     return df.groupBy(*by).pivot(columns, list(values)).agg(F.sum(value))
 

@@ -118,11 +118,12 @@ def compare_tables(
         facts |= {"source_count": source.count(), "target_count": target.count()}
     if sampled:
         source, target = _sampled(source, target, keys, sample_size)
-        facts["sampled_keys"] = sample_size
     if keys:
         counts = match_summary(match_records(source, target, keys)).first().asDict()
         facts |= {k: counts[k] for k in ("source_only", "target_only", "common_keys", "match_rate")}
-        if not sampled:
+        if sampled:
+            facts["sampled_keys"] = sum(counts[k] for k in ("source_only", "target_only", "common_keys"))
+        else:
             facts |= {"source_count": counts["source_rows"], "target_count": counts["target_rows"]}
     facts["count_difference"] = abs(facts["source_count"] - facts["target_count"])
 

@@ -303,3 +303,20 @@ def resumed_copy(t: Tables):
     back = batches.read_committed(t.spark, path).groupBy("batch_id").agg(F.count(F.lit(1)).alias("read"))
     commits = batches.committed_batches(t.spark, path).select("batch_id", "row_count")
     return commits.join(back, "batch_id").select("batch_id", "row_count", (F.col("read") == F.col("row_count")).alias("same"))
+
+
+@query(
+    "file_facts",
+    """SELECT count(*) AS nrow, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey, min(l_quantity) AS min_l_quantity,
+       max(l_quantity) AS max_l_quantity FROM lineitem""",
+)
+def file_facts(t: Tables):
+    facts = scan.file_facts(t.spark, f"{t.folder}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+    return t.spark.createDataFrame(facts.collect(), facts.schema)  # one row, from the session that reads footers
+
+
+@query("file_facts_dates", "SELECT count(*) AS nrow, min(o_orderdate) AS min_o_orderdate, max(o_orderdate) AS max_o_orderdate FROM orders")
+def file_facts_dates(t: Tables):
+    """Timestamps have no pushed extremes: their column is read."""
+    facts = scan.file_facts(t.spark, f"{t.folder}/orders.parquet", ["o_orderdate"])
+    return t.spark.createDataFrame(facts.collect(), facts.schema)

@@ -261,6 +261,19 @@ def transpose_full(t: Tables):
     return X.transpose_full(table, "o_orderstatus")
 
 
+@query(
+    "transpose_blocks",
+    """SELECT 'o_custkey' AS key, o_orderkey, o_custkey::DOUBLE AS value, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS block FROM orders
+       UNION ALL SELECT 'o_totalprice', o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 FROM orders""",
+)
+def transpose_blocks(t: Tables):
+    """Every order a column, a thousand a block; told in long form."""
+    table = t.orders.select("o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey"), "o_totalprice")
+    cells, labels = X.transpose_blocks(table, "o_orderkey")
+    both = cells.join(labels, "block").select("key", "block", F.explode(F.arrays_zip("labels", "values")).alias("x"))
+    return both.select("key", F.col("x.labels").alias("o_orderkey"), F.col("x.values").alias("value"), "block")
+
+
 @query(
     "pivot_table",
     """SELECT l_suppkey, sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS "A", sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS "N",

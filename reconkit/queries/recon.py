@@ -605,6 +605,34 @@ def profile_compare(t: Tables):
     )
 
 
+def _match_sql(stat: str, of: str) -> str:
+    """Difference and match of one statistic, over the columns of ``orders``."""
+    parts = []
+    for c, kind, _ in ORDER_COLUMNS:
+        value = of.format(c=c) if kind == "n" or stat.endswith("count") else "CAST(any_value(NULL) AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS column_name, (SELECT {value} FROM orders) AS a, (SELECT {value} FROM target) AS b")
+    return f"""(SELECT column_name, CAST(b - a AS DOUBLE) AS {stat}_diff, coalesce(abs(b - a) < 0.001, a IS NULL AND b IS NULL) AS {stat}_match
+      FROM ({' UNION ALL '.join(parts)}))"""
+
+
+MATCHED_STATS = {
+    "row_count": "count(*)", "null_count": "count(*) - count({c})", "unique_count": "count(DISTINCT {c})",
+    "min_value": "min({c})::DOUBLE", "max_value": "max({c})::DOUBLE", "mean_value": "avg({c})",
+}
+
+
+@query(
+    "profile_compare_matches",
+    f"""WITH {TARGET} SELECT column_name, {', '.join(f'{c}_match' for c in MATCHED_STATS)}, round(mean_value_diff, 4) AS mean_value_diff,
+        row_count_match AND null_count_match AND unique_count_match AS stats_match
+        FROM {' JOIN '.join(_match_sql(c, e) + (' USING (column_name)' if i else '') for i, (c, e) in enumerate(MATCHED_STATS.items()))}""",
+)
+def profile_compare_matches(t: Tables):
+    """Every match mark and the difference of the means."""
+    out = _profiles(t)
+    return out.select("column_name", *[f"{c}_match" for c in P.COMPARED], rnd("mean_value_diff", 4).alias("mean_value_diff"), "stats_match")
+
+
 @query(
     "profile_report",
     f"""{PROFILE_PAIR} SELECT 'orders' AS table_name, count(*) AS total_columns,
@@ -849,6 +877,31 @@ def run_report(t: Tables):
     return out.select(*[F.col(c).cast("int").alias(c) for c in counts], "timed")
 
 
+@query(
+    "run_report_statuses",
+    """WITH a AS (SELECT o_custkey, count(*) AS n, count_if(o_orderstatus = 'F') AS f FROM orders GROUP BY 1)
+       SELECT count(*) AS total_comparisons, CAST(count_if(n >= 5 AND f > 0) AS BIGINT) AS matches, CAST(count_if(n < 5 OR f = 0) AS BIGINT) AS differences,
+         CAST(count_if(n < 5) AS BIGINT) AS errors, CAST(sum(n) AS DOUBLE) AS total_execution_time FROM a""",
+)
+def run_report_statuses(t: Tables):
+    """Totals over one summary per customer, its status taken from the customer's orders."""
+    a = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("f"))
+    status = F.when(F.col("n") < 5, "ERROR: too few").when(F.col("f") == 0, "VALUE_DIFFERENCES").otherwise("MATCH")
+    return compare.run_report(a.select(status.alias("match_status"), F.col("n").cast("double").alias("execution_time")))
+
+
+@query(
+    "compare_tables_sampled",
+    f"""WITH {TARGET} SELECT (SELECT count(*) FROM orders) AS source_count, (SELECT count(*) FROM target) AS target_count,
+        (SELECT count(*) FROM (SELECT o_orderkey FROM orders UNION SELECT o_orderkey FROM target)) AS sampled_keys, 'RECORD_COUNT_MISMATCH' AS match_status""",
+)
+def compare_tables_sampled(t: Tables):
+    """A sample larger than the tables: the keys taken are told, not the number asked for."""
+    columns = ["o_orderkey", "o_orderstatus"]
+    out = compare.compare_tables(t.orders.select(columns), altered_orders(t).select(columns), "orders", ["o_orderkey"], sample_size=10**9)
+    return out.summary.select("source_count", "target_count", "sampled_keys", "match_status")
+
+
 @query(
     "status_distribution",
     """WITH a AS (SELECT o_custkey AS k, count(*) AS n, count_if(o_orderstatus = 'F') AS f, count_if(o_totalprice > 400000) AS big FROM orders GROUP BY 1)
@@ -882,6 +935,22 @@ def validate_frames(t: Tables):
     return cells.select("o_orderkey", "column_name")
 
 
+@query(
+    "validate_frames_verdict",
+    f"""WITH {TARGET}, j AS (SELECT s.o_orderkey AS sk, t.o_orderkey AS tk, s.o_totalprice AS a3, t.o_totalprice AS b3, s.o_orderpriority AS a5,
+          t.o_orderpriority AS b5 FROM orders s FULL JOIN target t ON s.o_orderkey = t.o_orderkey),
+        n AS (SELECT sum(CASE WHEN sk IS NULL OR tk IS NULL THEN 1 ELSE (abs(a3 - b3) > 1e-6 + 1e-5 * abs(a3))::INT + (a5 IS DISTINCT FROM b5)::INT END)::BIGINT AS n FROM j)
+        SELECT 'orders' AS test_name, true AS columns_match, n AS differences, n = 0 AS passed FROM n
+        UNION ALL SELECT 'same', true, 0, true FROM n UNION ALL SELECT 'renamed', false, 0, false FROM n""",
+)
+def validate_frames_verdict(t: Tables):
+    """The verdicts on an altered copy, an equal one, and one whose columns are in another order."""
+    cols = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    a, b = t.orders.select(*cols), altered_orders(t).select(*cols)
+    verdicts = [compare.validate_frames(a, x, ["o_orderkey"], name)[0] for name, x in (("orders", b), ("same", a), ("renamed", a.select(cols[::-1])))]
+    return verdicts[0].unionByName(verdicts[1]).unionByName(verdicts[2])
+
+
 def _numeric_cases(t: Tables):
     """Line totals computed two ways, one slightly off for discounted lines."""
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))

@@ -71,6 +71,31 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("nrow"))
 
 
+def file_facts(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """One row: ``nrow`` and ``min_<c>, max_<c>`` of a Parquet table, from file footers where they hold them.
+
+    Counts and extremes of whole numbers, fractions, dates and marks are pushed into the
+    scan, which then reads no column data; other kinds (texts, timestamps) make it a scan of these
+    columns.  NaN is left out of neither: a fraction's footer says nothing of it.
+    """
+    aggregates = [F.count(F.lit(1)).alias("nrow")]
+    for c in columns:
+        aggregates += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    facts = _footer_reader(spark).read.parquet(path).agg(*aggregates)
+    # files without rows have nothing to add up, although a count is never null by its type
+    return facts.withColumn("nrow", F.coalesce(F.nullif("nrow", F.lit(-1)), F.lit(0)))
+
+
+def _footer_reader(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet source takes aggregates; the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    others = [x for x in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if x.strip() != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(others))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
 def cutoff_filter(df: DataFrame, cutoff: datetime | None, column: str = "_upload_timestamp") -> DataFrame:
     """Rows loaded up to the cutoff, at full precision; no cutoff keeps all rows."""
     return df if cutoff is None else df.filter(F.col(column) <= F.lit(cutoff).cast("timestamp"))

@@ -113,3 +113,18 @@ def test_copies_lose_no_digits(spark, tmp_path):
     migrate_table(TableJob("t", more, {}, {}), str(tmp_path), datetime(2024, 1, 2), mode="append")
     again = spark.read.parquet(path)
     assert again.count() == 60 and again.dtypes == back.dtypes and again.agg({"price": "min"}).first()[0] == 2.5
+
+
+def test_facts_from_footers(spark, tmp_path):
+    path, before = str(tmp_path / "t"), spark.conf.get("spark.sql.sources.useV1SourceList")
+    df = spark.range(1000).selectExpr("id", "DATE'2024-01-01' + CAST(id AS INT) AS d", "CAST(id AS STRING) AS s", "if(id < 3, null, id / 2) AS x")
+    df.repartition(4).write.parquet(path)
+    facts = scan.file_facts(spark, path, ["id", "d", "x"])
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(id)" in plan and spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    row = facts.first()
+    assert (row.nrow, row.min_id, row.max_id, row.min_d, row.max_x) == (1000, 0, 999, date(2024, 1, 1), 499.5)
+    texts = scan.file_facts(spark, path, ["s"])  # no pushed extremes for texts: read, and right
+    assert tuple(texts.first()) == (1000, "0", "999")
+    df.limit(0).write.parquet(str(tmp_path / "none"))
+    assert tuple(scan.file_facts(spark, str(tmp_path / "none"), ["id"]).first()) == (0, None, None)

@@ -158,3 +158,24 @@ def test_rows_move_once_after_they_are_stored(spark):
     above = rolled[: rolled.index("shufflepartitionidpassthrough")]
     assert "Window" in above and "hashpartitioning" not in above
     assert "row_number" not in whole(with_position(df, ["id"]))
+
+
+def test_transpose_in_blocks(spark):
+    """Thousands of rows become columns without a wide row anywhere; a block can be looked at as a table."""
+    from reconkit.operators.reshape import block_table, transpose_blocks
+
+    df = spark.range(2500).selectExpr("concat('r', lpad(id, 4, '0')) AS name", "id * 2 AS v", "if(id % 3 = 0, null, id) AS w").repartition(5)
+    cells, labels = transpose_blocks(df, "name", 400)
+    got = {(r["key"], r["block"]): r["values"] for r in cells.collect()}
+    names = {r["block"]: r["labels"] for r in labels.collect()}
+    assert set(got) == {(k, b) for k in "vw" for b in range(7)} and len(got["v", 6]) == 100
+    assert [x for b in range(7) for x in got["v", b]] == list(range(0, 5000, 2))
+    assert [x for b in range(7) for x in got["w", b]] == [None if i % 3 == 0 else i for i in range(2500)]
+    assert [x for b in range(7) for x in names[b]] == [f"r{i:04}" for i in range(2500)]
+    table = block_table(cells, labels, 1).filter("key = 'v'").collect()
+    assert len(table) == 1 and table[0]["r0400"] == 800 and len(table[0]) == 401
+    twice = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 3, "z")], "i string, n int, s string")
+    cells, labels = transpose_blocks(twice, "i", 10)
+    assert block_table(cells, labels, 0).columns == ["key", "a", "a_2", "None"]
+    assert {tuple(sorted(r["values"])) for r in cells.collect()} == {("1", "2", "3"), ("x", "y", "z")}
+    assert transpose_blocks(twice.limit(0), "i")[0].count() == 0

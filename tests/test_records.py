@@ -49,7 +49,10 @@ def test_tolerance_edge(spark):
     _check(spark, a, b, tol=0.25)
 
 
-def test_hot_duplicate_key(spark):
+@pytest.mark.parametrize("swept", [0, 15, R.SWEPT_ROWS])
+def test_hot_duplicate_key(spark, monkeypatch, swept):
+    """All keys ranked, the hot ones ranked and the rest swept, all swept."""
+    monkeypatch.setattr(R, "SWEPT_ROWS", swept)
     rng = np.random.default_rng(5)
     keys = np.where(rng.random(400) < 0.35, 0, rng.integers(0, 60, 400))
 
@@ -64,6 +67,30 @@ def test_hot_duplicate_key(spark):
     _check(spark, side(1), side(2), tol=1.0)
 
 
+def test_sweep_counts_pairs_like_all_pairs():
+    rng = np.random.default_rng(8)
+    group = np.sort(rng.integers(0, 30, 500))
+    source = rng.random(500) < 0.5
+    values = rng.choice([0.0, 0.25, 0.5, 1.0, np.inf, -np.inf, 3.0], 500)
+    pairs = [(i, j) for i in np.flatnonzero(source) for j in np.flatnonzero(~source) if group[i] == group[j]]
+    close = sum(values[i] == values[j] or abs(values[i] - values[j]) <= 0.25 for i, j in pairs)
+    assert R._close_pairs(group, source, values, 0.25) == close
+    assert R._equal_pairs(group, source, [values]) == sum(values[i] == values[j] for i, j in pairs)
+    assert R._equal_pairs(group, source, []) == len(pairs)
+    none = np.zeros(0, int)
+    assert R._equal_pairs(none, none.astype(bool), []) == R._close_pairs(none, none.astype(bool), none.astype(float), 1.0) == 0
+
+
+def test_keys_that_cross_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        a = [(i % 9, "ab"[i % 2], float(i % 5), Decimal(i % 3)) for i in range(120)]
+        b = [(i % 9, "ab"[i % 3 > 0], float(i % 4), None) for i in range(100)]
+        _check(spark, a, b)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_match_summary_counts(spark):
     a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     b = spark.createDataFrame([(1,), (3,), (None,), (None,)], "k int")
@@ -118,7 +145,9 @@ def test_statistical_difference_without_keys(spark):
 
 def test_sample_size_limits_keys(spark, employees):
     out = compare.compare_tables(employees, employees, "employees", ["employee_id"], sample_size=2).summary.first()
-    assert (out.common_keys, out.match_status) == (2, "MATCH")
+    assert (out.common_keys, out.match_status, out.sampled_keys) == (2, "MATCH", 2)
+    whole = compare.compare_tables(employees, employees, "employees", ["employee_id"], sample_size=10**6).summary.first()
+    assert whole.sampled_keys == employees.select("employee_id").distinct().count()
 
 
 def test_multiset_compare_pairs_by_rank(spark):
