@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from reconkit.operators.cumulative import cumulative
 from reconkit.operators.ordering import first_n_per_group
@@ -63,21 +63,26 @@ def match_records(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     )
 
 
-def match_summary(matched: DataFrame) -> DataFrame:
-    """One row of key counts, row counts and match rate."""
+def _match_counts() -> list[Column]:
+    """Counts over one row per key with ``s_rows`` and ``t_rows``."""
     s, t = F.col("s_rows") > 0, F.col("t_rows") > 0
-    counted = matched.agg(
+    return [
         F.count_if(s & ~t).alias("source_only"),
         F.count_if(~s & t).alias("target_only"),
         F.count_if(s & t).alias("common_keys"),
         F.coalesce(F.sum("s_rows"), F.lit(0)).alias("source_rows"),
         F.coalesce(F.sum("t_rows"), F.lit(0)).alias("target_rows"),
         F.count_if((F.col("s_rows") > 1) | (F.col("t_rows") > 1)).alias("duplicate_keys"),
-    )
-    rate = F.coalesce(
-        F.try_divide(F.col("common_keys"), F.greatest("source_rows", "target_rows")), F.lit(0.0)
-    )
-    return counted.withColumn("match_rate", rate)
+    ]
+
+
+def _match_rate() -> Column:
+    return F.coalesce(F.try_divide(F.col("common_keys"), F.greatest("source_rows", "target_rows")), F.lit(0.0))
+
+
+def match_summary(matched: DataFrame) -> DataFrame:
+    """One row of key counts, row counts and match rate."""
+    return matched.agg(*_match_counts()).withColumn("match_rate", _match_rate())
 
 
 def is_fractional(t: T.DataType) -> bool:
@@ -130,6 +135,17 @@ def value_differences(
     are unique on both sides are compared directly; the pairs of duplicated keys
     are counted from value multiplicities, without forming them.
     """
+    return match_and_differences(source, target, keys, columns, tolerance)[1]
+
+
+def match_and_differences(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    tolerance: float = TOLERANCE,
+) -> tuple[Row, DataFrame]:
+    """The row of ``match_summary`` and the table of ``value_differences``, from one grouping of both sides by key."""
     keys = list(keys)
     columns = list(columns or _common_columns(source, target, keys))
     rows = both_sides(source, target, [*keys, *columns])
@@ -139,7 +155,8 @@ def value_differences(
     wide = [c for c in columns if not isinstance(rows.schema[c].dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
     hashes = {c: [f"_h{i}_{c}" for i in range(2)] if c in wide else [c] for c in columns}
     short = rows.withColumns({h: F.xxhash64(F.lit(i), c) for c in wide for i, h in enumerate(hashes[c])}).drop(*wide)
-    common = _per_key(short, keys, [h for c in columns for h in hashes[c]]).filter("s_rows > 0 AND t_rows > 0")
+    per_key = _per_key(short, keys, [h for c in columns for h in hashes[c]])
+    both = (F.col("s_rows") > 0) & (F.col("t_rows") > 0)
 
     def unlike(c: str) -> Column:
         parts = [differs(F.col(f"s_{h}"), F.col(f"t_{h}"), kinds[c] and c not in wide, tolerance) for h in hashes[c]]
@@ -147,15 +164,16 @@ def value_differences(
 
     unique = (F.col("s_rows") == 1) & (F.col("t_rows") == 1)
 
-    facts = common.agg(
+    facts = per_key.agg(
+        *_match_counts(),
         F.coalesce(F.sum(F.col("s_rows") * F.col("t_rows")), F.lit(0)).alias("pairs"),
-        F.count_if(~unique).alias("repeated"),
-        F.count_if(~unique & (F.col("s_rows") + F.col("t_rows") > SWEPT_ROWS)).alias("large"),
+        F.count_if(both & ~unique).alias("repeated"),
+        F.count_if(both & ~unique & (F.col("s_rows") + F.col("t_rows") > SWEPT_ROWS)).alias("large"),
         *[
             F.count_if(unique & unlike(c)).alias(f"d_{c}")
             for c in columns
         ],
-    ).first()
+    ).withColumn("match_rate", _match_rate()).first()
     spark = source.sparkSession
     direct = local_rows(
         spark,
@@ -163,11 +181,11 @@ def value_differences(
         "column_name string, compared bigint, different bigint",
     )
     if not facts["repeated"]:
-        return direct
-    repeated = common.filter(~unique).select(*keys, "s_rows", "t_rows")
+        return facts, direct
+    repeated = per_key.filter(both & ~unique).select(*keys, "s_rows", "t_rows")
     extra = _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance, bool(facts["large"]))
     more = (F.col("different") + F.coalesce("more", F.lit(0))).cast("bigint")
-    return direct.join(extra, "column_name", "left").select("column_name", "compared", more.alias("different"))
+    return facts, direct.join(extra, "column_name", "left").select("column_name", "compared", more.alias("different"))
 
 
 def _rows_of(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,9 +18,9 @@ from reconkit.operators.records import (
     both_sides,
     difference_sample,
     is_fractional,
+    match_and_differences,
     match_records,
     match_summary,
-    value_differences,
 )
 from reconkit.operators.schema import dtype_diff, schema_as_table, schema_diff
 from reconkit.operators.shaping import normalize_columns, numeric_columns
@@ -118,8 +118,14 @@ def compare_tables(
         facts |= {"source_count": source.count(), "target_count": target.count()}
     if sampled:
         source, target = _sampled(source, target, keys, sample_size)
+    columns = [c.lower() for c in compare_columns or [] if c.lower() in common]
+    columns = columns or [c for c in common if c not in keys]
     if keys:
-        counts = match_summary(match_records(source, target, keys)).first().asDict()
+        if columns:
+            # one grouping by key serves the counts and the values
+            counts, out.values = match_and_differences(source, target, keys, columns)
+        else:
+            counts = match_summary(match_records(source, target, keys)).first()
         facts |= {k: counts[k] for k in ("source_only", "target_only", "common_keys", "match_rate")}
         if sampled:
             facts["sampled_keys"] = sum(counts[k] for k in ("source_only", "target_only", "common_keys"))
@@ -134,13 +140,9 @@ def compare_tables(
             out.tests = distribution_tests(source, target, numbers)
             tests = out.tests.agg(F.min("ks_p")).first()
             facts["min_ks_p"] = tests[0]
-        if keys:
-            columns = [c.lower() for c in compare_columns or [] if c.lower() in common]
-            columns = columns or [c for c in common if c not in keys]
-            if columns:
-                out.values = value_differences(source, target, keys, columns)
-                out.sample = difference_sample(source, target, keys, columns)
-                facts["different_values"] = out.values.agg(F.sum("different")).first()[0]
+        if out.values is not None:
+            out.sample = difference_sample(source, target, keys, columns)
+            facts["different_values"] = out.values.agg(F.sum("different")).first()[0]
 
     summary = _summary_row(spark, facts, started)
     one_sided = F.coalesce(F.col("source_only") + F.col("target_only"), F.lit(0))
