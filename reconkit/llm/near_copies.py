@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reconkit.llm.common import mixed, slices, stored
+from reconkit.llm.common import mixed, slices, stored, tidy
 from reconkit.llm.components import components
 from reconkit.llm.decontaminate import shingles, text_shingles
 from reconkit.llm.simhash import majority, near, planes_of
@@ -31,6 +31,7 @@ BANDS, ROWS = 16, 5  # a pair of similarity 0.8 shares no band with chance 0.002
 GROUP = 1024  # texts compared with each other in one cell of a larger group
 CELL_BYTES = 4 << 20  # shingle hashes of a block of such texts
 SPARE = 2  # shingles that 32-bit hashes may fall short by
+BROADCAST_KEYS = 1 << 18  # of 16 bytes; more keys are joined by a shuffle of the texts
 ANCHORS = 128  # texts of a larger group that every cell of it holds
 _FACTORS = mixed(np.arange(101, 101 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
 
@@ -67,7 +68,7 @@ def sketches(texts: DataFrame) -> DataFrame:
             columns = [own, sizes, pa.array(prints.view(np.int64)), listed, pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "size", "fingerprint", "bands", "values"])
 
-    return texts.mapInArrow(run, "key binary, size int, fingerprint long, bands array<long>, values binary")
+    return texts.mapInArrow(tidy(run), "key binary, size int, fingerprint long, bands array<long>, values binary")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
             sets = [(np.unique(hashes[a:b]) >> np.uint64(32)).astype("<u4") for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([part["key"], pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "shingles"])
 
-    return texts.mapInArrow(run, "key binary, shingles binary")
+    return texts.mapInArrow(tidy(run), "key binary, shingles binary")
 
 
 def holding(prints: np.ndarray, values: np.ndarray, radius: int = RADIUS, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
@@ -152,7 +153,7 @@ def candidate_links(sketched: DataFrame, radius: int = RADIUS, group: int = GROU
 
     parts = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: few bytes take long to compare
     ordered = dealt.repartition(parts, "band", "cell").sortWithinPartitions("band", "cell", "key")
-    return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return ordered.mapInArrow(tidy(compare), "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def undecided(sketched: DataFrame, groups: DataFrame) -> DataFrame:
@@ -241,7 +242,7 @@ def open_links(apart: DataFrame, sketched: DataFrame, sets: DataFrame, similarit
 
     parts = int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "band", "side", "block").sortWithinPartitions("band", "side", "block", "key")
-    return ordered.mapInArrow(compare, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return ordered.mapInArrow(tidy(compare), "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def verified(links: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -259,27 +260,37 @@ def verified(links: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
                     keep.append(same >= similarity * (len(one) + len(two) - same))
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col="doc_id", text_col="text", group: int = GROUP) -> DataFrame:
     """One row of each group of near copies: that with the smallest id (nulls last); all columns stay.
 
     Null texts are empty ones; texts without words are copies only of equal texts.  Of
-    rows that repeat id and text one stays.
+    rows that repeat id and text one stays.  Columns ``__key, __of, __stays, __id, __n`` and
+    ``__wanted`` must be free.
     """
     keyed = docs.withColumn("__key", text_key(F.col(text_col)))
-    # one row per text: its smallest id and how many rows hold that id
+    # one row per text: its smallest id, how many rows hold that id and how many it has in all
     first = F.min_by(F.struct("id", "n"), F.struct(F.col("id").isNull(), "id"))
     each = keyed.groupBy(F.col("__key").alias("key"), F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
-    slim = stored(each.groupBy("key").agg(first.alias("first")).select("key", "first.id", "first.n"), "texts")
+    slim = stored(each.groupBy("key").agg(first.alias("first"), F.sum("n").alias("rows")).select("key", "first.id", "first.n", "rows"), "texts")
     sketched = stored(sketches(keyed.select(F.col("__key").alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))).dropDuplicates(["key"]), "sketches")
     candidates = stored(candidate_links(sketched, radius, group), "candidates")
 
+    def small(keys):
+        """Broadcast where the number of keys allows it, so that no text is shuffled."""
+        return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+    def texts_of(keys):
+        """``key, text`` of these keys (stored, without repeats), once each."""
+        named = keys.withColumnRenamed("key", "__wanted")
+        found = keyed.join(small(named), keyed["__key"] == named["__wanted"], "left_semi")
+        return found.groupBy(F.col("__key").alias("key")).agg(F.first(F.coalesce(text_col, F.lit(""))).alias("text"))
+
     def proven(pairs):
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        texts = keyed.join(ends, keyed["__key"] == ends["key"], "left_semi").groupBy(F.col("__key").alias("key")).agg(F.first(text_col).alias("text"))
-        return stored(verified(pairs, stored(texts, "ends"), similarity), "verified")
+        ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "ends")
+        return stored(verified(pairs, stored(texts_of(ends), "end-texts"), similarity), "verified")
 
     good = proven(candidates)
     groups = stored(components(good), "components")
@@ -290,15 +301,21 @@ def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, radius: int =
         good, tried = good.unionByName(proven(hubs)), candidates.unionByName(hubs)
         groups = stored(components(good), "components")
         apart = stored(undecided(sketched, groups), "undecided")
-        wanted = apart.select("key").distinct()
-        texts = keyed.join(wanted, keyed["__key"] == wanted["key"], "left_semi").select(F.col("__key").alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
-        sets = stored(shingle_sets(texts).dropDuplicates(["key"]), "shingles")
+        wanted = stored(apart.select("key").distinct(), "undecided-keys")
+        sets = stored(shingle_sets(texts_of(wanted)), "shingles")
         left = stored(open_links(apart, sketched, sets, similarity, group).join(tried, ["a", "b"], "left_anti"), "open")
         groups = components(good.unionByName(proven(left)))
     named = slim.join(groups, slim["key"] == groups["node"], "left").withColumn("component", F.coalesce("component", "key"))
     best = F.min_by(F.struct("key", "id", "n"), F.struct(F.col("id").isNull(), "id", "key"))
-    kept = named.groupBy("component").agg(best.alias("best")).select(F.col("best.key").alias("__kept"), F.col("best.id").alias("__id"), F.col("best.n").alias("__n"))
-    chosen = keyed.join(kept, (F.col("__key") == F.col("__kept")) & F.col(id_col).eqNullSafe(F.col("__id")))
-    once = chosen.filter("__n = 1")
-    again = chosen.filter("__n > 1").dropDuplicates(["__kept"])
-    return once.unionByName(again).select(docs.columns)
+    whole = named.groupBy("component").agg(best.alias("best"), F.sum("rows").alias("rows")).filter("rows > 1")
+    # only texts with more rows or copies have a fate, all others stay
+    fates = named.join(whole.drop("rows"), "component").select(
+        F.col("key").alias("__of"), (F.col("best.key") == F.col("key")).alias("__stays"), F.col("best.id").alias("__id"), F.col("best.n").alias("__n")
+    )
+    fates = stored(fates, "fates")
+    chosen = keyed.join(small(fates), F.col("__key") == F.col("__of"), "left")
+    chosen = chosen.filter(F.col("__of").isNull() | (F.col("__stays") & F.col(id_col).eqNullSafe(F.col("__id"))))
+    kept = chosen.filter("__of is null or __n = 1")
+    if not fates.filter("__stays and __n > 1").isEmpty():
+        kept = kept.unionByName(chosen.filter("__n > 1").dropDuplicates(["__key"]))
+    return kept.select(docs.columns)

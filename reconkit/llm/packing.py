@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reconkit.llm.common import id_and_text, slices, stored, with_fields
+from reconkit.llm.common import id_and_text, slices, stored, tidy, with_fields
 from reconkit.llm.tokens import TEXT_BYTES, encoder
 
 CAPACITY = 4096
@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "piece", "start", "length", "ids"])
         own.forget()
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, piece int, start long, length long, ids binary")
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:

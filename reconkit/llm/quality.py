@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from reconkit.llm.common import id_and_text, labelled_sample, slices
+from reconkit.llm.common import id_and_text, labelled_sample, slices, tidy
 
 WIDTH = 6  # bytes of a filter; even, as bytes are looked up in pairs
 FILTERS = 16
@@ -180,4 +180,4 @@ def accepted(docs: DataFrame, network: Network, threshold: float = 0.7, text_col
             texts = [t or "" for t in part[text_col].to_pylist()]
             yield part.filter(pa.array(score_texts(network, tables, texts) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

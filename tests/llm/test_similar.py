@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from reconkit.llm import decontaminate, near_copies, neighbours, simhash
 from reconkit.llm.components import components
@@ -235,3 +236,31 @@ def test_forest_ties_go_to_the_smaller_id(spark):
     vectors = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(60)], "vec_id long, embedding array<float>")
     found = neighbours.search(vectors, vectors.filter("vec_id = 40"), k=5).orderBy("rank").collect()
     assert [r["vec_id"] for r in found] == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("n, group", [(600, near_copies.GROUP), (900, 200)])
+def test_boilerplate_stays_in_its_cells(spark, words, n, group):
+    """Texts from one boilerplate, similar to about 0.66, and a few true copies: only these leave the cells."""
+    rng = random.Random(31)
+    own = rng.choices(words, k=200)
+    texts = []
+    for i in range(n):
+        copy = list(own)
+        for at in rng.sample(range(0, 200, 5), 9):
+            copy[at] = f"w{i}x{at}"
+        texts.append(" ".join(copy))
+    texts += [t.rsplit(" ", 1)[0] for t in texts[:6]]
+    sets = [decontaminate.shingles(t) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    keyed = docs.select(near_copies.text_key(F.col("text")).alias("key"), "text", "doc_id").cache()
+    sketched = near_copies.sketches(keyed.select("key", "text")).cache()
+    none = spark.createDataFrame([], "node binary, component binary")
+    apart = near_copies.undecided(sketched, none)
+    links = near_copies.open_links(apart, sketched, near_copies.shingle_sets(keyed.select("key", "text")), group=group)
+    ids = {bytes(r["key"]): r["doc_id"] for r in keyed.collect()}
+    got = {tuple(sorted((ids[bytes(r["a"])], ids[bytes(r["b"])]))) for r in links.collect()}
+    share = lambda i, j: (same := len(sets[i] & sets[j])) / (len(sets[i]) + len(sets[j]) - same)
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if share(i, j) >= 0.8}
+    assert want <= got and len(got) < 1000
+    # beyond the true links only those that the spare shingles let through
+    assert all(share(i, j) > 0.78 for i, j in got)
