@@ -13,14 +13,24 @@ from reconkit.llm.common import held_out, stored
 from reconkit.llm.queries import table, tokenizer
 
 
+BATCH_BYTES = 8 << 20  # of an Arrow batch, which a task holds on both sides of its Python worker
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what the text stages hold at once, for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the byte network, trained on the labels, scores below 0.7."""
+    small_batches(spark)
     labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
     return quality.accepted(docs, quality.fit(docs, labels, "quality"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of each group of near copies (five words, similarity 0.8)."""
+    small_batches(spark)
     return near_copies.deduplicated(docs)
 
 
@@ -29,19 +39,24 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Documents are matched by a digest of their text, so ids may repeat or be null.
     """
+    small_batches(spark)
     keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
     found = decontaminate.contained_items(keyed, table(spark, sf_dir, "benchmark"), id_col="__key")
-    leaked = found.select(F.col("doc_id").alias("__key")).distinct()
-    return keyed.join(leaked, "__key", "left_anti").select(docs.columns)
+    leaked = stored(found.select(F.col("doc_id").alias("__key")).distinct(), "leaked")
+    # broadcast where the number of keys allows it, so that no text is shuffled
+    few = leaked.count() <= near_copies.BROADCAST_KEYS
+    return keyed.join(F.broadcast(leaked) if few else leaked, "__key", "left_anti").select(docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts by a mark and set ``n_chars`` anew; every document stays."""
+    small_batches(spark)
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4096 tokens, best-fit packed into sequences."""
+    small_batches(spark)
     cut = packing.pieces(docs, tokenizer("word_bpe_49k.json"), 1)
     return packing.place(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
