@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reconkit.operators.cumulative import with_position
 
+TAKEN_ROWS = 10_000  # rows that a task may hold in order; Spark sets room aside for all rows of a limit
+
 
 def sort_keys(by: Sequence[str], ascending: bool | Sequence[bool] = True) -> list[Column]:
     """Sort columns with nulls last in either direction."""
@@ -67,9 +69,23 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: Sequence[str]) -> DataFrame:
-    """n rows in the order of a seeded digest of the key; the same rows on every run."""
+    """n rows in the order of a seeded digest of the key; the same rows on every run.
+
+    Beyond ``TAKEN_ROWS`` the rows come in any order.  They are not sorted: counts per head of
+    the digest tell which heads are taken whole, and only the rows of the next one are ranked.
+    """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
-    return df.orderBy(digest, *[F.col(k) for k in key]).limit(n)
+    if n <= TAKEN_ROWS:
+        return df.orderBy(digest, *[F.col(k) for k in key]).limit(n)
+    marked = df.withColumns({"_digest": digest, "_head": F.substring(digest, 1, 4)})
+    left = n
+    for head, size in sorted(marked.groupBy("_head").count().collect()):  # 65 536 rows at most
+        if size > left:
+            last = with_position(marked.filter(F.col("_head") == head), ["_digest", *key], name="_pos")
+            whole = marked.filter(F.col("_head") < head)
+            return whole.unionByName(last.filter(F.col("_pos") <= left).drop("_pos")).drop("_digest", "_head")
+        left -= size
+    return df
 
 
 def row_range(df: DataFrame, order: Sequence[str], start: int, end: int) -> DataFrame:

@@ -24,7 +24,7 @@ from reconkit.operators.records import (
 )
 from reconkit.operators.schema import dtype_diff, schema_as_table, schema_diff
 from reconkit.operators.shaping import normalize_columns, numeric_columns
-from reconkit.session import local_rows
+from reconkit.session import checkpointed, local_rows
 
 # Significance level and validation tolerances.
 ALPHA = 0.05
@@ -83,8 +83,8 @@ def _summary_row(spark: SparkSession, values: dict, started: float) -> DataFrame
 
 def _sampled(source: DataFrame, target: DataFrame, keys: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
     """Both tables cut to the same n keys, in seeded hash order."""
-    chosen = sample_n(source.select(*keys).union(target.select(*keys)).distinct(), n, 0, keys)
-    chosen = chosen.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    every = checkpointed(source.select(*keys).union(target.select(*keys)).distinct())
+    chosen = sample_n(every, n, 0, keys).withColumnsRenamed({k: f"_k_{k}" for k in keys})
     on = lambda df: reduce(lambda a, b: a & b, [df[k].eqNullSafe(chosen[f"_k_{k}"]) for k in keys])
     return source.join(chosen, on(source), "left_semi"), target.join(chosen, on(target), "left_semi")
 

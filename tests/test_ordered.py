@@ -1,5 +1,7 @@
 """Distributed order-dependent operators against pandas, hot groups included."""
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -115,6 +117,15 @@ def test_sample_is_stable(frame):
     assert a == b and len(a) == 50
 
 
+def test_large_samples_are_the_first_by_digest_and_not_held_in_a_task(spark):
+    df = spark.range(30_000, numPartitions=4)
+    by_digest = sorted(range(30_000), key=lambda i: hashlib.md5(f"{i}|9".encode()).hexdigest())
+    got = O.sample_n(df, 20_000, 9, ["id"])
+    assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in got.collect()) == sorted(by_digest[:20_000])
+    assert O.sample_n(df, 10**9, 9, ["id"]).count() == 30_000
+
+
 def test_ranks_of_large_integers_stay_apart(spark):
     df = spark.createDataFrame([(2**53,), (2**53 + 1,), (5,)], "v bigint")
     assert sorted(r["rank"] for r in V.rank_min(df, "v").collect()) == [1, 2, 3]
