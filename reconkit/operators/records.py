@@ -23,6 +23,8 @@ from reconkit.session import checkpointed, local_rows
 TOLERANCE = 1e-6
 SAMPLE_ROWS = 100
 SWEPT_ROWS = 10_000  # rows of a key, both sides, that are paired in one place
+PAIRED_ROWS = 64  # rows of a key, both sides, whose pairs are formed by a join
+SLICES = 256  # of the keys, one of which tells whether they mostly occur once
 
 
 def _comparable(a: T.DataType, b: T.DataType) -> bool:
@@ -155,13 +157,16 @@ def match_and_differences(
     wide = [c for c in columns if not isinstance(rows.schema[c].dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
     hashes = {c: [f"_h{i}_{c}" for i in range(2)] if c in wide else [c] for c in columns}
     short = rows.withColumns({h: F.xxhash64(F.lit(i), c) for c in wide for i, h in enumerate(hashes[c])}).drop(*wide)
-    per_key = _per_key(short, keys, [h for c in columns for h in hashes[c]])
+    cells = [h for c in columns for h in hashes[c]]
     both = (F.col("s_rows") > 0) & (F.col("t_rows") > 0)
 
     def unlike(c: str) -> Column:
         parts = [differs(F.col(f"s_{h}"), F.col(f"t_{h}"), kinds[c] and c not in wide, tolerance) for h in hashes[c]]
         return reduce(lambda a, b: a | b, parts)
 
+    if _often_repeated(rows.filter("_s > 0"), keys):
+        return _paired_differences(rows, short, keys, columns, cells, kinds, tolerance, unlike)
+    per_key = _per_key(short, keys, cells)
     unique = (F.col("s_rows") == 1) & (F.col("t_rows") == 1)
 
     facts = per_key.agg(
@@ -188,11 +193,48 @@ def match_and_differences(
     return facts, direct.join(extra, "column_name", "left").select("column_name", "compared", more.alias("different"))
 
 
-def _rows_of(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _often_repeated(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether more than one in twenty keys of a slice occurs again; it decides only on the way taken, not on results."""
+    own = df.select(*keys).filter(F.pmod(F.xxhash64(*keys), F.lit(SLICES)) == 0)
+    seen = own.groupBy(*keys).count().agg(F.count_if(F.col("count") > 1).alias("again"), F.count(F.lit(1)).alias("n")).first()
+    return seen["again"] * 20 > seen["n"]
+
+
+def _paired_differences(rows, short, keys, columns, cells, kinds, tolerance, unlike) -> tuple[Row, DataFrame]:
+    """``match_and_differences`` of tables whose keys often repeat.
+
+    Counts come from a grouping of the keys alone.  Then a join forms the pairs of all keys of
+    up to ``PAIRED_ROWS`` rows, so that each row is shuffled once, whether its key repeats or not.
+    """
+    matched = rows.groupBy(*keys).agg(F.sum("_s").alias("s_rows"), F.sum("_t").alias("t_rows"))
+    size = F.col("s_rows") + F.col("t_rows")
+    found = [F.count_if(size > PAIRED_ROWS).alias("frequent"), F.count_if((size > SWEPT_ROWS) & (F.col("s_rows") * F.col("t_rows") > 0)).alias("large")]
+    pairs = F.coalesce(F.sum(F.col("s_rows") * F.col("t_rows")), F.lit(0)).alias("pairs")
+    facts = matched.agg(*_match_counts(), pairs, *found).withColumn("match_rate", _match_rate()).first()
+    frequent = checkpointed(matched.filter(size > PAIRED_ROWS)) if facts["frequent"] else None
+    few = _rows_of(short, frequent, keys, "left_anti") if facts["frequent"] else short
+    sides = []
+    for side, here in (("s", "_s"), ("t", "_t")):
+        sides.append(few.filter(F.col(here) > 0).select(*[F.col(c).alias(f"_{side}_{c}") for c in keys], *[F.col(c).alias(f"{side}_{c}") for c in cells]))
+    on = reduce(lambda a, b: a & b, [F.col(f"_s_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys])
+    formed = sides[0].join(sides[1], on).agg(*[F.count_if(unlike(c)).alias(f"d_{i}") for i, c in enumerate(columns)]).first()
+    direct = local_rows(
+        rows.sparkSession,
+        [(c, facts["pairs"], formed[f"d_{i}"]) for i, c in enumerate(columns)],
+        "column_name string, compared bigint, different bigint",
+    )
+    if not facts["frequent"]:
+        return facts, direct
+    extra = _duplicate_differences(rows, frequent.filter("s_rows > 0 AND t_rows > 0"), keys, columns, kinds, tolerance, bool(facts["large"]))
+    more = (F.col("different") + F.coalesce("more", F.lit(0))).cast("bigint")
+    return facts, direct.join(extra, "column_name", "left").select("column_name", "compared", more.alias("different"))
+
+
+def _rows_of(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
     """Rows whose key is in ``wanted`` (one row per key); adaptive execution splits hot keys of a semi-join."""
     names = {k: f"_k_{k}" for k in keys}
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(names[k])) for k in keys])
-    return rows.join(wanted.select(*[F.col(k).alias(names[k]) for k in keys]), on, "left_semi")
+    return rows.join(wanted.select(*[F.col(k).alias(names[k]) for k in keys]), on, how)
 
 
 def _duplicate_differences(rows, repeated, keys, columns, kinds, tolerance, large: bool) -> DataFrame:

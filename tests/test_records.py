@@ -67,6 +67,24 @@ def test_hot_duplicate_key(spark, monkeypatch, swept):
     _check(spark, side(1), side(2), tol=1.0)
 
 
+@pytest.mark.parametrize("paired,swept", [(64, 10_000), (8, 10_000), (8, 15)])
+def test_often_repeated_keys_are_joined_once(spark, monkeypatch, paired, swept):
+    """Only keys with more rows than a join should pair are swept or ranked, one-sided and null keys included."""
+    monkeypatch.setattr(R, "SLICES", 1)
+    monkeypatch.setattr(R, "PAIRED_ROWS", paired)
+    monkeypatch.setattr(R, "SWEPT_ROWS", swept)
+    if paired == 64:
+        monkeypatch.setattr(R, "_duplicate_differences", None)
+
+    def side(seed, only):
+        r = np.random.default_rng(seed)
+        keys = [None if k == 9 else int(k) for k in r.integers(0, 40, 140)] + [only] * 30 + [7] * 10
+        text = lambda i: None if i == 3 else "abc"[i]
+        return [(k, text(r.integers(0, 4)), None if r.random() < 0.2 else float(r.integers(0, 3)), Decimal(int(r.integers(0, 3)))) for k in keys]
+
+    _check(spark, side(1, 100), side(2, 200))
+
+
 def test_sweep_counts_pairs_like_all_pairs():
     rng = np.random.default_rng(8)
     group = np.sort(rng.integers(0, 30, 500))
