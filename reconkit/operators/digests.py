@@ -34,10 +34,13 @@ def canonical(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def _lanes(columns: Sequence[Column]) -> list[Column]:
+def _halves(columns: Sequence[Column]) -> list[Column]:
     # a null changes no running hash, so each value stands with its mark
     marked = [x for c in columns for x in (c.isNull(), c)]
-    halves = [F.xxhash64(F.lit(seed), *marked) for seed in (17, 71)]
+    return [F.xxhash64(F.lit(seed), *marked) for seed in (17, 71)]
+
+
+def _lanes(halves: Sequence[Column]) -> list[Column]:
     return [x for h in halves for x in (h.bitwiseAND(_LANE - 1), F.shiftrightunsigned(h, 32))]
 
 
@@ -64,24 +67,27 @@ def boundaries(df: DataFrame, key: str, leaves: int) -> DataFrame:
     return found.select(F.coalesce("bounds", none).alias("bounds"))
 
 
-def _rank(df: DataFrame, name: str, size: int, inclusive: bool) -> DataFrame:
-    """Add ``name``: how many boundaries lie below ``_code`` (or on it), by halving steps in generated code."""
+def _rank(df: DataFrame, name: str, size: int) -> DataFrame:
+    """Add ``name``: how many boundaries lie below ``_code``, by halving steps in generated code."""
     df = df.withColumn(name, F.lit(0))
     for i in range(1, size.bit_length()):
         step = size >> i
-        bound = F.get("_bounds", F.col(name) + (step - 1))
-        above = bound <= F.col("_code") if inclusive else bound < F.col("_code")
-        df = df.withColumn(name, F.col(name) + F.when(above, step).otherwise(0))
+        below = F.get("_bounds", F.col(name) + (step - 1)) < F.col("_code")
+        df = df.withColumn(name, F.col(name) + F.when(below, step).otherwise(0))
     return df
 
 
 def with_leaf(df: DataFrame, keys: Sequence[str], bounds: DataFrame, leaves: int, name: str = "_leaf") -> DataFrame:
     """Add the number of each row's key range; rows without a first key are in range 0."""
-    coded = df.withColumns({"_code": order_code(df, keys[0]), "_bounds": bounds.scalar()})
-    ranked = _rank(_rank(coded, "_below", leaves, False), "_upto", leaves, True)
+    # of each boundary the number of those up to it: equal ones stand together
+    upto = F.transform("bounds", lambda b: F.size(F.filter("bounds", lambda x: x <= b)))
+    ends = bounds.select(upto.alias("ends")).scalar()
+    coded = df.withColumns({"_code": order_code(df, keys[0]), "_bounds": bounds.scalar(), "_ends": ends})
+    on = F.get("_bounds", F.col("_below")) == F.col("_code")
+    ranked = _rank(coded, "_below", leaves).withColumn("_upto", F.when(on, F.get("_ends", F.col("_below"))).otherwise(F.col("_below")))
     spread = F.pmod(F.xxhash64(*[canonical(df, k) for k in keys]), F.col("_upto") - F.col("_below") + 1)
     leaf = F.when(F.col("_code").isNull(), 0).otherwise(F.col("_below") + spread).cast("int")
-    return ranked.withColumn(name, leaf).drop("_code", "_bounds", "_below", "_upto")
+    return ranked.withColumn(name, leaf).drop("_code", "_bounds", "_ends", "_below", "_upto")
 
 
 def leaf_digests(df: DataFrame, keys: Sequence[str], leaf: str = "_leaf") -> DataFrame:
@@ -91,14 +97,16 @@ def leaf_digests(df: DataFrame, keys: Sequence[str], leaf: str = "_leaf") -> Dat
     the rows beyond a key's first.  Fewer than 2^31 rows fit in a leaf.
     """
     columns = sorted(c for c in df.columns if c != leaf)
-    lanes = _lanes([canonical(df, c) for c in columns])
     own = [canonical(df, k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    rows = df.select(F.col(leaf).alias("node"), *own, *[x.alias(d) for x, d in zip(lanes, LANES)])
-    sums = [F.sum(d).alias(d) for d in LANES]
-    per_key = rows.groupBy("node", *[f"_k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("n"), *sums)
+    # rows stay where they are for the digests; only keys and counts are shuffled
+    node = F.col(leaf).alias("node")
+    per_key = df.select(node, *own).groupBy("node", *[f"_k{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("n"))
     n = F.col("n")
-    folded = [F.pmod(F.sum(F.pmod(d, F.lit(_LANE))), F.lit(_LANE)).alias(d) for d in LANES]
-    return per_key.groupBy("node").agg(F.sum("n").alias("rows"), F.sum(n * n).alias("pairs"), F.sum(n - 1).alias("repeated"), *folded)
+    counts = per_key.groupBy("node").agg(F.sum("n").alias("rows"), F.sum(n * n).alias("pairs"), F.sum(n - 1).alias("repeated"))
+    hashes = df.select(node, *[h.alias(f"h{i}") for i, h in enumerate(_halves([canonical(df, c) for c in columns]))])
+    lanes = [x.alias(d) for x, d in zip(_lanes([F.col("h0"), F.col("h1")]), LANES)]
+    sums = hashes.select("node", *lanes).groupBy("node").agg(*[F.pmod(F.sum(d), F.lit(_LANE)).alias(d) for d in LANES])
+    return counts.join(sums, "node").select("node", "rows", "pairs", "repeated", *LANES)
 
 
 def parents(nodes: DataFrame) -> DataFrame:
@@ -119,10 +127,13 @@ def levels(leaves: int) -> int:
 def column_digests(df: DataFrame, leaf: str = "_leaf") -> DataFrame:
     """``column_name, data_type, rows, d0..d3``: order-free digest of each column's values."""
     columns = [c for c in df.columns if c != leaf]
-    wide = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.pmod(F.sum(x.cast("decimal(20,0)")), F.lit(_LANE)).cast("bigint").alias(f"{i}_{d}") for i, c in enumerate(columns) for x, d in zip(_lanes([canonical(df, c)]), LANES)],
-    )
+    # hashes first, then long sums by leaf: a leaf's fit, and decimals of the whole table are slow
+    halves = {f"{i}_{j}": h for i, c in enumerate(columns) for j, h in enumerate(_halves([canonical(df, c)]))}
+    hashes = df.select(leaf, *[h.alias(name) for name, h in halves.items()])
+    sums = [F.sum(x).alias(f"{i}_{d}") for i in range(len(columns)) for x, d in zip(_lanes([F.col(f"{i}_0"), F.col(f"{i}_1")]), LANES)]
+    per_leaf = hashes.groupBy(leaf).agg(F.count(F.lit(1)).alias("n"), *sums)
+    folded = [F.pmod(F.coalesce(F.sum(F.pmod(c, F.lit(_LANE))), F.lit(0)), F.lit(_LANE)).alias(c) for c in per_leaf.columns[2:]]
+    wide = per_leaf.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *folded)
     each = [
         F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"), F.col("n").alias("rows"), *[F.col(f"{i}_{d}").alias(d) for d in LANES])
         for i, c in enumerate(columns)

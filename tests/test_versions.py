@@ -151,3 +151,8 @@ def test_versions_must_share_ranges(spark, tmp_path):
         V.write_version(frame(spark, rows(5)), str(tmp_path / "c"), ["part"], like=a)
     with pytest.raises(ValueError, match="power of two"):
         V.write_version(frame(spark, rows(5)), str(tmp_path / "d"), ["k"], 10)
+
+
+def test_column_digests_sum_longs(spark):
+    df = frame(spark, [(1, "a", 1.0, "s", None, {})], 1).withColumn("_leaf", F.lit(0))
+    assert "decimal" not in G.column_digests(df)._jdf.queryExecution().optimizedPlan().toString()
