@@ -13,12 +13,19 @@ from reconkit.llm.common import held_out, stored
 from reconkit.llm.queries import table, tokenizer
 
 
-BATCH_BYTES = 8 << 20  # of an Arrow batch, which a task holds on both sides of its Python worker
+# Of an Arrow batch, which a task holds on both sides of its Python worker.  Buffers of this
+# size come from the allocator's pool; larger ones are malloced, and what is freed of them
+# stays with the executor.
+BATCH_BYTES = 1 << 20
+READ_ROWS = 512  # that a Parquet reader decodes at once; texts of 4096 rows are arrays of many MB
+GROUP_BYTES = 8 << 20  # of a Parquet row group, which a writer holds until it is full
 
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what the text stages hold at once, for this session."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
+    spark.conf.set("parquet.block.size", str(GROUP_BYTES))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from reconkit.llm.common import joined_bytes, lower_ascii, mixed, shingle_hashes, slices, stored, word_hashes, words_of
+from reconkit.llm.common import joined_bytes, lower_ascii, mixed, shingle_hashes, slices, stored, tidy, word_hashes, words_of
 
 SHINGLE = 5  # words
 CONTAINMENT = 0.8  # share of an item's shingles that a document must hold
@@ -92,7 +92,7 @@ def signatures(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.int64())], ["item_id", "kind", "key"])
 
     own = items.select(F.col(id_col).cast("long").alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return own.mapInArrow(run, "item_id long, kind int, key long")
+    return own.mapInArrow(tidy(run), "item_id long, kind int, key long")
 
 
 def window_hits(hashes: np.ndarray, cuts: np.ndarray, kinds: list[int], filters: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +166,7 @@ def contained_items(
             yield pa.RecordBatch.from_arrays([ids, found["doc_id"], found["text"], pa.array(keys, pa.list_(pa.int64()))], ["row", "doc_id", "text", "keys"])
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    hits = stored(own.mapInArrow(search, "row long, doc_id long, text string, keys array<long>"), "hits")
+    hits = stored(own.mapInArrow(tidy(search), "row long, doc_id long, text string, keys array<long>"), "hits")
     pairs = hits.select("row", F.explode("keys").alias("key")).join(signed.select("key", "item_id"), "key").select("row", "item_id").distinct()
     texts = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("item")).dropDuplicates()
     matched = pairs.join(texts.filter("item is not null"), pairs["item_id"].eqNullSafe(texts["item_id"])).select("row", pairs["item_id"], "item")
@@ -187,4 +187,4 @@ def contained_items(
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], ["doc_id", "item_id", "containment"])
 
     checked = hits.select("row", "doc_id", "text").join(listed, "row").select("doc_id", "text", "items")
-    return checked.mapInArrow(verify, "doc_id long, item_id long, containment double").groupBy("doc_id", "item_id").agg(F.max("containment").alias("containment"))
+    return checked.mapInArrow(tidy(verify), "doc_id long, item_id long, containment double").groupBy("doc_id", "item_id").agg(F.max("containment").alias("containment"))

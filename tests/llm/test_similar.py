@@ -264,3 +264,27 @@ def test_boilerplate_stays_in_its_cells(spark, words, n, group):
     assert want <= got and len(got) < 1000
     # beyond the true links only those that the spare shingles let through
     assert all(share(i, j) > 0.78 for i, j in got)
+
+
+def test_pipeline_bounds_batches_and_row_groups(spark, tmp_path):
+    """What a task holds of the texts at once: batches that the allocator pools, rows decoded at once, row groups."""
+    import pyarrow.parquet as pq
+
+    import corpus_pipeline
+
+    own = spark.newSession()
+    corpus_pipeline.small_batches(own)
+    random = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.sha2(F.concat_ws("-", "id", i), 512)))
+    texts = own.range(0, 10_000, 1, 1).select("id", random.alias("text"))  # 41 MB in one task
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["bytes", "n"])
+
+    found = texts.mapInArrow(sizes, "bytes long, n long").agg(F.max("bytes").alias("most"), F.sum("n").alias("n")).first()
+    assert found.n == 10_000 and found.most <= 2 << 20
+    texts.write.parquet(str(tmp_path / "texts"))
+    (file,) = (tmp_path / "texts").glob("*.parquet")
+    facts = pq.ParquetFile(file).metadata
+    assert facts.num_rows == 10_000 and max(facts.row_group(i).total_byte_size for i in range(facts.num_row_groups)) <= 16 << 20
+    assert int(own.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
