@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reconkit.operators.aggregates import describe_stats
@@ -28,6 +30,7 @@ from reconkit.session import checkpointed, local_rows
 
 # Significance level and validation tolerances.
 ALPHA = 0.05
+AT_ONCE = 4  # comparisons
 VALIDATION_ATOL, VALIDATION_RTOL = 1e-6, 1e-5
 SUMMARY = (
     "table_name string, source_count bigint, target_count bigint, count_difference bigint, "
@@ -151,18 +154,23 @@ def compare_tables(
     return out
 
 
-def compare_many(pairs: Sequence[tuple[str, Callable[[], Comparison]]], spark: SparkSession) -> DataFrame:
-    """Summaries of several comparisons; a failing one becomes an ERROR row."""
-    rows = []
-    for name, run in pairs:
+def compare_many(pairs: Sequence[tuple[str, Callable[[], Comparison]]], spark: SparkSession, at_once: int = AT_ONCE) -> DataFrame:
+    """Summaries of several comparisons in the order given; a failing one becomes an ERROR row.
+
+    A comparison is a chain of jobs, some with fewer tasks than there are cores, so
+    ``at_once`` of them share the cluster; their execution times overlap.
+    """
+
+    def summary(name: str, run: Callable[[], Comparison]) -> DataFrame:
         started = time.time()
         try:
-            rows.append(run().summary)
+            return run().summary
         except Exception as e:  # noqa: BLE001 - the report must show every failure
-            rows.append(
-                _summary_row(spark, {"table_name": name, "match_status": f"ERROR: {type(e).__name__}: {e}"}, started)
-            )
-    return reduce(DataFrame.unionByName, rows)
+            return _summary_row(spark, {"table_name": name, "match_status": f"ERROR: {type(e).__name__}: {e}"}, started)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = [pool.submit(inheritable_thread_target(spark)(summary), name, run) for name, run in pairs]
+        return reduce(DataFrame.unionByName, [r.result() for r in rows])
 
 
 def run_report(summaries: DataFrame) -> DataFrame:

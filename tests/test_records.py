@@ -263,3 +263,18 @@ def test_nan_against_a_number_is_no_match(spark):
     assert matches == {"k": True, "v": False}
     assert compare.validate_frames(a, b, ["k"], "x")[0].first().passed is False
     assert compare.validate_frames(a, a, ["k"], "x")[0].first().passed is True
+
+
+def test_comparisons_run_at_once_and_keep_their_order(spark):
+    import threading
+
+    both = threading.Barrier(2)
+
+    def run(name, status):
+        both.wait(60)  # breaks unless the other comparison runs meanwhile
+        if status == "ERROR":
+            raise ValueError("no such table")
+        return compare.Comparison(compare._summary_row(spark, {"table_name": name, "match_status": status}, 0.0), None, None)
+
+    out = compare.compare_many([(n, lambda n=n, s=s: run(n, s)) for n, s in (("d", "MATCH"), ("b", "ERROR"))], spark).collect()
+    assert [(r.table_name, r.match_status) for r in out] == [("d", "MATCH"), ("b", "ERROR: ValueError: no such table")]
