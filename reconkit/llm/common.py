@@ -52,10 +52,23 @@ def tidy(run):
     return wrapped
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back: short lineage, rows survive lost executors."""
+def tasks_for(rows: int, each: int) -> int:
+    """Tasks of about ``each`` rows; for ``coalesce``, which never makes them more than they are."""
+    return max(1, -(-rows // each))
+
+
+def joined_up(df: DataFrame, tasks: int | None) -> DataFrame:
+    """``df`` in at most so many tasks, where the rows are known to be few; None leaves it as it is."""
+    return df.coalesce(tasks) if tasks else df
+
+
+def stored(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: short lineage, rows survive lost executors.
+
+    ``tasks`` bounds the files where the rows are known to be few.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    joined_up(df, tasks).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,6 +26,7 @@ BITS = 64
 RADIUS = 2
 FIELD = 16  # bits; four fields, any two give a key
 GROUP = 4096  # fingerprints compared with each other in one task
+AT_ONCE = 1 << 12  # words of a plane that queries of a block are compared with at once
 SEED = 42
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)} | {chr(c): " " for c in (9, 10, 11, 12, 13)})
 
@@ -77,34 +78,35 @@ def planes_of(values: np.ndarray) -> np.ndarray:
 
 def near(values: np.ndarray, planes: np.ndarray, which: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (position in ``which``, position in ``values``) at most ``radius`` bits apart."""
-    full = ~np.uint64(0)
-    found = [], []
-    counters = max(1, int(radius).bit_length())
-    for n, q in enumerate(which.tolist()):
-        alive = np.arange(planes.shape[1])
-        count = [np.zeros(len(alive), np.uint64) for _ in range(counters)]
-        over = np.zeros(len(alive), np.uint64)
+    found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    counters, words = max(1, int(radius).bit_length()), planes.shape[1]
+    together = max(1, AT_ONCE // max(1, words))
+    for first in range(0, len(which), together):
+        some = which[first : first + together]
+        # all ones where the query has the bit
+        flips = np.uint64(0) - ((some[None] >> np.arange(BITS, dtype=np.uint64)[:, None]) & np.uint64(1))
+        query, word = np.repeat(np.arange(len(some)), words), np.tile(np.arange(words), len(some))
+        count = [np.zeros(len(word), np.uint64) for _ in range(counters)]
+        over = np.zeros(len(word), np.uint64)
         for b in range(BITS):
-            carry = planes[b, alive] ^ (full if q >> b & 1 else np.uint64(0))
+            carry = planes[b, word] ^ flips[b, query]
             for c in count:  # add one bit to 64 counters at once
                 c[:], carry = c ^ carry, c & carry
             over |= carry
-            if b % 16 == 15 or b == BITS - 1:
-                far = over | _above(count, radius)
-                stay = far != full
+            if b % 16 == 15:
+                stay = (over | _above(count, radius)) != ~np.uint64(0)
                 if not stay.all():
-                    alive, over, count = alive[stay], over[stay], [c[stay] for c in count]
-                if not len(alive):
+                    query, word, over, count = query[stay], word[stay], over[stay], [c[stay] for c in count]
+                if not len(word):
                     break
-        if len(alive):
+        if len(word):
             far = over | _above(count, radius)
-            bits = np.unpackbits(far.view(np.uint8).reshape(len(alive), 8), axis=1, bitorder="little")
-            at = (alive[:, None] * 64 + np.arange(64))[bits == 0]
-            at = at[at < len(values)]
-            found[0].append(np.full(len(at), n))
-            found[1].append(at)
-    if not found[0]:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            bits = np.unpackbits(far.view(np.uint8).reshape(len(word), 8), axis=1, bitorder="little")
+            row, bit = np.nonzero(bits == 0)
+            at = word[row] * 64 + bit
+            real = at < len(values)
+            found[0].append(first + query[row[real]])
+            found[1].append(at[real])
     return np.concatenate(found[0]), np.concatenate(found[1])
 
 

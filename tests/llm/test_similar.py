@@ -126,6 +126,50 @@ def test_near_copies(spark, words, awkward, nothing, rows_of):
     assert near_copies.deduplicated(nothing).count() == 0
 
 
+def many_partitions(spark):
+    """A session whose shuffles have far more partitions than these tests have rows for, none of them coalesced."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "64")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return own
+
+
+def tasks_of(spark, run):
+    """What ``run`` returns and how many tasks its jobs had."""
+    group, sc = f"tasks-{random.random()}", spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    told = sc.statusTracker()
+    stages = {s for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
+    return out, sum(x.numCompletedTasks for x in map(told.getStageInfo, stages) if x)
+
+
+def test_few_links_take_few_tasks(spark):
+    """Rounds of components follow the number of links, not that of a shuffle's partitions."""
+    rng = random.Random(41)
+    edges = [(i, i + 1) for i in range(200)] + [(1000 + rng.randrange(300), 1000 + rng.randrange(300)) for _ in range(250)] + [(5, 5), (3, 2)]
+    own = many_partitions(spark)
+    links = own.createDataFrame(edges, "a long, b long").coalesce(2)
+    found, tasks = tasks_of(own, lambda: dict(map(tuple, components(links).collect())))
+    nodes = sorted({x for a, b in edges if a != b for x in (a, b)})
+    pairs = {frozenset(e) for e in edges}
+    assert found == smallest_reachable(nodes, lambda x, y: frozenset((x, y)) in pairs)
+    assert tasks < 200
+
+
+def test_small_near_copies_take_few_tasks(spark, words):
+    """Few texts: steps between the comparisons don't take a task for each partition of a shuffle."""
+    texts = copies(words, 40, random.Random(43)) + star(random.Random(12).choices(words, k=200), 60, 9, random.Random(14))
+    own = many_partitions(spark)
+    docs = own.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    kept, tasks = tasks_of(own, lambda: sorted(r["doc_id"] for r in near_copies.deduplicated(docs).collect()))
+    want = sorted(r["doc_id"] for r in near_copies.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), group=16).collect())
+    assert kept == want and tasks < 1500
+
+
 def test_large_groups_are_dealt_to_cells(spark, words):
     rng = random.Random(4)
     own = rng.choices(words, k=400)
