@@ -42,7 +42,7 @@ def counted_token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_
         end = np.array([end_id], "<u2")
         names = ["doc_id", "ids", "counts"]
         for part in slices(batches, limit=TEXT_BYTES):
-            found = own.encode(part["text"].to_pylist())
+            found = own.encode(part["text"])
             for ids in found:
                 total += np.bincount(ids, minlength=1 << 16) if len(ids) > 1 << 14 else 0
             short = [ids for ids in found if len(ids) <= 1 << 14]

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -32,6 +33,26 @@ def test_ids_and_counts_equal_the_library(texts):
     assert COUNTER.counts(texts).tolist() == [len(library_ids(BYTES, t)) for t in texts]
 
 
+ODD = [*PIECES, *"xyzÀÿ×÷ªµ.,-'|<>09²½", "'s", "'ll", "\r\n", "\x0b", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "\u0301", "ß", "ŀ", "я", "ह", "🙂", "\x00", "\x7f"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=25).map("".join), max_size=6))
+def test_cut_texts_equal_the_library(texts):
+    own = tokens.encoder(BYTES, True)
+    want = [library_ids(BYTES, t) for t in texts]
+    for given_texts in (texts, pa.array([None, "x ", *texts], pa.string())[2:], pa.array([*texts, "s"], pa.large_string())[: len(texts)]):
+        assert [x.tolist() for x in own.encode(given_texts)] == want
+
+
+def test_words_are_kept_without_their_marks():
+    own = tokens.PieceEncoder(BYTES, True)
+    words = [f"{a}{b}" for a in ("Ein", "zwei", "élan", "Übe") for b in "abcde"]
+    text = " ".join(w + m for w in words for m in (".", ",", "!", ".\nUnd", ":\n\nOder", ")"))
+    assert own.encode([text])[0].tolist() == library_ids(BYTES, text)
+    assert len(own.seen.pieces) <= len(words) + 12  # not one for each word and mark
+
+
 def test_table_of_pieces_is_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_PIECES", 20)
     monkeypatch.setattr(tokens, "SEEN_PIECES", 20)
