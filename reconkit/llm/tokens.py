@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SEEN_PIECES = 700_000  # some 150 bytes each
+SEEN_LETTERS = 16_000_000  # of all kept pieces: texts without blanks make long ones
 CACHE_PIECES = 350_000  # of the newer table; as many older entries are kept beside it
 TEXT_BYTES = 4 << 20  # of texts encoded at once: the more, the fewer pieces are looked up twice
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -54,26 +55,32 @@ class Table(dict):
 
 
 class Seen:
-    """Pieces met before, each with its place among the ids kept end to end; at most ``SEEN_PIECES``, the newer half stays."""
+    """Pieces met before, each with its place among the ids kept end to end; bounded by ``SEEN_PIECES`` and ``SEEN_LETTERS``.
+
+    When full, the newer half stays; what one call needs is kept until the next in any case.
+    """
 
     def __init__(self) -> None:
         self.pieces: dict[str, int] = {}
+        self.letters = 0  # of all pieces
         self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, "<u2")
 
     def look_up(self, wanted: list[str], make: Callable[[list[str]], list[bytes]]) -> np.ndarray:
         """The place of each of the (different) pieces among the kept ones; new ones are made."""
         at = np.fromiter(map(self.pieces.get, wanted, repeat(-1)), np.int64, len(wanted))
         new, keep = np.flatnonzero(at < 0), len(self.pieces)
-        if len(new) and keep + len(new) > SEEN_PIECES:
+        if len(new) and (keep + len(new) > SEEN_PIECES or self.letters > SEEN_LETTERS):
             # what this call needs is made again if it is among the older half
-            drop = min(keep, max(keep // 2, keep + len(new) - SEEN_PIECES))
+            drop = min(keep, max(-(-keep // 2), keep + len(new) - SEEN_PIECES))
             new, at = np.flatnonzero(at < drop), at - drop
             self.pieces = {p: i for i, p in enumerate(islice(self.pieces, drop, None))}
+            self.letters = sum(map(len, self.pieces))
             self.ids, self.bounds = self.ids[self.bounds[drop] :], self.bounds[drop:] - self.bounds[drop]
         if len(new):
             fresh = [wanted[i] for i in new.tolist()]
             made = make(fresh)
             at[new] = len(self.pieces) + np.arange(len(new))
+            self.letters += sum(map(len, fresh))
             self.pieces.update(zip(fresh, range(len(self.pieces), len(self.pieces) + len(fresh))))
             sizes = np.fromiter(map(len, made), np.int64, len(made)) // 2
             self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(made), "<u2")])

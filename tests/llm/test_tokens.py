@@ -63,6 +63,15 @@ def test_table_of_pieces_is_bounded(monkeypatch):
         assert len(own.kept) <= 35 and len(own.bare) <= 35 and len(own.seen.pieces) <= 35
 
 
+def test_long_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "SEEN_LETTERS", 5000)
+    own = tokens.PieceEncoder(BYTES, True)
+    for i in range(40):
+        text = f"{i}" + "日本語" * 300 + f" kept {i}"
+        assert own.encode([text])[0].tolist() == library_ids(BYTES, text)
+        assert sum(map(len, own.seen.pieces)) == own.seen.letters <= 7000
+
+
 def test_token_counts_of_awkward_texts(spark, awkward, nothing, rows_of):
     found = sorted(map(tuple, token_counts.count_tokens(awkward, BYTES).collect()), key=str)
     want = [(d, len(t.encode()), len(library_ids(BYTES, t))) for d, t in rows_of(awkward)]
